@@ -34,10 +34,10 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def players(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The players to process: every third supplier; every fifth was never processed."""
+    """The players to process: suppliers not in debt; every fifth supplier was never processed."""
     return (
         table(spark, sf_dir, "supplier")
-        .where("s_suppkey % 3 = 0")
+        .where("s_acctbal >= 0")
         .selectExpr(
             "concat('P', s_suppkey) AS puuid",
             "s_name AS game_name",
