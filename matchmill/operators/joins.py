@@ -1,30 +1,42 @@
 """Joins whose plans hold when one key carries a large share of the rows.
 
 Inner, left and right joins are left to Catalyst: AQE broadcasts a side it has measured
-to be small and splits hot partitions. A full outer join cannot be split on either side,
-and a semi or anti join not on its right, so those are composed here.
+to be small and splits hot partitions. It splits only joins of two plain shuffles, never
+a full outer join, nor the right of a semi or anti join. So the right of those is reduced
+to a written table of distinct keys, and a full join is composed of parts that split.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchmill.session import cut_lineage
+
+
+def key_table(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct keys of ``df`` (combined map-side), NULLs left out, as a written table.
+
+    Read back it is a plain scan of known size: it is broadcast when small, and otherwise
+    leaves the other side of the join free to be split on a hot key.
+    """
+    return cut_lineage(df.select(*keys).dropna().distinct(), "keys")
+
 
 def semi_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` whose key is in ``right``; the keys of ``right`` are made distinct first."""
-    return left.join(right.select(*keys).distinct(), list(keys), "left_semi")
+    """Rows of ``left`` whose key is in ``right``."""
+    return left.join(key_table(right, keys), list(keys), "left_semi")
 
 
 def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose key is not in ``right``; a NULL key is never found."""
-    return left.join(right.select(*keys).distinct(), list(keys), "left_anti")
+    return left.join(key_table(right, keys), list(keys), "left_anti")
 
 
 def lookup(df: DataFrame, *dimensions: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left-join dimensions holding one row per key; rows without a match stay."""
+    """Left-join dimensions: stored tables of one row per key. Rows without a match stay."""
     for dimension in dimensions:
         df = df.join(dimension, list(on), "left")
     return df

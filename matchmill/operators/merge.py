@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchmill.functions.scalars import sql_function
-from matchmill.operators.guards import identifier
+from matchmill.operators.guards import duplicate_keys, identifier
+from matchmill.operators.joins import anti_join, key_table
+from matchmill.session import cut_lineage
 
 CREATED, MODIFIED = "tech_date_creation", "tech_date_modification"
 
@@ -31,10 +33,18 @@ def assigned(column: Column, source: T.DataType, target: T.DataType) -> Column:
 
 
 def _one_row_per_key(source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """The source with one row per key and its row count; keys under ``_k_``, values under ``_s_``."""
+    """The source with one row per key and its row count; keys under ``_k_``, values under ``_s_``.
+
+    A source without repeated keys, the usual case, is used as it is: a join with a plain
+    table can be split on a hot target key, one with an aggregate cannot.
+    """
+    keyed = source.dropna(subset=list(keys))
+    if duplicate_keys(keyed, keys).isEmpty():
+        columns = [F.col(f"`{c}`").alias(f"_s_{c}") for c in columns]
+        return keyed.select(*[F.col(f"`{k}`").alias(f"_k_{k}") for k in keys], F.lit(1).alias("_n"), *columns)
     values = [F.first(c).alias(f"_s_{c}") for c in columns]
-    grouped = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *values)
-    return grouped.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    grouped = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *values)
+    return cut_lineage(grouped.withColumnsRenamed({k: f"_k_{k}" for k in keys}), "merge-source")
 
 
 def _same_key(keys: Sequence[str]) -> Column:
@@ -50,9 +60,8 @@ def matched_rows(
 ) -> DataFrame:
     """All target rows, the matched ones with ``match_columns`` taken from the source.
 
-    A source NULL overwrites. A target row matched by two source rows fails the query:
-    the source is first grouped by key (combined map-side), so no key of it can be hot
-    in the join, and the count travels with the row. ``_matched`` tells the rows apart.
+    A source NULL overwrites. A target row matched by two source rows fails the query.
+    ``_matched`` tells the rows apart.
     """
     matched = F.when(
         F.col("_n") > 1, F.raise_error(F.lit(f"merge: two source rows for one target row on {list(keys)}"))
@@ -78,13 +87,13 @@ def unmatched_source(
 
     Only the key columns of the target are read. With a source counted to be small, its
     keys are broadcast to reduce the target to the touched keys before anything is
-    shuffled; otherwise the target keys are made distinct map-side and shuffled.
+    shuffled; otherwise all target keys are made distinct, map-side first.
     """
-    present = target.select(*keys)
-    if source_rows is not None and source_rows <= BROADCAST_ROWS:
-        touched = F.broadcast(source.select(*keys).distinct())
-        present = present.join(touched, list(keys), "left_semi")
-    return source.join(present.distinct(), list(keys), "left_anti")
+    if source_rows is None or source_rows > BROADCAST_ROWS:
+        return anti_join(source, target, keys)
+    touched = F.broadcast(source.select(*keys).distinct())
+    present = target.select(*keys).join(touched, list(keys), "left_semi").distinct()
+    return source.join(present, list(keys), "left_anti")
 
 
 def inserted_rows(
@@ -191,10 +200,10 @@ def update_where(df: DataFrame, set_values: Mapping[str, Any], where: Mapping[st
 def update_where_in(
     df: DataFrame, set_values: Mapping[str, Any], key: str, members: DataFrame
 ) -> DataFrame:
-    """As ``update_where``, for rows whose key is among ``members`` (made distinct first)."""
+    """As ``update_where``, for rows whose key is among ``members``."""
     if not set_values:
         raise ValueError("an update needs set_values")
-    found = members.select(F.col(key).alias("_member")).where(F.col(key).isNotNull()).distinct()
+    found = key_table(members, [key]).withColumnRenamed(key, "_member")
     joined = df.join(found, F.col(key) == F.col("_member"), "left")
     return _apply(joined.withColumn("_updated", F.col("_member").isNotNull()).drop("_member"), set_values)
 

@@ -14,7 +14,7 @@ from matchmill.operators.extract import Join, extract
 from matchmill.plans import star_views as V
 from matchmill.plans.queries import common as C
 from matchmill.plans.queries.common import Query
-from matchmill.session import scratch_path
+from matchmill.session import cut_lineage, scratch_path
 from matchmill.sources import landing
 
 JOB_ID = "nightly_orders"
@@ -265,7 +265,10 @@ JOINS: dict[str, Query] = {
             lambda customer, nation, supplier: joins.lookup(
                 customer.select("c_custkey", F.col("c_nationkey").alias("nationkey")),
                 nation.select(F.col("n_nationkey").alias("nationkey"), "n_name"),
-                supplier.groupBy(F.col("s_nationkey").alias("nationkey")).agg(F.count(F.lit(1)).alias("n_suppliers")),
+                cut_lineage(
+                    supplier.groupBy(F.col("s_nationkey").alias("nationkey")).agg(F.count(F.lit(1)).alias("n_suppliers")),
+                    "dimension",
+                ),
                 on=["nationkey"],
             ),
             "customer",
