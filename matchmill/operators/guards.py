@@ -18,6 +18,10 @@ class SkipJob(Exception):
     """Nothing to do; the job ends as skipped, not failed."""
 
 
+class NoRows(ValueError):
+    """An insert got zero rows."""
+
+
 def identifier(name: str) -> str:
     if not IDENTIFIER.fullmatch(name):
         raise ValueError(f"invalid name {name!r}: letters, digits and _ only")

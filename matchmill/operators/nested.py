@@ -17,10 +17,14 @@ IDS_PER_PLAYER = 1000
 
 
 def parse_matches(landed: DataFrame, payload: str = "payload") -> DataFrame:
-    """The payload column parsed once; unreadable documents keep their text in ``_corrupt_record``."""
+    """The payload column parsed once; unreadable documents keep their text in ``_corrupt_record``.
+
+    The document goes through a generator: a later filter on its fields cannot be pushed
+    below one, which would parse every document again for the filter.
+    """
     schema = schemas.struct_of(schemas.MATCH_PAYLOAD)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
-    return landed.select(F.from_json(payload, schema, options).alias("doc")).select("doc.*")
+    return landed.select(F.inline(F.array(F.from_json(payload, schema, options))))
 
 
 def readable(parsed: DataFrame) -> DataFrame:

@@ -126,8 +126,10 @@ def enrich_matches(
     followed, _ = _raw(run, guards.require_valid_text(picked, "puuid"), f"{RAW}.raw_puuid_followed")
     wanted = pages.join(followed.select("puuid"), "puuid", "left_semi")
     ids = transforms.dedupe_keys(nested.match_ids(wanted, queue), ["match_id"])
-    guards.skip_if_empty(ids, "match ids of the followed players")
-    raw, rows = _raw(run, ids, f"{RAW}.raw_match_datas_ids")
+    try:
+        raw, rows = _raw(run, ids, f"{RAW}.raw_match_datas_ids")
+    except guards.NoRows as nothing:
+        raise guards.SkipJob("no match ids of the followed players") from nothing
     merged = warehouse.merge(
         raw,
         schemas.FACT_MATCH.name,
@@ -157,7 +159,8 @@ def apply_match_payloads(run: Run, landed: DataFrame) -> dict[str, dict[str, Any
     parsed = nested.parse_matches(landed).persist()
     try:
         bad = nested.quarantined(parsed)
-        if not bad.isEmpty():
+        # A count reads every partition at once, which also fills the cache in parallel.
+        if bad.count():
             warehouse.insert(bad, QUARANTINE, "append", run.job_id, run.time)
         tables = nested.match_tables(parsed)
         people = nested.named_output(tables, "stats_participants")

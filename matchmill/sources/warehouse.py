@@ -151,13 +151,10 @@ class Warehouse:
         present = self.exists(table)
         if present and mode == "fail":
             raise ValueError(f"table {table} exists")
-        if present and mode == "append":
-            guarded = df.isEmpty()
-            rows = 0 if guarded else self._append(df, table)
-        else:
-            rows = self._new_version(df, table, present)
+        # Nothing is changed by zero rows, so they are noticed in the writing job itself.
+        rows = self._append(df, table) if present and mode == "append" else self._new_version(df, table, present)
         if rows == 0:
-            raise ValueError(f"no rows to insert into {table}")
+            raise guards.NoRows(f"no rows to insert into {table}")
         return {"table_name": name, "schema": schema, "rows_inserted": rows}
 
     def insert_lines(
@@ -321,12 +318,9 @@ class Warehouse:
         else:
             # Few files per partition, yet a large partition is still written by several tasks.
             counted.hint("rebalance", F.col(BUCKET)).write.partitionBy(BUCKET).parquet(location)
-            if touched is None:
-                touched = [r[0] for r in self._stored(table).select(BUCKET).distinct().collect()]
-            for bucket in touched:
+            present = {int(r[0].partition("=")[2]) for r in self.spark.sql(f"SHOW PARTITIONS {name}").collect()}
+            for bucket in sorted(present if touched is None else present.intersection(touched)):
                 part = f"{name} PARTITION ({BUCKET} = {bucket})"
-                if self.spark.sql(f"SHOW PARTITIONS {part}").isEmpty():
-                    continue
                 self.spark.sql(f"ALTER TABLE {part} SET LOCATION '{location}/{BUCKET}={bucket}'")
         self.spark.catalog.refreshTable(name)
         return seen.get[ROWS]
