@@ -27,14 +27,18 @@ def parse_matches(landed: DataFrame, payload: str = "payload") -> DataFrame:
     return landed.select(F.inline(F.array(F.from_json(payload, schema, options))))
 
 
+def is_readable() -> Column:
+    """True for a parsed document that names its match."""
+    return F.col(schemas.CORRUPT).isNull() & F.col("metadata.matchId").isNotNull()
+
+
 def readable(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col(schemas.CORRUPT).isNull() & F.col("metadata.matchId").isNotNull())
+    return parsed.where(is_readable())
 
 
 def quarantined(parsed: DataFrame) -> DataFrame:
-    """Documents that did not parse or name no match."""
-    bad = F.col(schemas.CORRUPT).isNotNull() | F.col("metadata.matchId").isNull()
-    return parsed.where(bad).select(
+    """The documents that are not readable, as text."""
+    return parsed.where(~is_readable()).select(
         F.coalesce(F.col(schemas.CORRUPT), F.to_json(F.struct("metadata", "info"))).alias("payload")
     )
 

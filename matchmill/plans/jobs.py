@@ -148,6 +148,15 @@ def enrich_matches(
     return merged
 
 
+def _quarantine(run: Run, rejected: DataFrame) -> None:
+    """Keep rejected documents, each once however often its batch is applied."""
+    stamped = transforms.tech_info(rejected.distinct(), run.job_id, run.time)
+    if run.warehouse.exists(QUARANTINE):
+        run.warehouse.insert_ignore(stamped, QUARANTINE, ["payload"])
+    else:
+        run.warehouse.insert(stamped, QUARANTINE)
+
+
 def apply_match_payloads(run: Run, landed: DataFrame) -> dict[str, dict[str, Any]]:
     """Statistics, players and matches out of match documents.
 
@@ -158,10 +167,14 @@ def apply_match_payloads(run: Run, landed: DataFrame) -> dict[str, dict[str, Any
     guards.require_column(landed, "payload")
     parsed = nested.parse_matches(landed).persist()
     try:
-        bad = nested.quarantined(parsed)
-        # A count reads every partition at once, which also fills the cache in parallel.
-        if bad.count():
-            warehouse.insert(bad, QUARANTINE, "append", run.job_id, run.time)
+        # One aggregate reads every partition at once, which also fills the cache in parallel.
+        seen = parsed.agg(
+            F.count_if(nested.is_readable()).alias("good"), F.count_if(~nested.is_readable()).alias("bad")
+        ).first()
+        if seen["bad"]:
+            _quarantine(run, nested.quarantined(parsed))
+        if not seen["good"]:
+            raise guards.SkipJob("no readable match documents")
         tables = nested.match_tables(parsed)
         people = nested.named_output(tables, "stats_participants")
         order = [c for c in people.columns if c not in ("id", "match_id", "puuid")]

@@ -195,9 +195,11 @@ class Warehouse:
             df = df.withColumn(BUCKET, _bucket(F.col(key), n))
         counted, seen = _counted(df)
         columns = ", ".join(f"`{c}`" for c in df.columns)
-        self.spark.sql(
+        # The rows' own session: that of a stream's batch is not the one tables are read with.
+        counted.sparkSession.sql(
             f"INSERT INTO {self.name(table)} ({columns}) SELECT {columns} FROM {{rows}}", rows=counted
         )
+        self.spark.catalog.refreshTable(self.name(table))
         return seen.get[ROWS]
 
     def _new_version(self, df: DataFrame, table: str, present: bool) -> int:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from matchmill.operators.guards import SkipJob
+
+log = logging.getLogger(__name__)
+
 
 def landed_stream(
     spark: SparkSession,
@@ -35,8 +40,16 @@ def drain(
     """Run ``apply`` on each batch: all that has landed, or continuously every ``every``.
 
     The checkpoint remembers which files are done. A batch interrupted half-way runs
-    again, so ``apply`` must give the same tables when repeated, as a merge does.
+    again, so ``apply`` must give the same tables when repeated, as a merge does. A batch
+    with nothing to do (SkipJob) counts as done.
     """
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        try:
+            apply(df, batch_id)
+        except SkipJob as nothing:
+            log.info("batch %s skipped: %s", batch_id, nothing)
+
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
