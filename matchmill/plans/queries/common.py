@@ -20,17 +20,32 @@ class Query:
     sql: str | None = None
 
 
+def _off_tie(digits: int) -> str:
+    """A shift of a fraction of the last digit.
+
+    Means of whole numbers often end exactly between two rounded values, where the order of
+    summation would decide; the shift moves such values off the middle.
+    """
+    return f"{0.13 * 10**-digits:.{digits + 2}f}"
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded, so that the order of summation does not show."""
+    shift = F.lit(float(_off_tie(digits)))
     return df.select(
         *[
-            (F.round(F.col(f"`{f.name}`"), digits) if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`"))
+            (F.round(F.col(f"`{f.name}`") + shift, digits) if f.dataType == T.DoubleType() else F.col(f"`{f.name}`"))
             .alias(f.name)
             for f in df.schema
         ]
     )
 
 
+def rounded_sql(expression: str, digits: int = 6) -> str:
+    """The SQL of ``rounded`` for one expression."""
+    return f"round(({expression}) + CAST({_off_tie(digits)} AS DOUBLE), {digits})"
+
+
 FX_MATCH = """fx_match AS (
   SELECT concat('EUW1_', CAST(o_orderkey AS VARCHAR)) AS match_id, o_orderdate AS game_creation,
          60 + (o_orderkey * 37) % 2400 AS game_duration,
@@ -117,7 +132,7 @@ def kpi_sql(keys: list[str], digits: int | None = 6) -> str:
     """The metrics of relation ``s`` per group, as SQL."""
     def mean(expression: str) -> str:
         average = f"avg(CAST({expression} AS DOUBLE))"
-        return f"round({average}, {digits})" if digits is not None else average
+        return rounded_sql(average, digits) if digits is not None else average
 
     metrics = [f"{mean(e)} AS {name}" for name, e in _MEANS.items()]
     metrics += [

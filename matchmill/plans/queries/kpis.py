@@ -59,7 +59,7 @@ QUERIES: dict[str, Query] = {
 def _panel(spec: D.Panel) -> Query:
     value = CHOSEN.get(spec.key)
     columns = ", ".join(
-        f'round({c}, 6) AS "{label}"' if c.startswith(("avg", "penta")) or c.endswith("index") else f'{c} AS "{label}"'
+        f'{C.rounded_sql(c)} AS "{label}"' if c in C._MEANS else f'{c} AS "{label}"'
         for c, label in spec.labels.items()
     )
     where = f" WHERE {spec.key} = '{value}'" if spec.key else ""
@@ -162,8 +162,10 @@ QUERIES |= {
         _pie,
         "SELECT "
         + ", ".join(
-            f'round({c} * 100.0 / (avg_physical_damage_per_minute + avg_magic_damage_per_minute'
-            f' + avg_true_damage_per_minute), 6) AS "{label}"'
+            C.rounded_sql(
+                f"{c} * 100.0 / (avg_physical_damage_per_minute + avg_magic_damage_per_minute + avg_true_damage_per_minute)"
+            )
+            + f' AS "{label}"'
             for c, label in D.PANELS["d03"].labels.items()
         )
         + f" FROM ({C.mart_sql('champion', None)}) mart WHERE champion_name = 'champ_7'",

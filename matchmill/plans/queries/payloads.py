@@ -244,7 +244,7 @@ QUERIES: dict[str, Query] = {
     ),
     "json_normalise": Query(
         lambda spark, sf_dir: rounded(_normalised(spark, sf_dir)),
-        """SELECT event_id AS id, event_type AS "event.type", round(value, 6) AS "event.value",
+        f"""SELECT event_id AS id, event_type AS "event.type", {C.rounded_sql("value")} AS "event.value",
            CAST(json_extract(props, '$.k') AS BIGINT) AS "event.props.k", concat(event_type, ',seen') AS tags FROM events""",
     ),
 }

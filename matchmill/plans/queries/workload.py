@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from matchmill.operators.ranking import numbered_in_groups
 from matchmill.plans import star_views as V
 from matchmill.plans import workloads as W
-from matchmill.plans.queries.common import Query, rounded
+from matchmill.plans.queries.common import Query, rounded, rounded_sql
 
 MATH_COLUMNS = 20
 
@@ -37,7 +37,7 @@ def _wide_sql() -> str:
     exp = "exp(id / 1000000.0) + ln(id + 1)"
     columns = {f"trig_{i}": trig for i in range(5)} | {f"exp_{i}": exp for i in range(5, 10)}
     kinds = {"sum": "sum", "avg": "avg", "max": "max", "min": "min", "stddev": "stddev_samp"}
-    shown = ", ".join(f"round({f}({e}), 4) AS {kind}_{name}" for name, e in columns.items() for kind, f in kinds.items())
+    shown = ", ".join(f"{rounded_sql(f'{f}({e})', 4)} AS {kind}_{name}" for name, e in columns.items() for kind, f in kinds.items())
     return f"SELECT {shown} FROM (SELECT o_orderkey AS id FROM orders)"
 
 
@@ -72,16 +72,17 @@ QUERIES: dict[str, Query] = {
         lambda spark, sf_dir: rounded(
             W.global_aggregate(_lineitem(spark, sf_dir), "l_quantity", "l_discount", "l_extendedprice", "l_tax")
         ),
-        "SELECT sum(l_quantity) AS sum_l_quantity, round(avg(l_discount), 6) AS avg_l_discount,"
+        f"SELECT sum(l_quantity) AS sum_l_quantity, {rounded_sql('avg(l_discount)')} AS avg_l_discount,"
         " max(l_extendedprice) AS max_l_extendedprice, min(l_tax) AS min_l_tax, count(*) AS total_count FROM lineitem",
     ),
     "wide_agg_stddev": Query(_wide, _wide_sql()),
     "math_columns": Query(
         _math,
-        """SELECT id, round(sin(id / 1000.0) * cos(id / 1000.0) * tan(id / 10000.0), 6) AS trig_0,
-           round(exp(id / 1000000.0) + ln(id + 1), 6) AS exp_5, round(pow(id, 0.5) + sqrt(id + 1), 6) AS power_10,
-           CASE WHEN sin(id / 1000.0) >= 0 THEN round(sqrt(abs(sin(id / 1000.0))) + ln(cos(id / 1000.0) + 2), 6) END
-             AS complex_15
+        f"""SELECT id, {rounded_sql("sin(id / 1000.0) * cos(id / 1000.0) * tan(id / 10000.0)")} AS trig_0,
+           {rounded_sql("exp(id / 1000000.0) + ln(id + 1)")} AS exp_5,
+           {rounded_sql("pow(id, 0.5) + sqrt(id + 1)")} AS power_10,
+           CASE WHEN sin(id / 1000.0) >= 0
+                THEN {rounded_sql("sqrt(abs(sin(id / 1000.0))) + ln(cos(id / 1000.0) + 2)")} END AS complex_15
            FROM (SELECT o_orderkey AS id FROM orders)""",
     ),
     "bucket_row_number": Query(
