@@ -116,13 +116,19 @@ def first_league_entry(entries: DataFrame, queue_type: str = RANKED_QUEUE) -> Da
 
 
 def player_info(players: DataFrame, accounts: DataFrame, entries: DataFrame) -> DataFrame:
-    """Account and league columns looked up per player; players without them stay."""
-    names = accounts.select("puuid", F.col("gameName").alias("game_name"), F.col("tagLine").alias("tag_line"))
-    return (
-        players.select("puuid")
-        .join(names.dropDuplicates(["puuid"]), "puuid", "left")
-        .join(first_league_entry(entries).dropDuplicates(["puuid"]), "puuid", "left")
+    """Account and league columns looked up per player; players without them stay.
+
+    The landed tables are cut to the wanted players before anything of them is shuffled.
+    """
+    wanted = players.select("puuid").distinct()
+
+    def of_wanted(landed: DataFrame) -> DataFrame:
+        return landed.join(wanted, "puuid", "left_semi").dropDuplicates(["puuid"])
+
+    names = of_wanted(accounts).select(
+        "puuid", F.col("gameName").alias("game_name"), F.col("tagLine").alias("tag_line")
     )
+    return wanted.join(names, "puuid", "left").join(first_league_entry(of_wanted(entries)), "puuid", "left")
 
 
 def champions(landed: DataFrame) -> DataFrame:

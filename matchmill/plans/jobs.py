@@ -20,6 +20,7 @@ from matchmill.functions import dates
 from matchmill.operators import guards, nested, transforms
 from matchmill.operators.extract import extract
 from matchmill.plans import kpi as K
+from matchmill.session import cut_lineage
 from matchmill.sources.warehouse import Warehouse
 
 RAW, REF = schemas.RAW, schemas.REF
@@ -96,6 +97,11 @@ def matches_to_fetch(warehouse: Warehouse, limit: int | None = MATCHES_PER_RUN)
     )
 
 
+def _picked(work: DataFrame, what: str) -> DataFrame:
+    """The work list as a written table: what the job does later must not change it."""
+    return guards.skip_if_empty(cut_lineage(work, "picked"), what)
+
+
 # ---- fact tables ----
 
 
@@ -103,7 +109,7 @@ def enrich_players(
     run: Run, accounts: DataFrame, entries: DataFrame, limit: int | None = PLAYERS_PER_RUN
 ) -> dict[str, Any]:
     """Names and ranks of players that have none."""
-    picked = guards.skip_if_empty(players_to_enrich(run.warehouse, limit), "players to enrich")
+    picked = _picked(players_to_enrich(run.warehouse, limit), "players to enrich")
     raw, rows = _raw(run, nested.player_info(picked, accounts, entries), f"{RAW}.raw_puuid_info")
     return run.warehouse.merge(
         raw,
@@ -121,10 +127,9 @@ def enrich_matches(
 ) -> dict[str, Any]:
     """New match ids of the followed players; then those players are marked done."""
     warehouse = run.warehouse
-    picked = guards.skip_if_empty(players_to_follow(warehouse, limit), "players to follow")
-    # The pick is written: marking the players later must not change it.
-    followed, _ = _raw(run, guards.require_valid_text(picked, "puuid"), f"{RAW}.raw_puuid_followed")
-    wanted = pages.join(followed.select("puuid"), "puuid", "left_semi")
+    picked = players_to_follow(warehouse, limit)
+    followed = _picked(guards.require_valid_text(picked, "puuid"), "players to follow")
+    wanted = pages.join(followed, "puuid", "left_semi")
     ids = transforms.dedupe_keys(nested.match_ids(wanted, queue), ["match_id"])
     try:
         raw, rows = _raw(run, ids, f"{RAW}.raw_match_datas_ids")
@@ -219,7 +224,7 @@ def apply_match_payloads(run: Run, landed: DataFrame) -> dict[str, dict[str, Any
 
 def enrich_stats(run: Run, landed: DataFrame, limit: int | None = MATCHES_PER_RUN) -> dict[str, dict[str, Any]]:
     """The oldest unprocessed matches, out of their landed documents (``match_id, payload``)."""
-    picked = guards.skip_if_empty(matches_to_fetch(run.warehouse, limit), "matches to fetch")
+    picked = _picked(matches_to_fetch(run.warehouse, limit), "matches to fetch")
     return apply_match_payloads(run, landed.join(picked, "match_id", "left_semi"))
 
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from matchmill.session import build_session
+from matchmill.session import build_session, clear_scratch
 from matchmill.sources.warehouse import Warehouse
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -15,6 +15,7 @@ def spark():
     session = build_session("tests", "local[8]", 8, **{"spark.ui.enabled": "false", "spark.driver.memory": "6g"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

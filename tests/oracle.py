@@ -70,7 +70,7 @@ def compare(df, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
 
 def main(sf: str = "0.01", *names: str) -> int:
     from matchmill.plans.queries import REGISTRY
-    from matchmill.session import build_session
+    from matchmill.session import build_session, clear_scratch
 
     spark = build_session("oracle", "local[8]", 8, **{"spark.ui.enabled": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
@@ -86,6 +86,7 @@ def main(sf: str = "0.01", *names: str) -> int:
             problems = [f"{type(error).__name__}: {str(error)[:600]}"]
         failed += bool(problems)
         print(f"{'FAIL' if problems else 'ok  '} {name} {time.time() - start:.1f}s", *problems, sep="\n     " if problems else " ")
+    clear_scratch(spark)
     print(f"{failed} failed")
     return failed
 
