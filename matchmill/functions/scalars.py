@@ -39,14 +39,20 @@ def default_to(value: Column, default: str | int) -> Column:
     return F.coalesce(value, F.lit(default))
 
 
+_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
 def from_epoch_ms(value: Column) -> Column:
-    """Epoch milliseconds to a zone-less UTC timestamp."""
-    return F.timestamp_millis(value).cast("timestamp_ntz")
+    """Epoch milliseconds to a zone-less UTC timestamp, whatever the session's zone."""
+    seconds = (value.cast("decimal(18,0)") / 1000).cast("decimal(18,6)")
+    return F.expr(_EPOCH) + F.make_dt_interval(secs=seconds)
 
 
 def to_epoch_ms(value: Column) -> Column:
-    """Timestamp (read as UTC) to epoch milliseconds."""
-    return F.unix_millis(value.cast("timestamp"))
+    """A zone-less timestamp, read as UTC, to epoch milliseconds."""
+    value = value.cast("timestamp_ntz")
+    minutes = (F.unix_date(value.cast("date")).cast("bigint") * 24 + F.hour(value)) * 60 + F.minute(value)
+    return minutes * 60000 + F.floor(F.extract(F.lit("SECOND"), value) * 1000).cast("bigint")
 
 
 def valid_text(value: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchmill import schemas
+from matchmill.functions.scalars import to_epoch_ms
 from matchmill.operators.transforms import dedupe_first
 
 CHAMPIONS = 170
@@ -108,7 +109,7 @@ def match_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sort_array(F.collect_list(one)).alias("people")
     )
     people = F.transform("people", lambda p: p.dropFields("slot"))
-    created = F.unix_millis(F.col("game_creation").cast("timestamp"))
+    created = to_epoch_ms(F.col("game_creation"))
     joined = documents.join(matches(spark, sf_dir), "match_id")
     document = F.struct(
         F.struct(

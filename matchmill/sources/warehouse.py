@@ -192,7 +192,7 @@ class Warehouse:
         )
         key, n = self._buckets_of(table)
         if key:
-            df = df.withColumn(BUCKET, _bucket(F.col(key), n))
+            df = _few_files(df.withColumn(BUCKET, _bucket(F.col(key), n)))
         counted, seen = _counted(df)
         columns = ", ".join(f"`{c}`" for c in df.columns)
         # The rows' own session: that of a stream's batch is not the one tables are read with.
@@ -318,8 +318,7 @@ class Warehouse:
             counted.write.parquet(location)
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
         else:
-            # Few files per partition, yet a large partition is still written by several tasks.
-            counted.hint("rebalance", F.col(BUCKET)).write.partitionBy(BUCKET).parquet(location)
+            _few_files(counted).write.partitionBy(BUCKET).parquet(location)
             present = {int(r[0].partition("=")[2]) for r in self.spark.sql(f"SHOW PARTITIONS {name}").collect()}
             for bucket in sorted(present if touched is None else present.intersection(touched)):
                 part = f"{name} PARTITION ({BUCKET} = {bucket})"
@@ -332,5 +331,13 @@ def _bucket(key: Column, n: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
 
 
+def _few_files(df: DataFrame) -> DataFrame:
+    """Rows gathered by partition, so that not every task writes to every partition.
+
+    Unlike a repartition, AQE spreads the rows of a large partition over several tasks.
+    """
+    return df.hint("rebalance", F.col(BUCKET))
+
+
 def _same_columns(a: T.StructType, b: T.StructType) -> bool:
     return [(f.name, f.dataType) for f in a] == [(f.name, f.dataType) for f in b]

@@ -172,3 +172,16 @@ def test_guards(spark):
     assert rows(guards.before_after(t, t.where("puuid = 'a'"))) == [(2, 1, 1)]
     with pytest.raises(ValueError):
         guards.require_unique(t.union(t), ["puuid"], "t")
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Europe/Paris"])
+def test_epochs_do_not_depend_on_the_session_zone(spark, settings, zone):
+    settings(spark__sql__session__timeZone=zone)
+    text = ["2024-03-31 02:30:00.123", "2024-10-27 02:30:00", "1969-12-31 23:59:59.5", "2024-03-10 02:15:00"]
+    t = spark.createDataFrame([(x,) for x in text], "x string").selectExpr("CAST(x AS TIMESTAMP_NTZ) AS x")
+    epoch = dt.datetime(1970, 1, 1)
+    ms = [(dt.datetime.fromisoformat(x) - epoch) // dt.timedelta(milliseconds=1) for x in text]
+    assert [r[0] for r in t.select(S.to_epoch_ms(F.col("x"))).collect()] == ms
+    back = t.select(S.from_epoch_ms(S.to_epoch_ms(F.col("x"))), "x")
+    assert all(r[0] == r[1] for r in back.collect())
+    assert transforms.tech_info(t, "job", dt.datetime(2026, 7, 1, 23, 30)).first()[2] == "2026-07-02 01:30:00"
