@@ -93,39 +93,41 @@ def with_views(body: str, *views: str) -> str:
     return "WITH " + ",\n".join(views) + "\n" + body
 
 
-_MEANS = {
-    "avg_damage_per_minute": "total_damage_dealt_to_champions / (game_duration / 60.0)",
-    "avg_physical_damage_per_minute": "physical_damage_dealt_to_champions / (game_duration / 60.0)",
-    "avg_magic_damage_per_minute": "magic_damage_dealt_to_champions / (game_duration / 60.0)",
-    "avg_true_damage_per_minute": "true_damage_dealt_to_champions / (game_duration / 60.0)",
-    "avg_physical_damage_dealt_pct": "physical_damage_dealt_to_champions * 100.0 / greatest(total_damage_dealt_to_champions, 1)",
-    "avg_magic_damage_dealt_pct": "magic_damage_dealt_to_champions * 100.0 / greatest(total_damage_dealt_to_champions, 1)",
-    "avg_true_damage_dealt_pct": "true_damage_dealt_to_champions * 100.0 / greatest(total_damage_dealt_to_champions, 1)",
-    "avg_kills_per_minute": "kills / (game_duration / 60.0)",
-    "avg_deaths_per_minute": "deaths / (game_duration / 60.0)",
-    "avg_assists_per_minute": "assists / (game_duration / 60.0)",
-    "avg_multi_kill_score": "double_kills * 2 + triple_kills * 4 + quadra_kills * 8 + penta_kills * 16",
-    "penta_rate": "CASE WHEN penta_kills > 0 THEN 100.0 ELSE 0.0 END",
-    "avg_damage_taken_per_death": "total_damage_taken / greatest(deaths, 1)",
-    "avg_physical_damage_taken_per_minute": "physical_damage_taken / (game_duration / 60.0)",
-    "avg_magic_damage_taken_per_minute": "magic_damage_taken / (game_duration / 60.0)",
-    "avg_true_damage_taken_per_minute": "true_damage_taken / (game_duration / 60.0)",
-    "avg_physical_damage_taken_pct": "physical_damage_taken * 100.0 / greatest(total_damage_taken, 1)",
-    "avg_magic_damage_taken_pct": "magic_damage_taken * 100.0 / greatest(total_damage_taken, 1)",
-    "avg_true_damage_taken_pct": "true_damage_taken * 100.0 / greatest(total_damage_taken, 1)",
-    "avg_heal_per_minute": "total_heal / (game_duration / 60.0)",
-    "avg_cs_per_minute": "total_minions_killed / (game_duration / 60.0)",
-    "avg_gold_per_minute": "gold_earned / (game_duration / 60.0)",
-    "avg_gold_per_cs": "gold_earned / greatest(total_minions_killed, 1)",
-    "avg_kda": "(kills + assists) / greatest(deaths, 1)",
-    "tanking_index": "(total_damage_taken / (game_duration / 60.0)) * 0.35 + (total_heal / (game_duration / 60.0)) * 0.25"
-    " + (1.0 / greatest(deaths / (game_duration / 60.0), 0.1)) * 0.3 - (deaths / (game_duration / 60.0)) * 50",
-    "damage_index": "(total_damage_dealt_to_champions / (game_duration / 60.0)) * 0.6 + (kills / (game_duration / 60.0)) * 80"
-    " + (double_kills * 2 + triple_kills * 4 + quadra_kills * 8 + penta_kills * 16) * 4"
-    " - (deaths / (game_duration / 60.0)) * 50",
-    "support_index": "(assists / (game_duration / 60.0)) * 180 + (total_heal / (game_duration / 60.0)) * 0.15"
-    " - (deaths / (game_duration / 60.0)) * 80",
-}
+def _means() -> dict[str, str]:
+    """SQL of the row values behind each mean; ``m`` is the length of the game in minutes."""
+    per_minute = {
+        "avg_damage_per_minute": "total_damage_dealt_to_champions",
+        "avg_kills_per_minute": "kills",
+        "avg_deaths_per_minute": "deaths",
+        "avg_assists_per_minute": "assists",
+        "avg_heal_per_minute": "total_heal",
+        "avg_cs_per_minute": "total_minions_killed",
+        "avg_gold_per_minute": "gold_earned",
+    }
+    shares = {}
+    for kind in ("physical", "magic", "true"):
+        per_minute[f"avg_{kind}_damage_per_minute"] = f"{kind}_damage_dealt_to_champions"
+        per_minute[f"avg_{kind}_damage_taken_per_minute"] = f"{kind}_damage_taken"
+        for suffix, base in (("dealt_pct", "damage_dealt_to_champions"), ("taken_pct", "damage_taken")):
+            shares[f"avg_{kind}_damage_{suffix}"] = f"100.0 * {kind}_{base} / greatest(1, total_{base})"
+    multi = "2 * double_kills + 4 * triple_kills + 8 * quadra_kills + 16 * penta_kills"
+    return {
+        **{name: f"{column} / m" for name, column in per_minute.items()},
+        **shares,
+        "avg_multi_kill_score": multi,
+        "penta_rate": "100 * (penta_kills > 0)::INTEGER",
+        "avg_damage_taken_per_death": "total_damage_taken / greatest(1, deaths)",
+        "avg_gold_per_cs": "gold_earned / greatest(1, total_minions_killed)",
+        "avg_kda": "(assists + kills) / greatest(1, deaths)",
+        "tanking_index": "0.35 * total_damage_taken / m + 0.25 * total_heal / m - 50 * deaths / m"
+        " + 0.3 / greatest(0.1, deaths / m)",
+        "damage_index": "0.6 * total_damage_dealt_to_champions / m + 80 * kills / m - 50 * deaths / m"
+        f" + 4 * ({multi})",
+        "support_index": "180 * assists / m + 0.15 * total_heal / m - 80 * deaths / m",
+    }
+
+
+MEANS = _means()
 
 
 def kpi_sql(keys: list[str], digits: int | None = 6) -> str:
@@ -134,14 +136,15 @@ def kpi_sql(keys: list[str], digits: int | None = 6) -> str:
         average = f"avg(CAST({expression} AS DOUBLE))"
         return rounded_sql(average, digits) if digits is not None else average
 
-    metrics = [f"{mean(e)} AS {name}" for name, e in _MEANS.items()]
+    metrics = [f"{mean(e)} AS {name}" for name, e in MEANS.items()]
     metrics += [
         "count(*) AS total_games",
         "CAST(max(kills) AS BIGINT) AS best_kills",
         "CAST(max(total_damage_dealt_to_champions) AS BIGINT) AS best_damage",
         "CAST(min(deaths) AS BIGINT) AS best_deaths",
     ]
-    return f"SELECT {', '.join(keys)}, {', '.join(metrics)}\nFROM s WHERE game_duration > 120"
+    rows = "SELECT *, CAST(game_duration AS DOUBLE) / 60 AS m FROM s WHERE game_duration > 120"
+    return f"SELECT {', '.join(keys)}, {', '.join(metrics)}\nFROM ({rows}) played"
 
 
 PLAYER_INPUT = """s AS (

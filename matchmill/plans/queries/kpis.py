@@ -59,7 +59,7 @@ QUERIES: dict[str, Query] = {
 def _panel(spec: D.Panel) -> Query:
     value = CHOSEN.get(spec.key)
     columns = ", ".join(
-        f'{C.rounded_sql(c)} AS "{label}"' if c in C._MEANS else f'{c} AS "{label}"'
+        f'{C.rounded_sql(c)} AS "{label}"' if c in C.MEANS else f'{c} AS "{label}"'
         for c, label in spec.labels.items()
     )
     where = f" WHERE {spec.key} = '{value}'" if spec.key else ""

@@ -134,3 +134,10 @@ def test_thirty_math_columns_in_one_projection(spark):
     assert len(rows.columns) == 31 and plan(rows).count("Project") == 1
     wide = W.wide_aggregate(rows, rows.columns[1:])
     assert len(wide.columns) == 50
+
+
+def test_partitioned_writes_can_be_split(spark):
+    from matchmill.sources.warehouse import BUCKET, _few_files
+
+    text = plan(_few_files(spark.range(10).withColumn(BUCKET, F.lit(1))))
+    assert "REBALANCE_PARTITIONS_BY_COL" in text
