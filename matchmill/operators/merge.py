@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from matchmill.functions.scalars import sql_function
 from matchmill.operators.guards import duplicate_keys, identifier
 from matchmill.operators.joins import anti_join, key_table
+from matchmill.operators.transforms import one_per_key
 from matchmill.session import cut_lineage
 
 CREATED, MODIFIED = "tech_date_creation", "tech_date_modification"
@@ -165,8 +166,7 @@ def insert_ignore(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> Da
 
     Of several new rows with one key a single one is kept, as the key is unique in the target.
     """
-    kept = rows.dropDuplicates(list(keys))
-    return unmatched_source(target, kept, keys)
+    return unmatched_source(target, one_per_key(rows, keys), keys)
 
 
 def _set_value(value: Any) -> Column:

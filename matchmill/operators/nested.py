@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from matchmill import schemas
 from matchmill.functions import scalars as S
+from matchmill.operators.transforms import one_per_key
 
 # The ranked queue looked up per player, and the id-page limits.
 RANKED_QUEUE = "RANKED_SOLO_5x5"
@@ -123,7 +124,7 @@ def player_info(players: DataFrame, accounts: DataFrame, entries: DataFrame) ->
     wanted = players.select("puuid").distinct()
 
     def of_wanted(landed: DataFrame) -> DataFrame:
-        return landed.join(wanted, "puuid", "left_semi").dropDuplicates(["puuid"])
+        return one_per_key(landed.join(wanted, "puuid", "left_semi"), ["puuid"])
 
     names = of_wanted(accounts).select(
         "puuid", F.col("gameName").alias("game_name"), F.col("tagLine").alias("tag_line")

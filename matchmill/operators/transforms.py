@@ -35,6 +35,12 @@ def dedupe_first(df: DataFrame, subset: Sequence[str], order: Sequence[Column |
     return df.withColumn("_first", F.row_number().over(window)).where("_first = 1").drop("_first")
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key where rows of a key are alike or any will do: the smallest, so that reruns agree."""
+    rest = [c for c in df.columns if c not in keys]
+    return dedupe_first(df, keys, rest) if rest else df.distinct()
+
+
 def dedupe_keys(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     """Distinct keys, for tables whose whole row is the key; combined map-side."""
     return df.select(*subset).distinct()

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from matchmill import schemas
 from matchmill.functions import dates
 from matchmill.operators import guards, nested, transforms
-from matchmill.operators.extract import extract
 from matchmill.plans import kpi as K
 from matchmill.session import cut_lineage
 from matchmill.sources.warehouse import Warehouse
@@ -67,8 +66,8 @@ def reference_items(run: Run, landed: DataFrame) -> dict[str, Any]:
 
 def players_to_enrich(warehouse: Warehouse, limit: int | None = PLAYERS_PER_RUN) -> DataFrame:
     """Players without a name; never-processed ones come first."""
-    return extract(
-        warehouse.read(schemas.FACT_PLAYERS.name),
+    return warehouse.extract(
+        schemas.FACT_PLAYERS.name,
         ["puuid"],
         where={"game_name": "is null", "tag_line": "is null"},
         order=["date_processed DESC", "puuid"],
@@ -78,8 +77,8 @@ def players_to_enrich(warehouse: Warehouse, limit: int | None = PLAYERS_PER_RUN)
 
 def players_to_follow(warehouse: Warehouse, limit: int | None = PLAYERS_FOR_MATCHES) -> DataFrame:
     """Players whose matches are listed next; never-processed ones come last."""
-    return extract(
-        warehouse.read(schemas.FACT_PLAYERS_TO_PROCESS.name),
+    return warehouse.extract(
+        schemas.FACT_PLAYERS_TO_PROCESS.name,
         ["puuid"],
         order=["date_processed ASC", "puuid"],
         limit=limit,
@@ -88,8 +87,8 @@ def players_to_follow(warehouse: Warehouse, limit: int | None = PLAYERS_FOR_MATC
 
 def matches_to_fetch(warehouse: Warehouse, limit: int | None = MATCHES_PER_RUN) -> DataFrame:
     """The oldest matches not processed yet."""
-    return extract(
-        warehouse.read(schemas.FACT_MATCH.name),
+    return warehouse.extract(
+        schemas.FACT_MATCH.name,
         ["match_id"],
         where={"is_processed": "is false"},
         order=["tech_date_creation ASC", "match_id"],

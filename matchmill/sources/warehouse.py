@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from matchmill import schemas
 from matchmill.functions import dates
 from matchmill.operators import guards, merge, transforms
+from matchmill.operators.extract import Join, extract
 from matchmill.session import cut_lineage
 
 BUCKET = "key_bucket"
@@ -26,7 +27,11 @@ ROWS = "n_rows"
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """``df`` with its rows counted by whatever job writes it."""
+    """``df`` with its rows counted by whatever job writes it.
+
+    A task run again after a loss may be counted twice: the number is for reports and
+    for telling an empty result.
+    """
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias(ROWS)), seen
 
@@ -128,6 +133,31 @@ class Warehouse:
     def _stored(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
+    def extract(
+        self,
+        table: str,
+        select: Sequence[str] | None = None,
+        joins: Sequence[Mapping[str, Any]] = (),
+        where: Mapping[str, Any] | None = None,
+        order: str | Sequence[str] | None = None,
+        limit: int | None = None,
+        skip_empty: bool = False,
+    ) -> DataFrame:
+        """``operators.extract`` by table name.
+
+        A join is a mapping of ``table``, ``on``, and optionally ``alias`` and ``type``; a
+        joined table without a schema is in the main table's. ``skip_empty`` ends the job
+        as skipped when nothing is found.
+        """
+        schema, _ = self._split(table)
+        listed = []
+        for join in joins:
+            name = join["table"] if "." in join["table"] else f"{schema}.{join['table']}"
+            alias = join.get("alias") or name.rpartition(".")[2]
+            listed.append(Join(self.read(name), join["on"], alias, join.get("type", "INNER")))
+        found = extract(self.read(table), select, listed, where, order, limit)
+        return guards.skip_if_empty(found, table) if skip_empty else found
+
     # ---- inserting ----
 
     def insert(

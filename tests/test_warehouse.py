@@ -146,3 +146,23 @@ def test_fixed_tables(spark, warehouse):
     warehouse.insert_lines(schemas.FACT_MATCH.name, [{"match_id": "m"}])
     row = warehouse.read(schemas.FACT_MATCH.name).first()
     assert row["is_processed"] is False and row["game_in_progress"] is False and row["tech_date_creation"] is not None
+
+
+def test_extract_by_name(spark, warehouse):
+    warehouse.insert(frame(spark, [("a", 1), ("b", 2)]), "fact.t")
+    warehouse.insert(frame(spark, [("a", 10)]), "fact.u")
+    warehouse.insert(frame(spark, [("b", 20)]), "mart.u")
+    out = warehouse.extract(
+        "fact.t",
+        ["t_main.k", "x.v", "m.v AS w"],
+        joins=[
+            {"table": "u", "on": "t_main.k = x.k", "alias": "x", "type": "LEFT"},
+            {"table": "mart.u", "on": "t_main.k = m.k", "alias": "m", "type": "LEFT"},
+        ],
+        order="t_main.k",
+    )
+    assert rows(out) == [("a", 10, None), ("b", None, 20)]
+    plain = warehouse.extract("fact.t", ["t_main.v + u.v AS total"], joins=[{"table": "u", "on": "t_main.k = u.k"}])
+    assert rows(plain) == [(11,)]
+    with pytest.raises(guards.SkipJob):
+        warehouse.extract("fact.t", where={"k": "z"}, skip_empty=True)
