@@ -58,7 +58,7 @@ FX_PLAYER = """fx_player AS (
   SELECT concat('P', CAST(s_suppkey AS VARCHAR)) AS puuid, s_name AS game_name,
          concat('TAG', CAST(s_nationkey AS VARCHAR)) AS tag_line,
          CASE WHEN s_suppkey % 5 = 0 THEN NULL
-              ELSE TIMESTAMP '2024-01-01 00:00:00' + s_suppkey * INTERVAL '1' DAY END AS date_processed
+              ELSE TIMESTAMP '2024-01-01 00:00:00' + (s_suppkey % 3650) * INTERVAL '1' DAY END AS date_processed
   FROM supplier WHERE s_acctbal >= 0)"""
 
 FX_RAW_STATS = """fx_raw_stats AS (

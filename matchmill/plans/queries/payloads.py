@@ -64,7 +64,7 @@ def id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.select(
         "puuid",
         "queue",
-        (F.col("page") * nested.PAGE_SIZE).cast("int").alias("start"),
+        (F.col("page") * nested.PAGE_SIZE).alias("start"),
         F.transform("ids", lambda x: x["id"]).alias("match_ids"),
     )
 

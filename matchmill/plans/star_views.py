@@ -44,7 +44,7 @@ def players(spark: SparkSession, sf_dir: str) -> DataFrame:
             "s_name AS game_name",
             "concat('TAG', s_nationkey) AS tag_line",
             "CASE WHEN s_suppkey % 5 = 0 THEN NULL "
-            "ELSE TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(int(s_suppkey)) END AS date_processed",
+            "ELSE TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(int(s_suppkey % 3650)) END AS date_processed",
         )
     )
 

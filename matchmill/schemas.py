@@ -205,7 +205,7 @@ MATCH_PAYLOAD = (
     "info struct<gameCreation: bigint, gameDuration: bigint, gameMode: string, gameVersion: string, "
     f"gameEndTimestamp: bigint, participants: array<struct<{_participant_type()}>>>, {CORRUPT} string"
 )
-ID_PAGE = "puuid string, queue int, start int, match_ids array<string>"
+ID_PAGE = "puuid string, queue int, start bigint, match_ids array<string>"
 ACCOUNT = "puuid string, gameName string, tagLine string"
 LEAGUE_ENTRIES = "puuid string, entries array<struct<queueType: string, tier: string, rank: string>>"
 CHAMPIONS = (
