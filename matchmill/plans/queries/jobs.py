@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchmill import schemas
+from matchmill.functions import dates
 from matchmill.plans import jobs as J
 from matchmill.plans import star_views as V
 from matchmill.plans.queries import common as C
@@ -116,7 +117,7 @@ def _enrich_stats_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _stats_run(spark, sf_dir)
     return run.warehouse.read(schemas.FACT_MATCH.name).select(
         "match_id", "puuid_1", "puuid_7", "game_duration", "game_in_progress", "is_processed", "tech_date_modification"
-    ).withColumn("tech_date_modification", F.col("tech_date_modification") == F.lit(TIME).cast("timestamp_ntz"))
+    ).withColumn("tech_date_modification", F.col("tech_date_modification") == dates.utc_timestamp(TIME))
 
 
 def _enrich_stats_players(spark: SparkSession, sf_dir: str) -> DataFrame:
