@@ -5,231 +5,159 @@ card number becomes another that passes the Luhn check, an address another addre
 date. A permutation gives equal values equal pseudonyms in all documents and different values
 different ones, without any table of what has been seen.
 
-All of it is Spark expressions over one row: a pattern finds the values, an array of them is mapped,
-and the text is put together again from the pieces between them.
+All of it is Spark SQL over one row: a pattern finds the values, an array of them is mapped step by
+step, and the text is put together again from the pieces between them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Rounds of each network.
 ROUNDS = 8
 
-# The formats, in the order in which a place in a text is tried. No quantifier can
-# give back what it took, so a long run of like characters costs one pass.
+# The formats, in the order in which a place in a text is tried. No quantifier that
+# runs over like characters gives back what it took, so a long run of them costs one pass.
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-PATTERNS = {
+WORDS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{40}|[0-9A-F]{40}|[0-9a-f]{32}|[0-9A-F]{32}|[0-9a-f]{64}|[0-9A-F]{64})(?![0-9A-Za-z])",
+}
+NUMBERS = {
     "ip": rf"(?<![0-9A-Za-z.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9A-Za-z]|\.[0-9])",
-    "date": r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z]|[./-][0-9])",
-    "phone": r"(?<![0-9A-Za-z(+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z]|-[0-9])|(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}+(?![0-9A-Za-z])",
+    "date": r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}"
+    r"|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z]|[./-][0-9])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
-    "card": r"(?<![0-9A-Za-z.-])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z]|[-][0-9])",
+    "phone": r"(?<![0-9A-Za-z(+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z]|-[0-9])"
+    r"|(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}+(?![0-9A-Za-z])",
+    "card": r"(?<![0-9A-Za-z.-])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z]|-[0-9])",
 }
-KINDS = tuple(PATTERNS)
-_ANY = "|".join(PATTERNS.values())
+KINDS = (*WORDS, *NUMBERS)
+_ANY = "|".join([*WORDS.values(), f"(?=[0-9+(])(?:{'|'.join(NUMBERS.values())})"])
 
-#: The Gregorian calendar repeats after so many days, 189 * 773; dates stay within the 400 years from 1800.
-_CYCLE = (189, 773)
-_FIRST_DAY = "1800-01-01"
+#: The Gregorian calendar repeats after 189 * 773 days; dates stay within the 400 years from 1800.
+_YEARS_400 = (189, 773)
+_FIRST_DAY = "DATE'1800-01-01'"
 
 
-def _rounds(value: Column, key: str, tag: str, sizes: tuple[Column, Column]) -> Column:
-    """A network over a struct (left below sizes[0], right below sizes[1]): each round adds noise of one half to the other.
+def _text(value: str) -> str:
+    """A SQL literal of any string."""
+    return f"CAST(X'{value.encode().hex()}' AS STRING)"
 
-    The rounds are a fold, so that the expression does not double with each of them.
-    """
-    return F.aggregate(
-        F.sequence(F.lit(0), F.lit(ROUNDS - 1)),
-        value,
-        lambda acc, step: F.when(
-            step % 2 == 0,
-            F.struct(F.pmod(acc["left"] + F.pmod(_noise_at(key, tag, step, acc["right"]), sizes[0]), sizes[0]).alias("left"), acc["right"].alias("right")),
-        ).otherwise(
-            F.struct(acc["left"].alias("left"), F.pmod(acc["right"] + F.pmod(_noise_at(key, tag, step, acc["left"]), sizes[1]), sizes[1]).alias("right"))
-        ),
-    )
 
+def _noise(key: str, *parts: str) -> str:
+    """A number below 2**60 that depends on the key and the parts."""
+    joined = ", ".join([_text(key), *[f"'\x1f', CAST({p} AS STRING)" for p in parts]])
+    return f"CAST(conv(substr(sha2(concat({joined}), 256), 1, 15), 16, 10) AS BIGINT)"
 
-def _noise_at(key: str, tag: str, step: Column, half: Column) -> Column:
-    """A number below 2**60 that depends on the key, the format, the round and a half."""
-    digest = F.sha2(F.concat(F.lit(f"{key}\x1f{tag}\x1f"), step.cast("string"), F.lit("\x1f"), half.cast("string")), 256)
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
+def _network(start: str, left: str, right: str) -> str:
+    """Rounds over a struct (left, right), each half in turn changed by the other; ``left`` and ``right`` are SQL over acc and step."""
+    return f"""aggregate(sequence(0, {ROUNDS - 1}), {start}, (acc, step) -> IF(step % 2 = 0,
+        named_struct('left', {left}, 'right', acc.right), named_struct('left', acc.left, 'right', {right})))"""
 
-def _power(n: Column) -> Column:
-    return F.pow(F.lit(10.0), n).cast("long")
-
-
-def permute_digits(digits: Column, key: str, tag: str) -> Column:
-    """A string of 2 to 19 digits as another of its length."""
-    n = F.length(digits)
-    front = F.floor(n / 2).cast("int")
-    back = n - front
-    start = F.struct(
-        F.substring(digits, F.lit(1), front).cast("long").alias("left"),
-        F.substring(digits, front + 1, back).cast("long").alias("right"),
-    )
-    halves = _rounds(start, key, tag, (_power(front), _power(back)))
-    return F.concat(F.lpad(halves["left"].cast("string"), front, "0"), F.lpad(halves["right"].cast("string"), back, "0"))
 
-
-def luhn(digits: Column) -> Column:
+def _luhn(digits: str) -> str:
     """The Luhn sum modulo 10; a number is valid at 0."""
-    places = F.sequence(F.lit(1), F.length(digits))
-    return F.aggregate(
-        places,
-        F.lit(0),
-        lambda acc, i: acc + _luhn_place(F.substring(digits, -i, F.lit(1)).cast("int"), i % 2 == 0),
-    ) % 10
-
-
-def _luhn_place(digit: Column, doubled: Column) -> Column:
-    return F.when(doubled, digit * 2 - F.when(digit > 4, 9).otherwise(0)).otherwise(digit)
+    digit = f"CAST(substr({digits}, -i, 1) AS INT)"
+    return f"aggregate(sequence(1, length({digits})), 0, (sum, i) -> sum + IF(i % 2 = 1, {digit}, {digit} * 2 - IF({digit} > 4, 9, 0))) % 10"
 
 
-def _refill(value: Column, digits: Column) -> Column:
+def _refilled(value: str, digits: str) -> str:
     """The value with its digits replaced, one after the other; all else stays in its place."""
-    filled = F.aggregate(
-        F.split(value, ""),
-        F.struct(F.lit("").alias("text"), F.lit(1).alias("at")),
-        lambda acc, c: F.when(
-            c.rlike("[0-9]"),
-            F.struct(F.concat(acc["text"], F.substring(digits, acc["at"], F.lit(1))).alias("text"), (acc["at"] + 1).alias("at")),
-        ).otherwise(F.struct(F.concat(acc["text"], c).alias("text"), acc["at"].alias("at"))),
+    step = f"""IF(c BETWEEN '0' AND '9', named_struct('done', concat(acc.done, substr({digits}, acc.place, 1)), 'place', acc.place + 1),
+        named_struct('done', concat(acc.done, c), 'place', acc.place))"""
+    return f"aggregate(split({value}, ''), named_struct('done', '', 'place', 1), (acc, c) -> {step}, acc -> acc.done)"
+
+
+def _power(n: str) -> str:
+    return f"CAST(pow(10, {n}) AS BIGINT)"
+
+
+def _halves(left: str, right: str, sizes: tuple[str, str], valid: str = "true") -> str:
+    """Two numbers below two sizes, or null for a value that fails its check."""
+    return f"""IF({valid}, named_struct('left', CAST({left} AS BIGINT), 'right', CAST({right} AS BIGINT),
+        'lefts', CAST({sizes[0]} AS BIGINT), 'rights', CAST({sizes[1]} AS BIGINT)), NULL)"""
+
+
+def _digit_halves(digits: str, valid: str) -> str:
+    front = f"(length({digits}) DIV 2)"
+    back = f"(length({digits}) - {front})"
+    numbers = f"substr({digits}, 1, CAST({front} AS INT))", f"substr({digits}, CAST({front} AS INT) + 1)"
+    return _halves(*numbers, (_power(front), _power(back)), valid)
+
+
+#: v.value's date format; where a slash parts them the day comes first, unless only the other order is a date.
+_FORMAT = """CASE WHEN substr(v.value, 5, 1) = '-' THEN 'yyyy-MM-dd' WHEN substr(v.value, 5, 1) = '/' THEN 'yyyy/MM/dd'
+    WHEN substr(v.value, 3, 1) = '.' THEN 'dd.MM.yyyy'
+    WHEN try_to_timestamp(v.value, 'dd/MM/yyyy') IS NOT NULL THEN 'dd/MM/yyyy' ELSE 'MM/dd/yyyy' END"""
+#: A phone's country code, which stays.
+_CODE = r"regexp_extract(v.value, r'^([+][0-9]{1,3}[ .-]?(?=[(0-9]))', 1)"
+
+
+def _steps(key: str) -> list[str]:
+    """SQL that maps the array ``values`` of (kind, value), one step after the other, to one with a pseudonym."""
+    patterns = {**WORDS, **NUMBERS}
+    kind = " ".join(f"WHEN v RLIKE {_text(f'^(?:{p})$')} THEN '{k}'" for k, p in patterns.items())
+    body = "CASE v.kind WHEN 'card' THEN substr(v.digits, 1, length(v.digits) - 1) ELSE v.digits END"
+    area, group, serial = (f"CAST(substr(v.value, {a}, {n}) AS BIGINT)" for a, n in ((1, 3), (5, 2), (8, 4)))
+    octet = [f"CAST(split(v.value, '[.]')[{i}] AS BIGINT)" for i in range(4)]
+    days = f"datediff(CAST(try_to_timestamp(v.value, v.format) AS DATE), {_FIRST_DAY})"
+    cycle = _YEARS_400
+    halves = f"""CASE v.kind
+        WHEN 'ip' THEN {_halves(f"{octet[0]} * 256 + {octet[1]}", f"{octet[2]} * 256 + {octet[3]}", ("65536", "65536"))}
+        WHEN 'date' THEN {_halves(f"v.days DIV {cycle[1]}", f"v.days % {cycle[1]}", (str(cycle[0]), str(cycle[1])), f"v.days BETWEEN 0 AND {cycle[0] * cycle[1] - 1}")}
+        WHEN 'ssn' THEN {_halves(f"{area} - IF({area} > 666, 2, 1)", f"({group} - 1) * 9999 + {serial} - 1", ("898", "99 * 9999"), f"{area} NOT IN (0, 666) AND {area} < 900 AND {group} > 0 AND {serial} > 0")}
+        WHEN 'phone' THEN {_digit_halves("v.body", "length(v.body) BETWEEN 7 AND 15")}
+        WHEN 'card' THEN {_digit_halves("v.body", f"{_luhn('v.digits')} = 0")} END"""
+    numbers = _network(
+        "named_struct('left', v.halves.left, 'right', v.halves.right)",
+        f"pmod(acc.left + pmod({_noise(key, 'v.kind', 'step', 'acc.right')}, v.halves.lefts), v.halves.lefts)",
+        f"pmod(acc.right + pmod({_noise(key, 'v.kind', 'step', 'acc.left')}, v.halves.rights), v.halves.rights)",
     )
-    return filled["text"]
-
-
-def _digits(value: Column) -> Column:
-    return F.regexp_replace(value, "[^0-9]", "")
-
-
-def _card(value: Column, key: str) -> Column:
-    """All digits but the last are permuted; the last is set so that the number stays valid."""
-    digits = _digits(value)
-    body = permute_digits(F.substring(digits, F.lit(1), F.length(digits) - 1), key, "card")
-    check = F.pmod(10 - luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string")
-    return F.when(luhn(digits) == 0, _refill(value, F.concat(body, check)))
-
-
-def _ip(value: Column, key: str) -> Column:
-    part = F.split(value, r"\.")
-    number = [part[i].cast("long") for i in range(4)]
-    start = F.struct((number[0] * 256 + number[1]).alias("left"), (number[2] * 256 + number[3]).alias("right"))
-    halves = _rounds(start, key, "ip", (F.lit(65536), F.lit(65536)))
-    out = [F.floor(halves["left"] / 256), halves["left"] % 256, F.floor(halves["right"] / 256), halves["right"] % 256]
-    return F.concat_ws(".", *[x.cast("long").cast("string") for x in out])
-
-
-def _date(value: Column, key: str) -> Column:
-    """Valid dates from 1800 to 2199, days first where a slash or stop parts them, else months first."""
-    formats = {
-        r"^[0-9]{4}-": ["yyyy-MM-dd"],
-        r"^[0-9]{4}/": ["yyyy/MM/dd"],
-        r"^[0-9]{2}\.": ["dd.MM.yyyy"],
-        r"^[0-9]{2}/": ["dd/MM/yyyy", "MM/dd/yyyy"],
-    }
-    out = F.lit(None).cast("string")
-    for start, kinds in formats.items():
-        for kind in reversed(kinds):
-            read = F.try_to_timestamp(value, F.lit(kind)).cast("date")
-            days = F.datediff(read, F.lit(_FIRST_DAY).cast("date"))
-            pair = F.struct(F.floor(days / _CYCLE[1]).cast("long").alias("left"), F.pmod(days, F.lit(_CYCLE[1])).cast("long").alias("right"))
-            halves = _rounds(pair, key, "date", (F.lit(_CYCLE[0]), F.lit(_CYCLE[1])))
-            moved = F.date_add(F.lit(_FIRST_DAY).cast("date"), (halves["left"] * _CYCLE[1] + halves["right"]).cast("int"))
-            valid = value.rlike(start) & read.isNotNull() & (days >= 0) & (days < _CYCLE[0] * _CYCLE[1])
-            out = F.when(valid, F.date_format(moved, kind)).otherwise(out)
-    return out
-
-
-def _phone(value: Column, key: str) -> Column:
-    """The country code stays; 7 to 15 digits in all."""
-    code = F.regexp_extract(value, r"^(\+[0-9]{1,3}[ .-]?(?=[(0-9]))", 1)
-    rest = F.substring(value, F.length(code) + 1, F.length(value))
-    digits = _digits(rest)
-    return F.when(F.length(digits).between(7, 15), F.concat(code, _refill(rest, permute_digits(digits, key, "phone"))))
-
-
-def _ssn(value: Column, key: str) -> Column:
-    """Areas 000, 666 and from 900, group 00 and serial 0000 are not given out; the pseudonym is never one of them.
-
-    Areas are permuted among the 898 that exist, the rest among 99 * 9999.
-    """
-    area, group, serial = (F.substring(value, a, b).cast("long") for a, b in ((1, 3), (5, 2), (8, 4)))
-    valid = (area > 0) & (area != 666) & (area < 900) & (group > 0) & (serial > 0)
-    start = F.struct((area - 1 - (area > 666).cast("long")).alias("left"), ((group - 1) * 9999 + serial - 1).alias("right"))
-    halves = _rounds(start, key, "ssn", (F.lit(898), F.lit(99 * 9999)))
-    new_area = halves["left"] + 1 + (halves["left"] >= 665).cast("long")
-    new_group, new_serial = F.floor(halves["right"] / 9999) + 1, halves["right"] % 9999 + 1
-    parts = [F.lpad(x.cast("long").cast("string"), n, "0") for x, n in ((new_area, 3), (new_group, 2), (new_serial, 4))]
-    return F.when(valid, F.concat_ws("-", *parts))
-
-
-def _letters(value: Column, key: str, tag: str, alphabet: str) -> Column:
-    """A string over an alphabet: its halves are shifted, character by character, by noise of each other.
-
-    Characters outside the alphabet keep their places.
-    """
-    size = len(alphabet)
-    front = F.floor(F.length(value) / 2).cast("int")
-    start = F.struct(F.substring(value, F.lit(1), front).alias("left"), F.substring(value, front + 1, F.length(value)).alias("right"))
-
-    def shifted(text: Column, other: Column, step: Column) -> Column:
-        def one(c: Column, i: Column) -> Column:
-            digest = F.sha2(F.concat(F.lit(f"{key}\x1f{tag}\x1f"), step.cast("string"), F.lit("\x1f"), i.cast("string"), F.lit("\x1f"), other), 256)
-            noise = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
-            at = F.instr(F.lit(alphabet), c)
-            return F.when(at > 0, F.substring(F.lit(alphabet), F.pmod(at - 1 + noise, F.lit(size)).cast("int") + 1, F.lit(1))).otherwise(c)
-
-        return F.array_join(F.transform(F.split(text, ""), one), "")
-
-    halves = F.aggregate(
-        F.sequence(F.lit(0), F.lit(ROUNDS - 1)),
-        start,
-        lambda acc, step: F.when(
-            step % 2 == 0, F.struct(shifted(acc["left"], acc["right"], step).alias("left"), acc["right"].alias("right"))
-        ).otherwise(F.struct(acc["left"].alias("left"), shifted(acc["right"], acc["left"], step).alias("right"))),
+    # An email's name and host, or a secret: characters of an alphabet are shifted by noise of the other half.
+    alphabet = "IF(v.kind = 'secret', '0123456789abcdef', '0123456789abcdefghijklmnopqrstuvwxyz')"
+    size = "IF(v.kind = 'secret', 16, 36)"
+
+    def shifted(text: str, other: str) -> str:
+        at = f"pmod(instr({alphabet}, c) - 1 + {_noise(key, 'v.kind', 'step', 'i', other)}, {size})"
+        return f"array_join(transform(split({text}, ''), (c, i) -> IF(instr({alphabet}, c) > 0, substr({alphabet}, CAST({at} AS INT) + 1, 1), c)), '')"
+
+    front = "CAST(length(v.letters) DIV 2 AS INT)"
+    letters = _network(
+        f"named_struct('left', substr(v.letters, 1, {front}), 'right', substr(v.letters, {front} + 1))",
+        shifted("acc.left", "acc.right"),
+        shifted("acc.right", "acc.left"),
     )
-    return F.concat(halves["left"], halves["right"])
-
-
-def _email(value: Column, key: str) -> Column:
-    """The name before the @ among letters and digits, its dots in place; the domain's last two parts stay a domain."""
-    name, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
-    top = F.substring_index(domain, ".", -1)
-    host = F.substring(domain, F.lit(1), F.length(domain) - F.length(top) - 1)
-    alphabet = "abcdefghijklmnopqrstuvwxyz0123456789"
-    return F.concat(_letters(F.lower(name), key, "name", alphabet), F.lit("@"), _letters(F.lower(host), key, "host", alphabet), F.lit("."), top)
-
-
-def _secret(value: Column, key: str) -> Column:
-    lower = value == F.lower(value)
-    out = _letters(F.lower(value), key, "secret", "0123456789abcdef")
-    return F.when(lower, out).otherwise(F.upper(out))
-
-
-_PSEUDONYMS: dict[str, Callable[[Column, str], Column]] = {
-    "email": _email,
-    "secret": _secret,
-    "ip": _ip,
-    "date": _date,
-    "phone": _phone,
-    "ssn": _ssn,
-    "card": _card,
-}
-
-
-def _kind(value: Column) -> Column:
-    out = F.lit(None).cast("string")
-    for kind, pattern in reversed(PATTERNS.items()):
-        out = F.when(value.rlike(rf"^(?:{pattern})$"), kind).otherwise(out)
-    return out
+    joined = "concat(lpad(CAST(v.moved.left AS STRING), CAST(length(v.body) DIV 2 AS INT), '0'), lpad(CAST(v.moved.right AS STRING), length(v.body) - CAST(length(v.body) DIV 2 AS INT), '0'))"
+    with_check = f"concat(v.body, CAST(pmod(10 - {_luhn("concat(v.body, '0')")}, 10) AS STRING))"
+    pseudonym = f"""CASE v.kind
+        WHEN 'ip' THEN concat_ws('.', v.moved.left DIV 256, v.moved.left % 256, v.moved.right DIV 256, v.moved.right % 256)
+        WHEN 'date' THEN date_format(date_add({_FIRST_DAY}, CAST(v.moved.left * {cycle[1]} + v.moved.right AS INT)), v.format)
+        WHEN 'ssn' THEN concat_ws('-', lpad(CAST(v.moved.left + IF(v.moved.left >= 665, 2, 1) AS STRING), 3, '0'),
+            lpad(CAST(v.moved.right DIV 9999 + 1 AS STRING), 2, '0'), lpad(CAST(v.moved.right % 9999 + 1 AS STRING), 4, '0'))
+        WHEN 'phone' THEN concat({_CODE}, {_refilled(f"substr(v.value, length({_CODE}) + 1)", "v.body")})
+        WHEN 'card' THEN {_refilled("v.value", "v.body")} END"""
+    keep = "'kind', v.kind, 'value', v.value"
+    return [
+        f"transform(values, v -> named_struct('kind', CASE {kind} END, 'value', v))",
+        f"""transform(values, v -> named_struct({keep},
+            'digits', CASE v.kind WHEN 'phone' THEN regexp_replace(substr(v.value, length({_CODE}) + 1), '[^0-9]', '') WHEN 'card' THEN regexp_replace(v.value, '[^0-9]', '') END,
+            'format', CASE v.kind WHEN 'date' THEN {_FORMAT} END,
+            'letters', lower(CASE v.kind WHEN 'secret' THEN v.value WHEN 'email' THEN regexp_extract(v.value, '^(.*)[.]', 1) END)))""",
+        f"transform(values, v -> named_struct({keep}, 'digits', v.digits, 'body', {body}, 'format', v.format, 'letters', v.letters, 'days', IF(v.kind = 'date', {days}, NULL)))",
+        f"transform(values, v -> named_struct({keep}, 'body', v.body, 'format', v.format, 'letters', v.letters, 'halves', {halves}))",
+        f"""transform(values, v -> named_struct({keep}, 'body', v.body, 'format', v.format,
+            'moved', IF(v.halves IS NULL, NULL, {numbers}), 'letters', IF(v.letters IS NULL, NULL, {letters})))""",
+        f"""transform(values, v -> named_struct({keep}, 'moved', v.moved, 'format', v.format,
+            'body', IF(v.kind IN ('phone', 'card') AND v.moved IS NOT NULL, {joined}, NULL), 'letters', concat(v.letters.left, v.letters.right)))""",
+        f"transform(values, v -> named_struct({keep}, 'moved', v.moved, 'format', v.format, 'letters', v.letters, 'body', IF(v.kind = 'card', {with_check}, v.body)))",
+        f"""transform(values, v -> named_struct({keep}, 'pseudonym', CASE
+            WHEN v.kind = 'email' THEN concat(v.letters, '.', substring_index(v.value, '.', -1))
+            WHEN v.kind = 'secret' THEN IF(v.value = lower(v.value), v.letters, upper(v.letters))
+            WHEN v.moved IS NOT NULL THEN {pseudonym} END))""",
+    ]
 
 
 def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
@@ -237,26 +165,19 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
 
     ``text`` has each value that is valid in its format replaced by its pseudonym, and is the
     original where none is found; ``found`` has (kind, value, pseudonym) of each in text order.
-    Numbers that fail their check (a Luhn sum, a day that does not exist) stay as they are. A null
-    text stays null, with nothing found. Other columns are not read; repeated rows are repeated.
+    Numbers that fail their check (a Luhn sum, a day that does not exist, a year out of 1800 to
+    2199) stay as they are. Letters of an email come back in lower case; its last part stays. A
+    null text stays null, with nothing found. Other columns are not read; repeated rows are repeated.
     """
-    values = F.regexp_extract_all(F.col("text"), F.lit(f"({_ANY})"), 1)
-    taken = docs.select("doc_id", "text", F.transform(values, lambda v: F.struct(_kind(v).alias("kind"), v.alias("value"))).alias("values"))
-
-    def replaced(v: Column) -> Column:
-        out = F.lit(None).cast("string")
-        for kind, pseudonym in _PSEUDONYMS.items():
-            out = F.when(v["kind"] == kind, pseudonym(v["value"], key)).otherwise(out)
-        return F.struct(v["kind"].alias("kind"), v["value"].alias("value"), out.alias("pseudonym"))
-
-    mapped = taken.select("doc_id", "text", F.transform("values", replaced).alias("values"))
-    between = F.split("text", _ANY, -1)
-    written = F.transform(F.col("values"), lambda v: F.coalesce(v["pseudonym"], v["value"]))
-    whole = F.array_join(F.zip_with(between, written, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    found = F.coalesce(F.filter("values", lambda v: v["pseudonym"].isNotNull()), F.slice(F.col("values"), 1, 0))
-    return mapped.select(
+    pattern = _text(f"({_ANY})")
+    # Most texts have neither a digit nor an @ and are not searched.
+    values = f"IF(text RLIKE '[0-9@]', regexp_extract_all(text, {pattern}, 1), CAST(array() AS ARRAY<STRING>))"
+    found = docs.select("doc_id", "text").withColumn("values", F.expr(f"coalesce({values}, CAST(array() AS ARRAY<STRING>))"))
+    for step in _steps(key):
+        found = found.select("doc_id", "text", F.expr(step).alias("values"))
+    pieces = f"zip_with(split(text, {_text(_ANY)}, -1), values, (a, v) -> concat(a, coalesce(v.pseudonym, v.value, '')))"
+    return found.select(
         "doc_id",
-        F.when(F.size("values") > 0, whole).otherwise(F.col("text")).alias("text"),
-        found.alias("found"),
-        F.greatest(F.size(found), F.lit(0)).cast("long").alias("n_found"),
-    )
+        F.expr(f"IF(size(values) > 0, array_join({pieces}, ''), text)").alias("text"),
+        F.expr("filter(values, v -> v.pseudonym IS NOT NULL)").alias("found"),
+    ).withColumn("n_found", F.size("found").cast("long"))

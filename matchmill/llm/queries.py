@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchmill.llm import bpe, decontaminate, edit_embedding, html_wrapper, line_dedup, pii, quality, simhash, toxicity, url_filter
+from matchmill.llm.shipping import ship_code
 from matchmill.plans.queries.common import Query
 
 #: The rules of the URL query; others are asked where none of them fits.
@@ -33,6 +34,7 @@ TOXIC_CATEGORIES = {"poor": "1 - quality", "toxic": "toxic"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
