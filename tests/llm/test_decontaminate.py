@@ -1,0 +1,67 @@
+"""Windows against a plain search, one shard or many."""
+
+import random
+import re
+
+import pytest
+from matchmill.llm import decontaminate as D
+from tests.llm.helpers import documents, empty, odd
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def plain(text, items, n):
+    doc, hit, owners = words(text), set(), set()
+    for item, other in items:
+        w = words(other)
+        size = min(n, len(w))
+        windows = {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} if w else set()
+        for i in range(len(doc) - size + 1):
+            if tuple(doc[i : i + size]) in windows:
+                hit |= set(range(i, i + size))
+                owners.add(item)
+    return len(doc), hit, sorted(x for x in owners if x is not None)
+
+
+@pytest.mark.parametrize("shard", [100_000, 25])
+def test_equals_plain_search(spark, monkeypatch, shard):
+    monkeypatch.setattr(D, "SHARD_WORDS", shard)
+    draw = random.Random(shard)
+    vocabulary = ["a", "b", "Über", "d1", "e"]
+    make = lambda n: " ".join(draw.choice(vocabulary) + draw.choice(["", ",", ".\n"]) for _ in range(n))
+    items = [(i, make(draw.choice([2, 3, 4, 8, 15, 40]))) for i in range(12)] + [(50, None), (51, "..."), (None, make(9)), (3, make(20))]
+    rows = [(i, make(draw.randrange(120))) for i in range(60)] + [(100, None), (101, ""), (102, items[4][1]), (102, items[4][1])]
+    benchmark = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS spans")
+    got = D.find_windows(documents(spark, rows), benchmark, 5).select("*", D.hit_words("spans").alias("n_hit")).collect()
+    assert len(got) == len(rows)
+    by_id = dict(rows)
+    for r in got:
+        n, hit, owners = plain(by_id[r.doc_id], items, 5)
+        assert (r.n_words, r.n_hit, r["items"]) == (n, len(hit), owners)
+        assert {i for s in r.spans for i in range(s.begin, s.end)} == hit
+
+
+def test_removal(spark):
+    draw = random.Random(1)
+    make = lambda n: " ".join("".join(draw.choice("abcdefg") for _ in range(6)) for _ in range(n))
+    passage, clean, tail = make(20), make(60), make(60)
+    rows = [(1, f"{clean}. {passage}! {tail}"), (2, passage), (3, clean), (4, None), (5, ""), (6, passage[:30])]
+    benchmark = spark.createDataFrame([(1, passage), (2, None)], "item_id long, text string")
+    df = documents(spark, rows)
+    got = {r.doc_id: r["text"] for r in D.remove_contamination(df, benchmark).collect()}
+    assert got == {1: f"{clean}. ! {tail}", 3: clean, 4: None, 5: "", 6: passage[:30]}
+    assert D.remove_contamination(df, benchmark).columns == df.columns
+    assert D.remove_contamination(df, benchmark.limit(0)).count() == len(rows)
+
+
+def test_odd_rows(spark):
+    benchmark = spark.createDataFrame([(1, "word " * 12), (2, "日本語テキスト")], "item_id long, text string")
+    got = D.find_windows(odd(spark), benchmark).select("*", D.hit_words("spans").alias("n_hit")).collect()
+    assert {(r.doc_id, r.n_hit, tuple(r["items"])) for r in got if r.n_hit} == {(5, 40_000, (1,)), (6, 1, (2,))}
+    assert len(got) == 9 and D.find_windows(empty(spark), benchmark).count() == 0
+    none = D.find_windows(odd(spark), benchmark.limit(0)).collect()
+    assert len(none) == 9 and not any(r.spans for r in none)
