@@ -15,6 +15,7 @@ from matchmill.operators import joins as J
 MAIN = "t_main"
 
 _DIRECTION = re.compile(r"\s+(asc|desc)$", re.IGNORECASE)
+_EQUALITY = re.compile(r"(?<![<>!=])(?:=|<=>|==)(?![=>])")
 _NULLS = re.compile(r"\s+nulls\s+(first|last)$", re.IGNORECASE)
 
 
@@ -68,6 +69,8 @@ def _join(df: DataFrame, names: list[str], packed: bool, join: Join) -> tuple[Da
         on = " AND ".join(f"{a if '.' in a else f'{MAIN}.{a}'} = {join.alias}.{b}" for a, b in pairs)
     else:
         on = join.on
+        if not _EQUALITY.search(on):
+            raise ValueError(f"a join needs an equality of columns, or it compares all pairs of rows: {on!r}")
     right = J.pack(join.table, join.alias) if packed else join.table.alias(join.alias)
     return df.join(right, F.expr(on), spark_kinds[kind]), packed
 

@@ -18,6 +18,10 @@ class SkipJob(Exception):
     """Nothing to do; the job ends as skipped, not failed."""
 
 
+class EmptyWork(SkipJob):
+    """The work list itself is empty: there is nothing left to pick."""
+
+
 class NoRows(ValueError):
     """An insert got zero rows."""
 

@@ -47,14 +47,14 @@ def pack(df: DataFrame, name: str) -> DataFrame:
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))
 
 
-
-
 def full_join(left: DataFrame, right: DataFrame, right_name: str, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Full outer equi-join of packed frames: matches, then left-only, then right-only rows.
 
     ``left`` holds struct columns (see ``pack``), ``right`` the single struct ``right_name``;
     each pair is a dotted left column and a column of the right struct.
     """
+    # Each side is read three times: once it is written, that is cheap, and all three agree.
+    left, right = cut_lineage(left, "full-left"), cut_lineage(right, "full-right")
     left_names = left.columns
     left_on = [F.col(a).alias(f"_k{i}") for i, (a, _) in enumerate(pairs)]
     right_on = [F.col(f"{right_name}.{b}").alias(f"_k{i}") for i, (_, b) in enumerate(pairs)]

@@ -15,16 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchmill.functions.scalars import sql_function
-from matchmill.operators.guards import duplicate_keys, identifier
-from matchmill.operators.joins import anti_join, key_table
+from matchmill.operators.guards import identifier
+from matchmill.operators.joins import anti_join, key_table, semi_join
 from matchmill.operators.transforms import one_per_key
 from matchmill.session import cut_lineage
 
 CREATED, MODIFIED = "tech_date_creation", "tech_date_modification"
 
-# A source of at most this many counted rows is broadcast to find the target keys it touches.
-BROADCAST_ROWS = 1_000_000
-
 
 def assigned(column: Column, source: T.DataType, target: T.DataType) -> Column:
     """``column`` as the type it is stored in; a fraction stored as a whole number is rounded."""
@@ -36,15 +33,11 @@ def assigned(column: Column, source: T.DataType, target: T.DataType) -> Column:
 def _one_row_per_key(source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """The source with one row per key and its row count; keys under ``_k_``, values under ``_s_``.
 
-    A source without repeated keys, the usual case, is used as it is: a join with a plain
-    table can be split on a hot target key, one with an aggregate cannot.
+    It is a written table: a join with a plain one can be split on a hot target key, one
+    with an aggregate cannot.
     """
-    keyed = source.dropna(subset=list(keys))
-    if duplicate_keys(keyed, keys).isEmpty():
-        columns = [F.col(f"`{c}`").alias(f"_s_{c}") for c in columns]
-        return keyed.select(*[F.col(f"`{k}`").alias(f"_k_{k}") for k in keys], F.lit(1).alias("_n"), *columns)
     values = [F.first(c).alias(f"_s_{c}") for c in columns]
-    grouped = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *values)
+    grouped = source.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *values)
     return cut_lineage(grouped.withColumnsRenamed({k: f"_k_{k}" for k in keys}), "merge-source")
 
 
@@ -81,20 +74,15 @@ def matched_rows(
     return joined.select(*out, "_matched")
 
 
-def unmatched_source(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], source_rows: int | None = None
-) -> DataFrame:
+def unmatched_source(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows whose key no target row has; every duplicate of such a row is kept.
 
-    Only the key columns of the target are read. With a source counted to be small, its
-    keys are broadcast to reduce the target to the touched keys before anything is
-    shuffled; otherwise all target keys are made distinct, map-side first.
+    Only the key columns of the target are read, and of these only what the source has is
+    made distinct and written: what is kept does not grow with the target. Both key tables
+    are plain scans, so AQE broadcasts the small and splits the hot.
     """
-    if source_rows is None or source_rows > BROADCAST_ROWS:
-        return anti_join(source, target, keys)
-    touched = F.broadcast(source.select(*keys).distinct())
-    present = target.select(*keys).join(touched, list(keys), "left_semi").distinct()
-    return source.join(present, list(keys), "left_anti")
+    present = semi_join(target.select(*keys), source, keys)
+    return anti_join(source, present, keys)
 
 
 def inserted_rows(
@@ -144,7 +132,6 @@ def merge_into(
     has_not_matched: bool = False,
     now: Column | None = None,
     defaults: Mapping[str, str] | None = None,
-    source_rows: int | None = None,
 ) -> DataFrame:
     """The target after the merge, as one plan.
 
@@ -156,7 +143,7 @@ def merge_into(
     now = F.current_timestamp() if now is None else now
     result = matched_rows(target, source, keys, names, now).drop("_matched") if has_matched else target
     if has_not_matched:
-        new = unmatched_source(target, source, keys, source_rows)
+        new = unmatched_source(target, source, keys)
         result = result.unionByName(inserted_rows(target, new, mapping, now, defaults))
     return result
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from matchmill import schemas
 from matchmill.functions import scalars as S
+from matchmill.operators.joins import key_table
 from matchmill.operators.transforms import one_per_key
 
 # The ranked queue looked up per player, and the id-page limits.
@@ -29,8 +30,9 @@ def parse_matches(landed: DataFrame, payload: str = "payload") -> DataFrame:
 
 
 def is_readable() -> Column:
-    """True for a parsed document that names its match."""
-    return F.col(schemas.CORRUPT).isNull() & F.col("metadata.matchId").isNotNull()
+    """True for a parsed document that names its match and has no more players than the match table has columns for."""
+    players = F.greatest(*[F.coalesce(F.size(c), F.lit(0)) for c in ("metadata.participants", "info.participants")])
+    return F.col(schemas.CORRUPT).isNull() & F.col("metadata.matchId").isNotNull() & (players <= schemas.PLAYERS_PER_MATCH)
 
 
 def readable(parsed: DataFrame) -> DataFrame:
@@ -78,7 +80,7 @@ def participant_ids(parsed: DataFrame) -> DataFrame:
 
 
 def match_tables(parsed: DataFrame) -> dict[str, DataFrame]:
-    """The three tables one parse feeds; persist ``parsed`` when more than one is used."""
+    """The three tables one parse feeds; write ``parsed`` once when more than one is used."""
     good = readable(parsed)
     return {
         "match_data": match_header(good),
@@ -95,8 +97,8 @@ def named_output(outputs: dict[str, DataFrame], key: str) -> DataFrame:
     return outputs[key]
 
 
-def match_ids(pages: DataFrame, queue: int = ARAM_QUEUE, cap: int = IDS_PER_PLAYER) -> DataFrame:
-    """Match ids of one queue from landed id pages, the first ``cap`` positions of each player.
+def match_ids(pages: DataFrame, queue: int = ARAM_QUEUE, cap: int | None = None) -> DataFrame:
+    """Match ids of one queue from landed id pages; with ``cap``, those of each player's first positions only.
 
     A page holds at most a hundred ids and says where it starts, so no player's whole
     list is ever one row.
@@ -105,7 +107,9 @@ def match_ids(pages: DataFrame, queue: int = ARAM_QUEUE, cap: int = IDS_PER_PLAY
         "puuid", F.coalesce("start", F.lit(0)).alias("start"), F.posexplode("match_ids").alias("pos", "match_id")
     )
     ids = ids.withColumn("position", (F.col("start") + F.col("pos")).cast("long"))
-    return ids.where(F.col("position") < cap).select("puuid", "position", "match_id")
+    if cap is not None:
+        ids = ids.where(F.col("position") < cap)
+    return ids.select("puuid", "position", "match_id")
 
 
 def first_league_entry(entries: DataFrame, queue_type: str = RANKED_QUEUE) -> DataFrame:
@@ -119,9 +123,10 @@ def first_league_entry(entries: DataFrame, queue_type: str = RANKED_QUEUE) -> Da
 def player_info(players: DataFrame, accounts: DataFrame, entries: DataFrame) -> DataFrame:
     """Account and league columns looked up per player; players without them stay.
 
-    The landed tables are cut to the wanted players before anything of them is shuffled.
+    The landed tables are cut to the wanted players, a written table of keys, before anything of
+    them is made unique: that join can be split on an account landed often.
     """
-    wanted = players.select("puuid").distinct()
+    wanted = key_table(players, ["puuid"])
 
     def of_wanted(landed: DataFrame) -> DataFrame:
         return one_per_key(landed.join(wanted, "puuid", "left_semi"), ["puuid"])

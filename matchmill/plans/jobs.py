@@ -8,11 +8,11 @@ files, counted, and cut from the plan that made it.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchmill import schemas
@@ -24,11 +24,8 @@ from matchmill.sources.warehouse import Warehouse
 
 RAW, REF = schemas.RAW, schemas.REF
 QUARANTINE = f"{RAW}.raw_match_rejected"
-
-# Batch sizes of the work lists: what one run picks up.
-MATCHES_PER_RUN = 100
-PLAYERS_PER_RUN = 100
-PLAYERS_FOR_MATCHES = 10
+#: When matches were asked for; how a match without a usable document makes way for others.
+ATTEMPTS = f"{RAW}.raw_match_attempts"
 
 
 @dataclass(frozen=True)
@@ -44,10 +41,10 @@ def _same(names: Sequence[str]) -> dict[str, str]:
     return {n: n for n in names}
 
 
-def _raw(run: Run, df: DataFrame, table: str) -> tuple[DataFrame, int]:
-    """Replace a raw table, stamped; returns it as written, with its row count."""
-    done = run.warehouse.insert(df, table, "replace", run.job_id, run.time)
-    return run.warehouse.read(table), done["rows_inserted"]
+def _raw(run: Run, df: DataFrame, table: str) -> DataFrame:
+    """Replace a raw table, stamped; returns it as written."""
+    run.warehouse.insert(df, table, "replace", run.job_id, run.time)
+    return run.warehouse.read(table)
 
 
 # ---- reference data ----
@@ -64,132 +61,141 @@ def reference_items(run: Run, landed: DataFrame) -> dict[str, Any]:
 # ---- work lists ----
 
 
-def players_to_enrich(warehouse: Warehouse, limit: int | None = PLAYERS_PER_RUN) -> DataFrame:
-    """Players without a name; never-processed ones come first."""
-    return warehouse.extract(
-        schemas.FACT_PLAYERS.name,
-        ["puuid"],
-        where={"game_name": "is null", "tag_line": "is null"},
-        order=["date_processed DESC", "puuid"],
-        limit=limit,
-    )
+def _not_yet(column: str, run_time: dt.datetime | None) -> Column:
+    """What was not picked by this run yet, so that a drain in batches comes to its end."""
+    if run_time is None:
+        return F.lit(True)
+    return F.col(column).isNull() | (F.col(column) < dates.utc_timestamp(run_time))
+
 
+def _first(work: DataFrame, keys: Sequence[Column], limit: int | None) -> DataFrame:
+    return work.orderBy(*keys).limit(limit) if limit else work
 
-def players_to_follow(warehouse: Warehouse, limit: int | None = PLAYERS_FOR_MATCHES) -> DataFrame:
+
+def players_to_enrich(warehouse: Warehouse, limit: int | None = None, run_time: dt.datetime | None = None) -> DataFrame:
+    """Players without a name: those never looked up, then those looked up longest ago."""
+    named = warehouse.read(schemas.FACT_PLAYERS.name)
+    work = named.where("game_name IS NULL AND tag_line IS NULL").where(_not_yet("date_processed", run_time))
+    return _first(work, [F.asc_nulls_first("date_processed"), F.asc("puuid")], limit).select("puuid")
+
+
+def players_to_follow(warehouse: Warehouse, limit: int | None = None, run_time: dt.datetime | None = None) -> DataFrame:
     """Players whose matches are listed next; never-processed ones come last."""
-    return warehouse.extract(
-        schemas.FACT_PLAYERS_TO_PROCESS.name,
-        ["puuid"],
-        order=["date_processed ASC", "puuid"],
-        limit=limit,
-    )
+    work = warehouse.read(schemas.FACT_PLAYERS_TO_PROCESS.name).where(_not_yet("date_processed", run_time))
+    return _first(work, [F.asc_nulls_last("date_processed"), F.asc("puuid")], limit).select("puuid")
 
 
-def matches_to_fetch(warehouse: Warehouse, limit: int | None = MATCHES_PER_RUN) -> DataFrame:
-    """The oldest matches not processed yet."""
-    return warehouse.extract(
-        schemas.FACT_MATCH.name,
-        ["match_id"],
-        where={"is_processed": "is false"},
-        order=["tech_date_creation ASC", "match_id"],
-        limit=limit,
-    )
+def matches_to_fetch(warehouse: Warehouse, limit: int | None = None, run_time: dt.datetime | None = None) -> DataFrame:
+    """Matches not processed yet: those never asked for, oldest first, then those asked for longest ago."""
+    work = warehouse.read(schemas.FACT_MATCH.name).where("NOT is_processed").select("match_id", "tech_date_creation")
+    if warehouse.exists(ATTEMPTS):
+        asked = warehouse.read(ATTEMPTS).groupBy("match_id").agg(F.max("attempted").alias("attempted"))
+        work = work.join(cut_lineage(asked, "attempts"), "match_id", "left").where(_not_yet("attempted", run_time))
+    else:
+        work = work.withColumn("attempted", F.lit(None).cast("timestamp_ntz"))
+    order = [F.asc_nulls_first("attempted"), F.asc("tech_date_creation"), F.asc("match_id")]
+    return _first(work, order, limit).select("match_id")
 
 
 def _picked(work: DataFrame, what: str) -> DataFrame:
     """The work list as a written table: what the job does later must not change it."""
-    return guards.skip_if_empty(cut_lineage(work, "picked"), what)
+    picked = cut_lineage(work, "picked")
+    if picked.isEmpty():
+        raise guards.EmptyWork(f"no rows in {what}")
+    return picked
 
 
 # ---- fact tables ----
 
 
-def enrich_players(
-    run: Run, accounts: DataFrame, entries: DataFrame, limit: int | None = PLAYERS_PER_RUN
-) -> dict[str, Any]:
-    """Names and ranks of players that have none."""
-    picked = _picked(players_to_enrich(run.warehouse, limit), "players to enrich")
-    raw, rows = _raw(run, nested.player_info(picked, accounts, entries), f"{RAW}.raw_puuid_info")
+def enrich_players(run: Run, accounts: DataFrame, entries: DataFrame, limit: int | None = None) -> dict[str, Any]:
+    """Names and ranks of players that have none; all that were picked are marked as looked up."""
+    picked = _picked(players_to_enrich(run.warehouse, limit, run.time), "players to enrich")
+    found = nested.player_info(picked, accounts, entries)
+    found = found.withColumn("date_processed", dates.utc_timestamp(run.time))
     return run.warehouse.merge(
-        raw,
+        _raw(run, found, f"{RAW}.raw_puuid_info"),
         schemas.FACT_PLAYERS.name,
         ["puuid"],
-        match_columns=["game_name", "tag_line", "queue_type", "tier", "rank"],
+        match_columns=["game_name", "tag_line", "queue_type", "tier", "rank", "date_processed"],
         has_matched=True,
         now=run.time,
-        source_rows=rows,
     )
 
 
 def enrich_matches(
-    run: Run, pages: DataFrame, queue: int = nested.ARAM_QUEUE, limit: int | None = PLAYERS_FOR_MATCHES
+    run: Run, pages: DataFrame, queue: int = nested.ARAM_QUEUE, limit: int | None = None, cap: int | None = None
 ) -> dict[str, Any]:
-    """New match ids of the followed players; then those players are marked done."""
+    """New match ids of the followed players; those players are marked done, whatever was found.
+
+    ``cap`` keeps each player's first positions only; without it every landed id counts.
+    """
     warehouse = run.warehouse
-    picked = players_to_follow(warehouse, limit)
+    picked = players_to_follow(warehouse, limit, run.time)
     followed = _picked(guards.require_valid_text(picked, "puuid"), "players to follow")
     wanted = pages.join(followed, "puuid", "left_semi")
-    ids = transforms.dedupe_keys(nested.match_ids(wanted, queue), ["match_id"])
+    ids = transforms.dedupe_keys(nested.match_ids(wanted, queue, cap), ["match_id"])
+    merged = None
     try:
-        raw, rows = _raw(run, ids, f"{RAW}.raw_match_datas_ids")
-    except guards.NoRows as nothing:
-        raise guards.SkipJob("no match ids of the followed players") from nothing
-    merged = warehouse.merge(
-        raw,
-        schemas.FACT_MATCH.name,
-        ["match_id"],
-        non_match_columns={"match_id": "match_id"},
-        has_not_matched=True,
-        now=run.time,
-        source_rows=rows,
-    )
+        merged = warehouse.merge(
+            _raw(run, ids, f"{RAW}.raw_match_datas_ids"),
+            schemas.FACT_MATCH.name,
+            ["match_id"],
+            non_match_columns={"match_id": "match_id"},
+            has_not_matched=True,
+            now=run.time,
+        )
+    except guards.NoRows:
+        pass  # the players are marked all the same, or they would be picked again and again
     warehouse.update_in(
         schemas.FACT_PLAYERS_TO_PROCESS.name,
         {"date_processed": dates.utc_timestamp(run.time)},
         "puuid",
         followed,
     )
+    if merged is None:
+        raise guards.SkipJob("no match ids of the followed players")
     return merged
 
 
 def _quarantine(run: Run, rejected: DataFrame) -> None:
-    """Keep rejected documents, each once however often its batch is applied."""
-    stamped = transforms.tech_info(rejected.distinct(), run.job_id, run.time)
+    """Keep rejected documents, each once however often its batch is applied; a digest stands for the text."""
+    digested = rejected.withColumn("digest", F.sha2("payload", 256))
+    stamped = transforms.tech_info(transforms.one_per_key(digested, ["digest"]), run.job_id, run.time)
     if run.warehouse.exists(QUARANTINE):
-        run.warehouse.insert_ignore(stamped, QUARANTINE, ["payload"])
+        run.warehouse.insert_ignore(stamped, QUARANTINE, ["digest"])
     else:
         run.warehouse.insert(stamped, QUARANTINE)
 
 
-def apply_match_payloads(run: Run, landed: DataFrame) -> dict[str, dict[str, Any]]:
-    """Statistics, players and matches out of match documents.
+def apply_match_payloads(run: Run, landed: DataFrame, picked: DataFrame | None = None) -> dict[str, dict[str, Any]]:
+    """Statistics, players and matches out of match documents (``payload``), of the ``picked`` matches only if given.
 
-    One parse feeds three raw tables. The match table is merged last: a match turns
-    processed only when its rows are in. Unreadable documents go to a table of their own.
+    The documents are parsed once, into a written table of the parsed columns, and everything
+    else reads the columns it needs from that. The match table is merged last: a match turns
+    processed only when its rows are in. Documents that cannot be read or name no match, or that
+    name too many players, go to a table of their own.
     """
     warehouse = run.warehouse
     guards.require_column(landed, "payload")
-    parsed = nested.parse_matches(landed).persist()
+    parsed = cut_lineage(nested.parse_matches(landed), "parsed")
+    rejected = nested.quarantined(parsed)
+    if not rejected.isEmpty():
+        _quarantine(run, rejected)
+    if picked is not None:
+        parsed = parsed.join(picked, parsed["metadata.matchId"] == picked["match_id"], "left_semi")
+    tables = nested.match_tables(parsed)
+    people = nested.named_output(tables, "stats_participants")
+    order = [c for c in people.columns if c not in ("id", "match_id", "puuid")]
     try:
-        # One aggregate reads every partition at once, which also fills the cache in parallel.
-        seen = parsed.agg(
-            F.count_if(nested.is_readable()).alias("good"), F.count_if(~nested.is_readable()).alias("bad")
-        ).first()
-        if seen["bad"]:
-            _quarantine(run, nested.quarantined(parsed))
-        if not seen["good"]:
-            raise guards.SkipJob("no readable match documents")
-        tables = nested.match_tables(parsed)
-        people = nested.named_output(tables, "stats_participants")
-        order = [c for c in people.columns if c not in ("id", "match_id", "puuid")]
-        stats, n_stats = _raw(run, transforms.dedupe_first(people, ["id"], order), f"{RAW}.raw_stats")
-        ids = transforms.dedupe_keys(nested.named_output(tables, "puuid_participants"), ["puuid"])
-        players, n_players = _raw(run, ids, f"{RAW}.raw_puuid")
-        header = nested.named_output(tables, "match_data")
-        first = [F.col(c) for c in header.columns if c != "match_id"]
-        matches, n_matches = _raw(run, transforms.dedupe_first(header, ["match_id"], first), f"{RAW}.raw_match")
-    finally:
-        parsed.unpersist()
+        stats = _raw(run, transforms.dedupe_first(people, ["id"], order), f"{RAW}.raw_stats")
+    except guards.NoRows as nothing:
+        raise guards.SkipJob("no readable match documents") from nothing
+    ids = transforms.dedupe_keys(nested.named_output(tables, "puuid_participants"), ["puuid"])
+    players = _raw(run, ids, f"{RAW}.raw_puuid")
+    header = nested.named_output(tables, "match_data")
+    first = [F.col(c) for c in header.columns if c != "match_id"]
+    matches = _raw(run, transforms.dedupe_first(header, ["match_id"], first), f"{RAW}.raw_match")
     return {
         "stats": warehouse.merge(
             stats,
@@ -198,7 +204,6 @@ def apply_match_payloads(run: Run, landed: DataFrame) -> dict[str, dict[str, Any
             non_match_columns=_same(schemas.STAT_COLUMNS),
             has_not_matched=True,
             now=run.time,
-            source_rows=n_stats,
         ),
         "players": warehouse.merge(
             players,
@@ -207,7 +212,6 @@ def apply_match_payloads(run: Run, landed: DataFrame) -> dict[str, dict[str, Any
             non_match_columns={"puuid": "puuid"},
             has_not_matched=True,
             now=run.time,
-            source_rows=n_players,
         ),
         "matches": warehouse.merge(
             matches,
@@ -216,15 +220,44 @@ def apply_match_payloads(run: Run, landed: DataFrame) -> dict[str, dict[str, Any
             match_columns=schemas.MATCH_COLUMNS,
             has_matched=True,
             now=run.time,
-            source_rows=n_matches,
         ),
     }
 
 
-def enrich_stats(run: Run, landed: DataFrame, limit: int | None = MATCHES_PER_RUN) -> dict[str, dict[str, Any]]:
-    """The oldest unprocessed matches, out of their landed documents (``match_id, payload``)."""
-    picked = _picked(matches_to_fetch(run.warehouse, limit), "matches to fetch")
-    return apply_match_payloads(run, landed.join(picked, "match_id", "left_semi"))
+def enrich_stats(run: Run, landed: DataFrame, limit: int | None = None) -> dict[str, dict[str, Any]]:
+    """The next unprocessed matches, out of their landed documents (see ``landing.read_payload_lines``).
+
+    All that were picked are noted as asked for, also when nothing useful was found, so that a
+    match without a usable document does not keep others from being picked next. A job lost
+    before that picks the same again.
+    """
+    picked = _picked(matches_to_fetch(run.warehouse, limit, run.time), "matches to fetch")
+    done, skipped = {}, None
+    try:
+        done = apply_match_payloads(run, landed, picked)
+    except guards.SkipJob as nothing:
+        skipped = nothing
+    run.warehouse.insert(picked.select("match_id", dates.utc_timestamp(run.time).alias("attempted")), ATTEMPTS)
+    if skipped:
+        raise skipped
+    return done
+
+
+def drain(job: Callable[[], Any]) -> int:
+    """Run a job with a batch size until its work list is empty; batches with nothing useful count too.
+
+    Returns the number of batches. The work list has to shrink with each, as those of one
+    run time do.
+    """
+    batches = 0
+    while True:
+        try:
+            job()
+        except guards.EmptyWork:
+            return batches
+        except guards.SkipJob:
+            pass
+        batches += 1
 
 
 # ---- marts ----
@@ -233,7 +266,7 @@ def enrich_stats(run: Run, landed: DataFrame, limit: int | None = MATCHES_PER_RU
 def _mart(run: Run, metrics: DataFrame, name: str, keys: Sequence[str], columns: Sequence[str]) -> dict[str, Any]:
     """Merge fresh metrics into a mart: known keys are updated, new ones inserted."""
     raw = f"{RAW}.raw_kpi_per_{name}"
-    done = run.warehouse.insert(metrics, raw, "replace")
+    run.warehouse.insert(metrics, raw, "replace")
     return run.warehouse.merge(
         run.warehouse.read(raw),
         f"{schemas.MART}.kpi_stats_per_{name}",
@@ -243,7 +276,6 @@ def _mart(run: Run, metrics: DataFrame, name: str, keys: Sequence[str], columns:
         has_matched=True,
         has_not_matched=True,
         now=run.time,
-        source_rows=done["rows_inserted"],
     )
 
 
@@ -252,15 +284,26 @@ def _facts(run: Run) -> tuple[DataFrame, DataFrame, DataFrame]:
     return read(schemas.FACT_STATS.name), read(schemas.FACT_PLAYERS_TO_PROCESS.name), read(schemas.FACT_MATCH.name)
 
 
-def kpi_per_player(run: Run) -> dict[str, Any]:
-    metrics = K.kpi(K.player_stats(*_facts(run)), K.PLAYER)
-    return _mart(run, metrics, "player", ["game_name"], K.PLAYER)
+def player_states(run: Run) -> DataFrame:
+    """The facts joined and scanned once, as a written table that both player marts are folded from."""
+    return cut_lineage(K.kpi_states(K.player_stats(*_facts(run)), K.PLAYER + K.CHAMPION), "states")
 
 
-def kpi_per_player_champion(run: Run) -> dict[str, Any]:
+def kpi_per_player(run: Run, states: DataFrame | None = None) -> dict[str, Any]:
+    states = player_states(run) if states is None else states
+    return _mart(run, K.kpi_from_states(states, K.PLAYER), "player", ["game_name"], K.PLAYER)
+
+
+def kpi_per_player_champion(run: Run, states: DataFrame | None = None) -> dict[str, Any]:
     columns = K.PLAYER + K.CHAMPION
-    metrics = K.kpi(K.player_stats(*_facts(run)), columns)
-    return _mart(run, metrics, "player_champion", ["game_name", "champion_id"], columns)
+    states = player_states(run) if states is None else states
+    return _mart(run, K.kpi_from_states(states, columns), "player_champion", ["game_name", "champion_id"], columns)
+
+
+def kpi_players(run: Run) -> dict[str, dict[str, Any]]:
+    """Both player marts from one pass over the facts."""
+    states = player_states(run)
+    return {"player": kpi_per_player(run, states), "player_champion": kpi_per_player_champion(run, states)}
 
 
 def kpi_per_champion(run: Run) -> dict[str, Any]:

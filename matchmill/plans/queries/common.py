@@ -95,35 +95,38 @@ def with_views(body: str, *views: str) -> str:
 
 def _means() -> dict[str, str]:
     """SQL of the row values behind each mean; ``m`` is the length of the game in minutes."""
-    per_minute = {
-        "avg_damage_per_minute": "total_damage_dealt_to_champions",
-        "avg_kills_per_minute": "kills",
-        "avg_deaths_per_minute": "deaths",
-        "avg_assists_per_minute": "assists",
-        "avg_heal_per_minute": "total_heal",
-        "avg_cs_per_minute": "total_minions_killed",
-        "avg_gold_per_minute": "gold_earned",
-    }
-    shares = {}
-    for kind in ("physical", "magic", "true"):
-        per_minute[f"avg_{kind}_damage_per_minute"] = f"{kind}_damage_dealt_to_champions"
-        per_minute[f"avg_{kind}_damage_taken_per_minute"] = f"{kind}_damage_taken"
-        for suffix, base in (("dealt_pct", "damage_dealt_to_champions"), ("taken_pct", "damage_taken")):
-            shares[f"avg_{kind}_damage_{suffix}"] = f"100.0 * {kind}_{base} / greatest(1, total_{base})"
-    multi = "2 * double_kills + 4 * triple_kills + 8 * quadra_kills + 16 * penta_kills"
+    # The formulas of the data model, as they are defined there.
+    multi = "double_kills * 2 + triple_kills * 4 + quadra_kills * 8 + penta_kills * 16"
     return {
-        **{name: f"{column} / m" for name, column in per_minute.items()},
-        **shares,
+        "avg_damage_per_minute": "total_damage_dealt_to_champions / m",
+        "avg_physical_damage_per_minute": "physical_damage_dealt_to_champions / m",
+        "avg_magic_damage_per_minute": "magic_damage_dealt_to_champions / m",
+        "avg_true_damage_per_minute": "true_damage_dealt_to_champions / m",
+        **{
+            f"avg_{kind}_damage_dealt_pct": f"{kind}_damage_dealt_to_champions * 100.0 / greatest(total_damage_dealt_to_champions, 1)"
+            for kind in ("physical", "magic", "true")
+        },
+        "avg_kills_per_minute": "kills / m",
+        "avg_deaths_per_minute": "deaths / m",
+        "avg_assists_per_minute": "assists / m",
         "avg_multi_kill_score": multi,
-        "penta_rate": "100 * (penta_kills > 0)::INTEGER",
-        "avg_damage_taken_per_death": "total_damage_taken / greatest(1, deaths)",
-        "avg_gold_per_cs": "gold_earned / greatest(1, total_minions_killed)",
-        "avg_kda": "(assists + kills) / greatest(1, deaths)",
-        "tanking_index": "0.35 * total_damage_taken / m + 0.25 * total_heal / m - 50 * deaths / m"
-        " + 0.3 / greatest(0.1, deaths / m)",
-        "damage_index": "0.6 * total_damage_dealt_to_champions / m + 80 * kills / m - 50 * deaths / m"
-        f" + 4 * ({multi})",
-        "support_index": "180 * assists / m + 0.15 * total_heal / m - 80 * deaths / m",
+        "penta_rate": "CASE WHEN penta_kills > 0 THEN 1 ELSE 0 END * 100.0",
+        "avg_damage_taken_per_death": "total_damage_taken / greatest(deaths, 1)",
+        "avg_physical_damage_taken_per_minute": "physical_damage_taken / m",
+        "avg_magic_damage_taken_per_minute": "magic_damage_taken / m",
+        "avg_true_damage_taken_per_minute": "true_damage_taken / m",
+        **{
+            f"avg_{kind}_damage_taken_pct": f"{kind}_damage_taken * 100.0 / greatest(total_damage_taken, 1)"
+            for kind in ("physical", "magic", "true")
+        },
+        "avg_heal_per_minute": "total_heal / m",
+        "avg_cs_per_minute": "total_minions_killed / m",
+        "avg_gold_per_minute": "gold_earned / m",
+        "avg_gold_per_cs": "gold_earned / greatest(total_minions_killed, 1)",
+        "avg_kda": "(kills + assists) / greatest(deaths, 1)",
+        "tanking_index": "total_damage_taken / m * 0.35 + total_heal / m * 0.25 + 1.0 / greatest(deaths / m, 0.1) * 0.3 - deaths / m * 50",
+        "damage_index": f"total_damage_dealt_to_champions / m * 0.6 + kills / m * 80 + ({multi}) * 4 - deaths / m * 50",
+        "support_index": "assists / m * 180 + total_heal / m * 0.15 - deaths / m * 80",
     }
 
 

@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 
 from matchmill import schemas
 from matchmill.functions import dates
+from matchmill.plans import dashboards as D
 from matchmill.plans import jobs as J
 from matchmill.plans import star_views as V
 from matchmill.plans.queries import common as C
 from matchmill.plans.queries import payloads as P
 from matchmill.plans.queries.common import Query, rounded
+from matchmill.plans.queries.kpis import CHOSEN, panel_sql
 from matchmill.plans.queries.merges import scratch_warehouse
+from matchmill.session import scratch_path
+from matchmill.sources import landing
 
 TIME = dt.datetime(2026, 1, 2, 3, 4, 5)
 STAMP = "2026-01-02 04:04:05"
@@ -95,28 +99,37 @@ def _enrich_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matches.withColumn("players_done", done.scalar())
 
 
+def _landed_matches(spark: SparkSession, sf_dir: str, only: str = "true") -> DataFrame:
+    """Match documents as landed lines, with one that cannot be read and one with too many players for each order status."""
+    path = scratch_path(spark, "landing")
+    orders = V.table(spark, sf_dir, "orders")
+    broken = orders.select(F.concat(F.lit("broken "), "o_orderstatus").alias("payload")).distinct()
+    crowd = F.lit('{"metadata": {"matchId": "crowd", "participants": ["' + '", "'.join(f"p{i}" for i in range(12)) + '"]}}')
+    good = V.match_payloads(spark, sf_dir).where(only)
+    good.union(broken).union(broken.limit(1).select(crowd)).write.text(path)
+    return landing.read_payload_lines(spark, path)
+
+
 def _stats_run(spark: SparkSession, sf_dir: str) -> J.Run:
-    """Every match waiting to be processed, and its document landed with one unreadable one."""
+    """Every match waiting to be processed, and its document landed among unusable ones."""
     run = new_run(spark, "enrich_stats")
     run.warehouse.create_fixed()
     ids = V.matches(spark, sf_dir).select("match_id")
     run.warehouse.insert(ids, schemas.FACT_MATCH.name)
-    landed = V.match_payloads(spark, sf_dir).select(
-        F.get_json_object("payload", "$.metadata.matchId").alias("match_id"), "payload"
-    )
-    J.enrich_stats(run, landed, limit=None)
+    J.enrich_stats(run, _landed_matches(spark, sf_dir))
     return run
 
 
 def _enrich_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _stats_run(spark, sf_dir)
-    return run.warehouse.read(schemas.FACT_STATS.name).select("id", "match_id", "puuid", *P._STAT_OUT)
+    return run.warehouse.read(schemas.FACT_STATS.name).select("id", "match_id", "puuid", "kda", *P._STAT_OUT)
 
 
 def _enrich_stats_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _stats_run(spark, sf_dir)
+    slots = [f"puuid_{i}" for i in range(1, schemas.PLAYERS_PER_MATCH + 1)]
     return run.warehouse.read(schemas.FACT_MATCH.name).select(
-        "match_id", "puuid_1", "puuid_7", "game_duration", "game_in_progress", "is_processed", "tech_date_modification"
+        "match_id", *slots, "game_duration", "game_in_progress", "is_processed", "tech_date_modification"
     ).withColumn("tech_date_modification", F.col("tech_date_modification") == dates.utc_timestamp(TIME))
 
 
@@ -125,6 +138,33 @@ def _enrich_stats_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.warehouse.read(schemas.FACT_PLAYERS.name).select("puuid", "game_name")
 
 
+def _rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected table after two runs over the same landing folder: each document once."""
+    run = _stats_run(spark, sf_dir)
+    again = J.Run(run.warehouse, run.job_id, TIME + dt.timedelta(days=1))
+    run.warehouse.insert_lines(schemas.FACT_MATCH.name, [{"match_id": "crowd"}])
+    J.drain(lambda: J.enrich_stats(again, _landed_matches(spark, sf_dir, only="false")))
+    crowded = F.get_json_object("payload", "$.metadata.matchId")
+    return run.warehouse.read(J.QUARANTINE).select(F.coalesce(crowded, F.col("payload")).alias("document"), "tech_execution_date")
+
+
+def _drain_past_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches over matches of which a third have no document, the oldest among them, until nothing is left to pick.
+
+    A batch is a third of the list, so the number of batches does not grow with it.
+    """
+    run = new_run(spark, "drain")
+    run.warehouse.create_fixed()
+    matches = V.matches(spark, sf_dir).select("match_id", (F.col("game_duration") % 3).cast("string").alias("third"))
+    landed = _landed_matches(spark, sf_dir, "CAST(get_json_object(payload, '$.info.gameDuration') AS BIGINT) % 3 <> 0")
+    created = F.expr("TIMESTAMP_NTZ '2026-01-01 00:00:00' + make_dt_interval(int(third))")
+    run.warehouse.insert(matches.select("match_id", created.alias("tech_date_creation")), schemas.FACT_MATCH.name)
+    size = max(1, -(-matches.count() // 3))
+    batches = J.drain(lambda: J.enrich_stats(run, landed, limit=size))
+    done = run.warehouse.read(schemas.FACT_MATCH.name).select("match_id", "is_processed")
+    return done.withColumn("batches", F.lit(batches).cast("bigint"))
+
+
 def _kpi_job(name: str):
     def make(spark: SparkSession, sf_dir: str) -> DataFrame:
         run = fact_run(spark, sf_dir, f"kpi_{name}")
@@ -137,6 +177,27 @@ def _kpi_job(name: str):
     return make
 
 
+def _kpi_players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both player marts from one pass, joined: the games of each player and the champions they played."""
+    run = fact_run(spark, sf_dir, "kpi_players")
+    J.kpi_players(run)
+    champions = run.warehouse.read(schemas.MART_PLAYER_CHAMPION.name).groupBy("game_name").agg(F.count("*").alias("champions"))
+    return run.warehouse.read(schemas.MART_PLAYER.name).select("game_name", "total_games").join(champions, "game_name")
+
+
+def _stored_panel(name: str) -> Query:
+    """A panel as a dashboard reads it: the job fills the mart, and the panel reads the stored table."""
+
+    def make(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spec = D.PANELS[name]
+        run = fact_run(spark, sf_dir, f"panel_{name}")
+        {"player": J.kpi_players, "champion": J.kpi_per_champion, "player_champion": J.kpi_players}[spec.mart](run)
+        mart = run.warehouse.read(f"{schemas.MART}.kpi_stats_per_{spec.mart}")
+        return rounded(D.panel(mart, spec, CHOSEN.get(spec.key)))
+
+    return Query(make, panel_sql(name))
+
+
 _ORDER = "champion_id, champion_name, kills, deaths, assists, double_kills, triple_kills, quadra_kills, penta_kills"
 
 QUERIES: dict[str, Query] = {
@@ -154,16 +215,15 @@ QUERIES: dict[str, Query] = {
     ),
     "job_enrich_matches": Query(
         _enrich_matches,
-        """SELECT match_id, is_processed, (SELECT count(DISTINCT o_orderpriority) FROM orders) AS players_done FROM (
-        SELECT concat('EUW1_', CAST(o_orderkey AS VARCHAR)) AS match_id, o_orderpriority = '1-URGENT' AS is_processed,
-               o_orderstatus, o_orderpriority,
-               row_number() OVER (PARTITION BY o_orderpriority, o_orderstatus ORDER BY o_orderkey) AS n FROM orders)
-        WHERE o_orderpriority = '1-URGENT' OR (o_orderstatus = 'F' AND n <= 1000)""",
+        """SELECT concat('EUW1_', CAST(o_orderkey AS VARCHAR)) AS match_id, o_orderpriority = '1-URGENT' AS is_processed,
+               (SELECT count(DISTINCT o_orderpriority) FROM orders) AS players_done FROM orders
+        WHERE o_orderpriority = '1-URGENT' OR o_orderstatus = 'F'""",
     ),
     "job_enrich_stats": Query(
         _enrich_stats,
         C.with_views(
             f"""SELECT * EXCLUDE (n) FROM (SELECT md5(concat(match_id, '_', puuid)) AS id, match_id, puuid, {P._STAT_SQL},
+            CAST(round_even({P._KDA_SQL}, 0) AS INTEGER) AS kda,
             row_number() OVER (PARTITION BY match_id, puuid ORDER BY {_ORDER}, total_damage_dealt_to_champions,
               physical_damage_dealt_to_champions, magic_damage_dealt_to_champions, true_damage_dealt_to_champions,
               total_damage_taken, gold_earned) AS n FROM fx_stats) WHERE n = 1""",
@@ -174,11 +234,10 @@ QUERIES: dict[str, Query] = {
     "job_enrich_stats_matches": Query(
         _enrich_stats_matches,
         C.with_views(
-            """SELECT m.match_id, p.puuid_1, p.puuid_7, CASE WHEN p.match_id IS NOT NULL THEN m.game_duration END AS game_duration,
+            f"""SELECT m.match_id, p.* EXCLUDE (match_id), CASE WHEN p.match_id IS NOT NULL THEN m.game_duration END AS game_duration,
             p.match_id IS NOT NULL AND m.game_in_progress AS game_in_progress, p.match_id IS NOT NULL AS is_processed,
             p.match_id IS NOT NULL AS tech_date_modification
-            FROM fx_match m LEFT JOIN (SELECT match_id, max(CASE WHEN slot = 1 THEN puuid END) AS puuid_1,
-              max(CASE WHEN slot = 7 THEN puuid END) AS puuid_7 FROM
+            FROM fx_match m LEFT JOIN (SELECT match_id, {P._SLOTS} FROM
               (SELECT match_id, puuid, row_number() OVER (PARTITION BY match_id ORDER BY l_linenumber) AS slot FROM fx_stats)
               GROUP BY match_id) p ON m.match_id = p.match_id""",
             C.FX_MATCH,
@@ -190,7 +249,28 @@ QUERIES: dict[str, Query] = {
         _enrich_stats_players,
         "SELECT DISTINCT concat('P', CAST(l_suppkey AS VARCHAR)) AS puuid, CAST(NULL AS VARCHAR) AS game_name FROM lineitem",
     ),
+    "job_rejected": Query(
+        _rejected,
+        f"""SELECT DISTINCT 'broken ' || o_orderstatus AS document, '{STAMP}' AS tech_execution_date FROM orders
+        UNION ALL SELECT 'crowd', '{STAMP}' FROM (SELECT 1 FROM orders LIMIT 1)""",
+    ),
+    "job_drain_past_rejected": Query(
+        _drain_past_rejected,
+        C.with_views(
+            """SELECT m.match_id, m.game_duration % 3 <> 0 AND l.match_id IS NOT NULL AS is_processed, CAST(3 AS BIGINT) AS batches
+            FROM fx_match m LEFT JOIN (SELECT DISTINCT match_id FROM fx_stats) l ON m.match_id = l.match_id""",
+            C.FX_MATCH,
+            C.FX_RAW_STATS,
+            C.FX_STATS,
+        ),
+    ),
+    "job_kpi_players": Query(
+        _kpi_players,
+        f"""SELECT game_name, total_games, champions FROM ({C.mart_sql("player")}) p
+        JOIN (SELECT game_name, count(*) AS champions FROM ({C.mart_sql("player_champion")}) GROUP BY game_name) c USING (game_name)""",
+    ),
     "job_kpi_per_player": Query(_kpi_job("player"), C.mart_sql("player")),
     "job_kpi_per_player_champion": Query(_kpi_job("player_champion"), C.mart_sql("player_champion")),
     "job_kpi_per_champion": Query(_kpi_job("champion"), C.mart_sql("champion")),
+    **{f"stored_{name}": _stored_panel(name) for name in ("d01", "d11", "d15", "d23")},
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,20 +57,63 @@ QUERIES: dict[str, Query] = {
 }
 
 
-def _panel(spec: D.Panel) -> Query:
-    value = CHOSEN.get(spec.key)
-    columns = ", ".join(
-        f'{C.rounded_sql(c)} AS "{label}"' if c in C.MEANS else f'{c} AS "{label}"'
-        for c, label in spec.labels.items()
-    )
-    where = f" WHERE {spec.key} = '{value}'" if spec.key else ""
-    top = ""
-    if spec.top_by:
-        top = f" ORDER BY {spec.top_by} DESC NULLS FIRST, champion_name, champion_id LIMIT {spec.top}"
-    return Query(
-        lambda spark, sf_dir: rounded(D.panel(mart(spark, sf_dir, spec.mart), spec, value)),
-        f"SELECT {columns} FROM ({C.mart_sql(spec.mart, None)}) mart{where}{top}",
+# What each panel shows, written down apart from the definitions that the queries use. Labels, keys, sizes.
+_SHOWN = {
+    "indices": 'damage_index AS "Carry", tanking_index AS "Tanking", support_index AS "Support"',
+    "kda": 'avg_kda AS "KDA"',
+    "damage": 'avg_physical_damage_per_minute AS "Dégâts physiques", avg_magic_damage_per_minute AS "Dégâts magiques",'
+    ' avg_true_damage_per_minute AS "Dégâts brute"',
+    "taken": 'avg_physical_damage_taken_per_minute AS "Dégâts physiques", avg_magic_damage_taken_per_minute AS "Dégâts magiques",'
+    ' avg_true_damage_taken_per_minute AS "Dégâts brute"',
+    "events": 'avg_kills_per_minute AS "Kill par minute", avg_deaths_per_minute AS "Deaths par minute",'
+    ' avg_assists_per_minute AS "Assists par minute"',
+    "games": "total_games",
+    "multi": 'avg_multi_kill_score AS "Score"',
+    "farm": 'avg_cs_per_minute AS "Creeps par minute", avg_gold_per_minute AS "Gold par minute"',
+    "penta": 'penta_rate AS "Score"',
+    "all indices": "tanking_index, damage_index, support_index, champion_name",
+}
+_OF_CHAMPION = ["indices", "kda", "damage", "taken", "events", "games", "multi", "farm", "penta"]
+_OF_PLAYER = {"d12": "damage", "d13": "taken", "d14": "events", "d15": "kda", "d17": "indices", "d18": "farm", "d19": "multi", "d20": "games", "d21": "penta"}
+_BEST = {
+    "d23": ("avg_kda, champion_name", "avg_kda", 20),
+    "d24": (_SHOWN["all indices"], "damage_index", 5),
+    "d25": ("avg_damage_per_minute, champion_name", "avg_damage_per_minute", 5),
+    "d26": ("avg_physical_damage_per_minute, champion_name", "avg_physical_damage_per_minute", 10),
+    "d27": (_SHOWN["all indices"], "tanking_index", 5),
+    "d28": (_SHOWN["all indices"], "support_index", 5),
+    "d29": ("avg_magic_damage_per_minute, champion_name", "avg_magic_damage_per_minute", 10),
+    "d30": ("avg_multi_kill_score, champion_name", "avg_multi_kill_score", 5),
+}
+_PANEL_SQL = {f"d{i:02}": ("champion", _SHOWN[what], "champion_name = 'champ_7'", "") for i, what in enumerate(_OF_CHAMPION, 1)}
+_PANEL_SQL |= {name: ("player", _SHOWN[what], "game_name = 'Supplier#000000003'", "") for name, what in _OF_PLAYER.items()}
+_PANEL_SQL |= {
+    "d11": ("player_champion", 'champion_name AS "Nom du champion", total_games AS "Nombre de game"', "game_name = 'Supplier#000000003'",
+            "total_games DESC NULLS FIRST, champion_name, champion_id LIMIT 10"),
+    "d16": ("player_champion", f'champion_name AS "Nom du champion", {_SHOWN["damage"]}', "game_name = 'Supplier#000000003'",
+            "avg_damage_per_minute DESC NULLS FIRST, champion_name, champion_id LIMIT 10"),
+}
+_PANEL_SQL |= {
+    name: ("champion", shown, "true", f"{by} DESC NULLS FIRST, champion_name, champion_id LIMIT {top}") for name, (shown, by, top) in _BEST.items()
+}
+
+
+def panel_sql(name: str) -> str:
+    of, shown, where, top = _PANEL_SQL[name]
+    picked = f"SELECT * FROM ({C.mart_sql(of, None)}) mart WHERE {where}" + (f" ORDER BY {top}" if top else "")
+    metrics = "|".join(sorted(C.MEANS, key=len, reverse=True))
+    columns = re.sub(
+        rf"\b({metrics})\b( AS)?",
+        lambda m: C.rounded_sql(m[1]) + (" AS" if m[2] else f" AS {m[1]}"),
+        shown,
     )
+    return f"SELECT {columns} FROM ({picked})"
+
+
+def _panel(name: str) -> Query:
+    spec = D.PANELS[name]
+    value = CHOSEN.get(spec.key)
+    return Query(lambda spark, sf_dir: rounded(D.panel(mart(spark, sf_dir, spec.mart), spec, value)), panel_sql(name))
 
 
 def _selector(name: str, column: str) -> Query:
@@ -79,7 +123,7 @@ def _selector(name: str, column: str) -> Query:
     )
 
 
-QUERIES |= {name: _panel(spec) for name, spec in D.PANELS.items()}
+QUERIES |= {name: _panel(name) for name in D.PANELS}
 QUERIES |= {name: _selector(*where) for name, where in D.SELECTORS.items()}
 
 

@@ -115,9 +115,9 @@ _ORDER_TYPES = {"o_orderkey": "BIGINT", "o_custkey": "BIGINT", "o_orderstatus":
 
 
 def _append_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two loads and two literal rows appended to a table with a default."""
+    """Two loads, which share orders, and two literal rows appended to a table with a default and no key."""
     warehouse = scratch_warehouse(spark, "append")
-    warehouse.create_table("fact_datas.orders", _ORDER_TYPES, ["o_orderkey"], {"o_orderstatus": "'N'"})
+    warehouse.create_table("fact_datas.orders", _ORDER_TYPES, defaults={"o_orderstatus": "'N'"})
     warehouse.insert(first_load(spark, sf_dir), "fact_datas.orders")
     warehouse.insert(second_load(spark, sf_dir).drop("o_orderstatus"), "fact_datas.orders")
     warehouse.insert_lines(
@@ -141,7 +141,7 @@ def _merged_table(bucket_key: str | None):
         warehouse = scratch_warehouse(spark, "merge")
         warehouse.create_table("fact_datas.orders", _ORDER_TYPES, ["o_orderkey"], bucket_key=bucket_key)
         warehouse.insert(first_load(spark, sf_dir), "fact_datas.orders")
-        done = warehouse.insert(second_load(spark, sf_dir), "raw_datas.orders", "replace")
+        warehouse.insert(second_load(spark, sf_dir), "raw_datas.orders", "replace")
         types = dict(_ORDER_TYPES, tech_date_creation="TIMESTAMP_NTZ", tech_date_modification="TIMESTAMP_NTZ")
         warehouse.create_table("mart_datas.orders", types, ["o_orderkey"], bucket_key=bucket_key)
         warehouse.insert(warehouse.read("fact_datas.orders"), "mart_datas.orders")
@@ -154,7 +154,6 @@ def _merged_table(bucket_key: str | None):
             has_matched=True,
             has_not_matched=True,
             now=NOW,
-            source_rows=done["rows_inserted"],
         )
         return warehouse.read("mart_datas.orders").select(*_COLUMNS)
 
@@ -182,7 +181,7 @@ def _stream_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
         later = batch.where("o_orderstatus IN ('P', 'O')").selectExpr(
             "o_orderkey", "o_custkey", "'F' AS o_orderstatus", "o_totalprice + 1000 AS o_totalprice"
         )
-        done = warehouse.insert(later, "raw_datas.orders", "replace")
+        warehouse.insert(later, "raw_datas.orders", "replace")
         warehouse.merge(
             warehouse.read("raw_datas.orders"),
             "fact_datas.orders",
@@ -190,7 +189,6 @@ def _stream_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
             match_columns=["o_orderstatus", "o_totalprice"],
             has_matched=True,
             now=NOW,
-            source_rows=done["rows_inserted"],
         )
 
     checkpoint = scratch_path(spark, "drain-checkpoint")

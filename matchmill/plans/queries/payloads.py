@@ -27,16 +27,19 @@ def through_json(df: DataFrame, ddl: str) -> DataFrame:
 
 # ---- matches ----
 
-_STAT_SQL = """CAST(champion_id AS INTEGER) AS champion_id, champion_name, CAST(kills AS INTEGER) AS kills,
-  CAST(deaths AS INTEGER) AS deaths, CAST(assists AS INTEGER) AS assists, double_kills, penta_kills,
-  CAST(total_damage_taken AS INTEGER) AS total_damage_taken, CAST(gold_earned AS INTEGER) AS gold_earned"""
-_STAT_OUT = ["champion_id", "champion_name", "kills", "deaths", "assists", "double_kills", "penta_kills",
-             "total_damage_taken", "gold_earned"]
+# What the test statistics know of a participant; the other payload fields are absent there and come out as NULL.
+_KNOWN = """champion_id kills deaths assists double_kills triple_kills quadra_kills penta_kills total_damage_dealt_to_champions
+  physical_damage_dealt_to_champions magic_damage_dealt_to_champions true_damage_dealt_to_champions total_damage_taken
+  physical_damage_taken magic_damage_taken true_damage_taken total_heal total_minions_killed gold_earned""".split()
+_STAT_OUT = [c for c in schemas.STAT_FIELDS if c != "puuid"]
+_STAT_SQL = ", ".join(
+    c if c == "champion_name" else f"CAST({c if c in _KNOWN else 'NULL'} AS INTEGER) AS {c}" for c in _STAT_OUT
+)
+_KDA_SQL = "round_even((kills + assists) / greatest(deaths, 1), 2)"
 
 
 def _participants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = nested.participants(parsed_matches(spark, sf_dir))
-    return rows.select("id", "match_id", "puuid", *_STAT_OUT, F.col("item0").isNull().alias("no_item"))
+    return nested.participants(parsed_matches(spark, sf_dir))
 
 
 _SLOTS = ",\n".join(
@@ -70,7 +73,7 @@ def id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _id_list_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested.match_ids(through_json(id_pages(spark, sf_dir), schemas.ID_PAGE))
+    return nested.match_ids(through_json(id_pages(spark, sf_dir), schemas.ID_PAGE), cap=nested.IDS_PER_PLAYER)
 
 
 # ---- players ----
@@ -187,7 +190,9 @@ QUERIES: dict[str, Query] = {
     "participants": Query(
         _participants,
         C.with_views(
-            f"SELECT md5(concat(match_id, '_', puuid)) AS id, match_id, puuid, {_STAT_SQL}, true AS no_item FROM fx_stats",
+            f"SELECT md5(concat(match_id, '_', puuid)) AS id, match_id, puuid, {_STAT_SQL}, {_KDA_SQL} AS kda, "
+            + ", ".join(f"CAST(NULL AS INTEGER) AS {c}" for c in schemas.ITEM_FIELDS)
+            + " FROM fx_stats",
             C.FX_RAW_STATS,
             C.FX_STATS,
         ),

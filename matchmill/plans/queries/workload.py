@@ -21,23 +21,38 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.table(spark, sf_dir, "orders")
 
 
+def _math_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.math_columns(_orders(spark, sf_dir).select(F.col("o_orderkey").alias("id")), "id", MATH_COLUMNS)
+
+
+def _defined(df: DataFrame) -> DataFrame:
+    """NaN, which the SQL does not know, as NULL."""
+    return df.select([F.nanvl(f.name, F.lit(None).cast("double")).alias(f.name) if f.dataType.simpleString() == "double" else f.name for f in df.schema])
+
+
 def _math(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = W.math_columns(_orders(spark, sf_dir).select(F.col("o_orderkey").alias("id")), "id", MATH_COLUMNS)
-    shown = ["trig_0", "exp_5", "power_10", "complex_15"]
-    return rounded(rows.select("id", *[F.nanvl(c, F.lit(None).cast("double")).alias(c) for c in shown]))
+    return rounded(_defined(_math_rows(spark, sf_dir)))
 
 
 def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = W.math_columns(_orders(spark, sf_dir).select(F.col("o_orderkey").alias("id")), "id", MATH_COLUMNS)
+    rows = _defined(_math_rows(spark, sf_dir))
     return rounded(W.wide_aggregate(rows, [c for c in rows.columns if c != "id"]), 4)
 
 
+def _math_sql() -> dict[str, str]:
+    """Every math column over ``id`` as SQL; five of a kind."""
+    formulas = {
+        "trig": "sin(id / 1000.0) * cos(id / 1000.0) * tan(id / 10000.0)",
+        "exp": "exp(id / 1000000.0) + ln(id + 1)",
+        "power": "pow(id, 0.5) + sqrt(id + 1)",
+        "complex": "CASE WHEN sin(id / 1000.0) >= 0 THEN sqrt(abs(sin(id / 1000.0))) + ln(cos(id / 1000.0) + 2) END",
+    }
+    return {f"{kind}_{5 * i + step}": formula for i, (kind, formula) in enumerate(formulas.items()) for step in range(5)}
+
+
 def _wide_sql() -> str:
-    trig = "sin(id / 1000.0) * cos(id / 1000.0) * tan(id / 10000.0)"
-    exp = "exp(id / 1000000.0) + ln(id + 1)"
-    columns = {f"trig_{i}": trig for i in range(5)} | {f"exp_{i}": exp for i in range(5, 10)}
     kinds = {"sum": "sum", "avg": "avg", "max": "max", "min": "min", "stddev": "stddev_samp"}
-    shown = ", ".join(f"{rounded_sql(f'{f}({e})', 4)} AS {kind}_{name}" for name, e in columns.items() for kind, f in kinds.items())
+    shown = ", ".join(f"{rounded_sql(f'{f}({e})', 4)} AS {kind}_{name}" for name, e in _math_sql().items() for kind, f in kinds.items())
     return f"SELECT {shown} FROM (SELECT o_orderkey AS id FROM orders)"
 
 
@@ -67,7 +82,18 @@ def _random(spark: SparkSession, sf_dir: str) -> DataFrame:
                        ((F.col("data1") >= 0) & (F.col("data1") < 1) & (F.col("data2") < 1000)).alias("in_range"))
 
 
+def _memory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The memory workload over all orders: a cached table counted, aggregated and joined with its sample."""
+    done = W.memory_workload(_orders(spark, sf_dir).select(F.col("o_orderkey").alias("id")), "id")
+    return spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in done.items()])
+
+
 QUERIES: dict[str, Query] = {
+    "memory_workload": Query(
+        _memory,
+        """SELECT count(*) AS "count", count(*) AS aggregated,
+           count(*) FILTER (WHERE o_orderkey IN (SELECT DISTINCT o_orderkey FROM orders ORDER BY 1 LIMIT 1000)) AS joined FROM orders""",
+    ),
     "global_agg": Query(
         lambda spark, sf_dir: rounded(
             W.global_aggregate(_lineitem(spark, sf_dir), "l_quantity", "l_discount", "l_extendedprice", "l_tax")
@@ -78,12 +104,7 @@ QUERIES: dict[str, Query] = {
     "wide_agg_stddev": Query(_wide, _wide_sql()),
     "math_columns": Query(
         _math,
-        f"""SELECT id, {rounded_sql("sin(id / 1000.0) * cos(id / 1000.0) * tan(id / 10000.0)")} AS trig_0,
-           {rounded_sql("exp(id / 1000000.0) + ln(id + 1)")} AS exp_5,
-           {rounded_sql("pow(id, 0.5) + sqrt(id + 1)")} AS power_10,
-           CASE WHEN sin(id / 1000.0) >= 0
-                THEN {rounded_sql("sqrt(abs(sin(id / 1000.0))) + ln(cos(id / 1000.0) + 2)")} END AS complex_15
-           FROM (SELECT o_orderkey AS id FROM orders)""",
+        f"SELECT id, {', '.join(f'{rounded_sql(e)} AS {name}' for name, e in _math_sql().items())} FROM (SELECT o_orderkey AS id FROM orders)",
     ),
     "bucket_row_number": Query(
         _numbered(None, "row_number"),
@@ -93,7 +114,7 @@ QUERIES: dict[str, Query] = {
     "self_join_sample": Query(
         lambda spark, sf_dir: W.self_join_sample(_orders(spark, sf_dir).select("o_orderkey", "o_totalprice"), "o_orderkey"),
         "SELECT o_orderkey, o_totalprice, join_id FROM orders JOIN"
-        " (SELECT o_orderkey AS join_id FROM orders ORDER BY 1 LIMIT 1000) ON o_orderkey = join_id",
+        " (SELECT DISTINCT o_orderkey AS join_id FROM orders ORDER BY 1 LIMIT 1000) ON o_orderkey = join_id",
     ),
     "hash_and_rand": Query(
         _random,

@@ -68,14 +68,17 @@ def global_aggregate(df: DataFrame, total: str, mean: str, largest: str, smalles
 
 
 def wide_aggregate(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Sum, mean, extremes and deviation of up to ten columns, in one pass."""
+    """Sum, mean, extremes and deviation of the named columns, in one pass."""
     kinds = {"sum": F.sum, "avg": F.avg, "max": F.max, "min": F.min, "stddev": F.stddev}
-    return df.agg(*[f(c).alias(f"{kind}_{c}") for c in columns[:10] for kind, f in kinds.items()])
+    return df.agg(*[f(c).alias(f"{kind}_{c}") for c in columns for kind, f in kinds.items()])
 
 
 def self_join_sample(df: DataFrame, key: str, size: int = SAMPLE_ROWS) -> DataFrame:
-    """``df`` joined with its own ``size`` smallest keys, which are few enough to broadcast."""
-    sample = df.select(F.col(key).alias("join_id")).orderBy("join_id").limit(size)
+    """``df`` joined with its own ``size`` smallest distinct keys, which are few enough to broadcast.
+
+    As the keys are distinct a row is found once, however often its key is repeated.
+    """
+    sample = df.select(F.col(key).alias("join_id")).distinct().orderBy("join_id").limit(size)
     return df.join(F.broadcast(sample), F.col(key) == F.col("join_id"), "inner")
 
 

@@ -20,6 +20,7 @@ from matchmill import schemas
 from matchmill.functions import dates
 from matchmill.operators import guards, merge, transforms
 from matchmill.operators.extract import Join, extract
+from matchmill.operators.joins import semi_join
 from matchmill.session import cut_lineage
 
 BUCKET = "key_bucket"
@@ -124,6 +125,22 @@ class Warehouse:
         if key:
             guards.require_unique(self.read(table), key.split(","), table)
 
+    def _require_new_keys(self, rows: DataFrame, table: str) -> None:
+        """Fail when ``rows`` repeat a primary key, or bring one that the table has.
+
+        Of a table bucketed by a column of ``rows`` only the partitions they go to are read.
+        """
+        names = self._properties(table).get("primary_key", "")
+        if not names or any(k not in rows.columns for k in names.split(",")):
+            return
+        key = names.split(",")
+        guards.require_unique(rows, key, table)
+        bucket, n = self._buckets_of(table)
+        touched = self._touched(rows, bucket, n) if bucket in rows.columns else None
+        present = semi_join(self._of_buckets(table, touched).select(*key), rows, key)
+        if not present.isEmpty():
+            raise ValueError(f"{table} has rows with these keys already: {present.limit(3).collect()}")
+
     # ---- reading ----
 
     def read(self, table: str) -> DataFrame:
@@ -182,7 +199,13 @@ class Warehouse:
         if present and mode == "fail":
             raise ValueError(f"table {table} exists")
         # Nothing is changed by zero rows, so they are noticed in the writing job itself.
-        rows = self._append(df, table) if present and mode == "append" else self._new_version(df, table, present)
+        if present and mode == "append":
+            if self._properties(table).get("primary_key"):
+                df = cut_lineage(df, "insert")  # read by the key check and by the write
+                self._require_new_keys(df, table)
+            rows = self._append(df, table)
+        else:
+            rows = self._new_version(df, table, present)
         if rows == 0:
             raise guards.NoRows(f"no rows to insert into {table}")
         return {"table_name": name, "schema": schema, "rows_inserted": rows}
@@ -208,6 +231,7 @@ class Warehouse:
             raise KeyError(f"columns not in {table}: {sorted(unknown)}")
         wanted = T.StructType([T.StructField(c, known[c]) for c in named])
         df = self.spark.createDataFrame([tuple(line.get(c) for c in named) for line in lines], wanted)
+        self._require_new_keys(df, table)
         self._append(df, table)
         return {"table_name": name, "schema": schema, "rows_inserted": len(lines)}
 
@@ -243,6 +267,8 @@ class Warehouse:
         if present and _same_columns(self._stored(table).schema, df.schema):
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
         else:
+            # Columns cannot be exchanged in one catalog change. The rows are safe in their folder by now;
+            # a job lost between the two statements leaves no table, and its rerun, which replaces too, makes it.
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
             self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{location}'")
@@ -251,7 +277,9 @@ class Warehouse:
 
     def insert_ignore(self, df: DataFrame, table: str, keys: Sequence[str]) -> int:
         """Append the rows whose key the table does not have yet."""
-        return self._append(merge.insert_ignore(self.read(table).select(*keys), df, keys), table)
+        key, n = self._buckets_of(table)
+        target = self._of_buckets(table, self._touched(df, key, n) if key in keys else None)
+        return self._append(merge.insert_ignore(target.select(*keys), df, keys), table)
 
     # ---- rewriting ----
 
@@ -265,36 +293,36 @@ class Warehouse:
         has_matched: bool = False,
         has_not_matched: bool = False,
         now: dt.datetime | str | None = None,
-        source_rows: int | None = None,
     ) -> dict[str, Any]:
         """MERGE ``source`` (a written table, read more than once) into ``table``.
 
-        Inserts are appended: no target file is rewritten. Updates rewrite only the
-        partitions holding a source key when the table is bucketed by a merge key,
-        else the whole table.
+        Inserts are appended: no target file is rewritten. When the table is bucketed by a
+        merge key only the partitions holding a source key are read, by either branch, and
+        rewritten by updates; else the whole table is.
         """
         names, mapping = list(match_columns), dict(non_match_columns or {})
         operations = merge.check_branches(names, mapping, has_matched, has_not_matched)
         moment: Column = dates.utc_timestamp(now or dt.datetime.now(dt.timezone.utc))
+        key, n = self._buckets_of(table)
+        touched = self._touched(source, key, n) if key in keys else None
+        target = self._of_buckets(table, touched)
         new = None
         if has_not_matched:
-            new = merge.unmatched_source(self.read(table).select(*keys), source, keys, source_rows)
+            new = merge.unmatched_source(target.select(*keys), source, keys)
             new = new.select(
                 *[F.col(f"`{s}`").alias(t) for t, s in mapping.items()],
                 moment.alias(merge.CREATED),
                 moment.alias(merge.MODIFIED),
             )
-        if new is not None and has_matched:
-            # Both branches look at the target as it was: fix the new rows before it changes.
+        if new is not None:
+            # Both branches look at the target as it was, and the key check reads the new rows too: fix them.
             new = cut_lineage(new, "merge-new")
+            primary = [k for k in self._properties(table).get("primary_key", "").split(",") if k]
+            if primary and all(k in new.columns for k in primary):
+                guards.require_unique(new.dropna(subset=primary), primary, table)
         rows = 0
         if has_matched:
             self._keep_bucket_key(table, [c for c in names if c not in keys])
-            key, n = self._buckets_of(table)
-            touched = self._touched(source, key, n) if key in keys else None
-            target = self._stored(table)
-            if touched is not None:
-                target = target.where(F.col(BUCKET).isin(touched))
             rows += self._rewrite(
                 table, merge.matched_rows(target, source, keys, names, moment), "_matched", touched
             )
@@ -306,11 +334,23 @@ class Warehouse:
     def update(
         self, table: str, set_values: Mapping[str, Any], where: Mapping[str, Any]
     ) -> dict[str, Any]:
-        """``UPDATE … SET … WHERE …``; see ``merge.update_where``."""
+        """``UPDATE … SET … WHERE …``; see ``merge.update_where``.
+
+        Only partitions with a row to change are rewritten. They are known from the bucket
+        key if ``where`` names it; else the condition's columns are read to find them.
+        """
         schema, name = self._split(table)
         self._keep_bucket_key(table, set_values)
-        rows = self._rewrite(table, merge.update_where(self._stored(table), set_values, where), "_updated", None)
-        return {"table_name": name, "schema": schema, "rows_updated": rows}
+        key, n = self._buckets_of(table)
+        touched = None
+        if key in where and not isinstance(where[key], DataFrame):
+            literal = self.spark.range(1).select(F.lit(where[key]).cast(self._stored(table).schema[key].dataType).alias(key))
+            touched = self._touched(literal, key, n)
+        changed = merge.update_where(self._of_buckets(table, touched), set_values, where)
+        if key and touched is None:
+            touched = self._changed_buckets(changed)
+            changed = changed.where(F.col(BUCKET).isin(touched))
+        return {"table_name": name, "schema": schema, "rows_updated": self._rewrite(table, changed, "_updated", touched)}
 
     def update_in(
         self, table: str, set_values: Mapping[str, Any], key: str, members: DataFrame
@@ -320,10 +360,10 @@ class Warehouse:
         self._keep_bucket_key(table, set_values)
         bucket_key, n = self._buckets_of(table)
         touched = self._touched(members, key, n) if bucket_key == key else None
-        target = self._stored(table)
-        if touched is not None:
-            target = target.where(F.col(BUCKET).isin(touched))
-        changed = merge.update_where_in(target, set_values, key, members)
+        changed = merge.update_where_in(self._of_buckets(table, touched), set_values, key, members)
+        if bucket_key and touched is None:
+            touched = self._changed_buckets(changed)
+            changed = changed.where(F.col(BUCKET).isin(touched))
         return {"table_name": name, "schema": schema, "rows_updated": self._rewrite(table, changed, "_updated", touched)}
 
     def _keep_bucket_key(self, table: str, columns: Mapping[str, Any] | Sequence[str]) -> None:
@@ -336,6 +376,14 @@ class Warehouse:
         found = source.where(F.col(key).isNotNull()).select(_bucket(F.col(key), n).alias(BUCKET)).distinct()
         return sorted(r[0] for r in found.collect())
 
+    def _of_buckets(self, table: str, touched: list[int] | None) -> DataFrame:
+        """The stored table, or those of its partitions only."""
+        stored = self._stored(table)
+        return stored if touched is None else stored.where(F.col(BUCKET).isin(touched))
+
+    def _changed_buckets(self, changed: DataFrame) -> list[int]:
+        return sorted(r[0] for r in changed.where("_updated").select(BUCKET).distinct().collect())
+
     def _rewrite(self, table: str, changed: DataFrame, flag: str, touched: list[int] | None) -> int:
         """Publish ``changed`` (target rows plus a flag column) and return the number of flagged rows."""
         if touched == []:

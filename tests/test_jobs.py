@@ -31,7 +31,7 @@ def landed(spark, **documents):
 def test_enrich_stats(spark, run):
     run.warehouse.insert_lines(MATCH, [{"match_id": m} for m in ("M1", "M2", "M3")])
     documents = landed(
-        spark, M1=match_document("M1", ["p1", "p2"]), M2=match_document("M2", ["p2", "p3"]), M3="broken", M9="unasked"
+        spark, M1=match_document("M1", ["p1", "p2"]), M2=match_document("M2", ["p2", "p3"]), M3="broken", M9=match_document("M9")
     )
     done = J.enrich_stats(run, documents)
     assert done["stats"]["rows_affected"] == 4 and done["players"]["rows_affected"] == 3
@@ -54,6 +54,51 @@ def test_enrich_stats(spark, run):
     assert run.warehouse.read(STATS).count() == 4
 
 
+def test_drains_come_to_their_end(spark, run):
+    """Batches of one: a broken and an absent document first, and neither keeps the good ones from their turn."""
+    lines = [{"match_id": m, "tech_date_creation": dt.datetime(2026, 1, i + 1)} for i, m in enumerate(("bad", "absent", "M1", "M2"))]
+    run.warehouse.insert_lines(MATCH, lines)
+    documents = landed(spark, bad="broken", M1=match_document("M1"), M2=match_document("M2", ["p3"]))
+    assert J.drain(lambda: J.enrich_stats(run, documents, limit=1)) == 4
+    done = run.warehouse.read(MATCH).where("is_processed").select("match_id")
+    assert rows(done) == [("M1",), ("M2",)] and run.warehouse.read(J.QUARANTINE).count() == 1
+    later = J.Run(run.warehouse, "job", LATER)
+    assert rows(J.matches_to_fetch(run.warehouse, None, LATER)) == [("absent",), ("bad",)]
+    repaired = landed(spark, bad=match_document("bad"))
+    assert J.drain(lambda: J.enrich_stats(later, repaired, limit=1)) == 2
+    assert run.warehouse.read(MATCH).where("is_processed").count() == 3
+
+
+def test_players_without_ids_or_accounts_make_way(spark, run):
+    todo = schemas.FACT_PLAYERS_TO_PROCESS.name
+    run.warehouse.insert_lines(todo, [{"puuid": p, "date_processed": dt.datetime(2025, 1, i + 1)} for i, p in enumerate("abc")])
+    pages = spark.createDataFrame([("c", 450, 0, ["M1"])], schemas.ID_PAGE)
+    assert J.drain(lambda: J.enrich_matches(run, pages, limit=1)) == 3
+    assert rows(run.warehouse.read(MATCH).select("match_id")) == [("M1",)]
+    run.warehouse.insert_lines(PLAYERS, [{"puuid": p} for p in "abc"])
+    accounts = spark.createDataFrame([("c", "Cid", "EUW")], schemas.ACCOUNT)
+    entries = spark.createDataFrame([], schemas.LEAGUE_ENTRIES)
+    assert J.drain(lambda: J.enrich_players(run, accounts, entries, limit=1)) == 3
+    assert rows(run.warehouse.read(PLAYERS).select("puuid", "game_name", "date_processed")) == [("a", None, NOW), ("b", None, NOW), ("c", "Cid", NOW)]
+
+
+def test_a_job_without_a_batch_size_takes_everything(spark, run):
+    run.warehouse.insert_lines(MATCH, [{"match_id": f"M{i}"} for i in range(130)])
+    documents = spark.createDataFrame([(match_document(f"M{i}", [f"p{i}"]),) for i in range(130)], "payload string")
+    J.enrich_stats(run, documents)
+    assert run.warehouse.read(MATCH).where("is_processed").count() == 130
+
+
+def test_both_player_marts_scan_the_facts_once(spark, run, monkeypatch):
+    run.warehouse.insert_lines(schemas.FACT_PLAYERS_TO_PROCESS.name, [{"puuid": "p1", "game_name": "Ann"}])
+    run.warehouse.insert_lines(MATCH, [{"match_id": "M1"}])
+    J.enrich_stats(run, landed(spark, M1=match_document("M1", ["p1", "p2"])))
+    read, real = [], run.warehouse.read
+    monkeypatch.setattr(type(run.warehouse), "read", lambda self, table: read.append(table) or real(table))
+    done = J.kpi_players(run)
+    assert read.count(STATS) == 1 and {k: v["rows_affected"] for k, v in done.items()} == {"player": 1, "player_champion": 1}
+
+
 def test_stats_are_inserted_per_match(spark, run):
     run.warehouse.insert_lines(STATS, [{"id": "x", "match_id": "M1"}])
     run.warehouse.insert_lines(MATCH, [{"match_id": "M1"}])
@@ -117,8 +162,8 @@ def test_kpi_jobs_update_in_place(spark, run):
     assert J.kpi_per_player(run)["rows_affected"] == 1
     assert J.kpi_per_player_champion(run)["rows_affected"] == 1
     assert J.kpi_per_champion(run)["rows_affected"] == 1
-    J.enrich_stats(run, landed(spark, M2=match_document("M2", ["p1", "p3"], championId=8)))
     later = J.Run(warehouse, "job", LATER)
+    J.enrich_stats(later, landed(spark, M2=match_document("M2", ["p1", "p3"], championId=8)))
     assert J.kpi_per_champion(later)["operations_performed"] == ["UPDATE", "INSERT"]
     mart = warehouse.read(schemas.MART_CHAMPION.name)
     columns = ["champion_id", "total_games", "tech_date_creation", "tech_date_modification"]

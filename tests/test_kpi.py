@@ -20,34 +20,47 @@ def stats(spark, *games):
     return spark.createDataFrame([tuple((base | g)[n] for n in names) for g in games], ddl)
 
 
-def test_one_game_by_hand(spark):
+def test_every_metric_of_one_game_by_hand(spark):
+    """Ten minutes; the numbers on the right were worked out by hand from the formulas of the data model."""
     game = dict(
-        kills=5, deaths=2, assists=3, double_kills=1, penta_kills=1, total_damage_dealt_to_champions=12000,
-        physical_damage_dealt_to_champions=9000, total_damage_taken=8000, magic_damage_taken=2000, total_heal=1000,
-        total_minions_killed=50, gold_earned=10000,
+        kills=5, deaths=2, assists=3, double_kills=1, triple_kills=2, quadra_kills=3, penta_kills=1,
+        total_damage_dealt_to_champions=12000, physical_damage_dealt_to_champions=9000, magic_damage_dealt_to_champions=2400,
+        true_damage_dealt_to_champions=600, total_damage_taken=8000, physical_damage_taken=5000, magic_damage_taken=2000,
+        true_damage_taken=1000, total_heal=1000, total_minions_killed=50, gold_earned=10000,
     )
     row = K.kpi(stats(spark, game), K.CHAMPION).first().asDict()
     expected = {
-        "avg_damage_per_minute": 1200.0,
-        "avg_physical_damage_dealt_pct": 75.0,
-        "avg_magic_damage_taken_pct": 25.0,
-        "avg_kills_per_minute": 0.5,
-        "avg_multi_kill_score": 18.0,
-        "penta_rate": 100.0,
-        "avg_damage_taken_per_death": 4000.0,
-        "avg_gold_per_cs": 200.0,
-        "avg_kda": 4.0,
-        "total_games": 1,
-        "best_damage": 12000,
-        "best_deaths": 2,
-        "tanking_index": 800 * 0.35 + 100 * 0.25 + (1 / 0.2) * 0.3 - 0.2 * 50,
-        "damage_index": 1200 * 0.6 + 0.5 * 80 + 18 * 4 - 0.2 * 50,
-        "support_index": 0.3 * 180 + 100 * 0.15 - 0.2 * 80,
-    }
+        "avg_damage_per_minute": 1200, "avg_physical_damage_per_minute": 900, "avg_magic_damage_per_minute": 240,
+        "avg_true_damage_per_minute": 60, "avg_physical_damage_dealt_pct": 75, "avg_magic_damage_dealt_pct": 20,
+        "avg_true_damage_dealt_pct": 5, "avg_kills_per_minute": 0.5, "avg_deaths_per_minute": 0.2, "avg_assists_per_minute": 0.3,
+        "avg_multi_kill_score": 50, "penta_rate": 100, "avg_damage_taken_per_death": 4000,
+        "avg_physical_damage_taken_per_minute": 500, "avg_magic_damage_taken_per_minute": 200, "avg_true_damage_taken_per_minute": 100,
+        "avg_physical_damage_taken_pct": 62.5, "avg_magic_damage_taken_pct": 25, "avg_true_damage_taken_pct": 12.5,
+        "avg_heal_per_minute": 100, "avg_cs_per_minute": 5, "avg_gold_per_minute": 1000, "avg_gold_per_cs": 200, "avg_kda": 4,
+        "total_games": 1, "best_kills": 5, "best_damage": 12000, "best_deaths": 2,
+        "tanking_index": 296.5, "damage_index": 950, "support_index": 53,
+    }
+    assert set(expected) == set(schemas.KPI_METRICS)
     assert {k: row[k] for k in expected} == pytest.approx(expected)
     assert list(row)[2:] == schemas.KPI_METRICS
 
 
+def test_check_sql_gives_the_same_by_hand():
+    """The SQL that queries are checked against, on the same game: its formulas are pinned by the same numbers."""
+    import duckdb
+    from matchmill.plans.queries.common import kpi_sql
+
+    con = duckdb.connect()
+    con.execute("""CREATE TABLE s AS SELECT 600 AS game_duration, 1 AS champion_id, 5 AS kills, 2 AS deaths, 3 AS assists, 1 AS double_kills,
+        2 AS triple_kills, 3 AS quadra_kills, 1 AS penta_kills, 12000 AS total_damage_dealt_to_champions, 9000 AS physical_damage_dealt_to_champions,
+        2400 AS magic_damage_dealt_to_champions, 600 AS true_damage_dealt_to_champions, 8000 AS total_damage_taken, 5000 AS physical_damage_taken,
+        2000 AS magic_damage_taken, 1000 AS true_damage_taken, 1000 AS total_heal, 50 AS total_minions_killed, 10000 AS gold_earned""")
+    found = con.execute(f"SELECT * FROM ({kpi_sql(['champion_id'], None)} GROUP BY champion_id)")
+    row = dict(zip([d[0] for d in found.description], found.fetchall()[0]))
+    some = {"tanking_index": 296.5, "damage_index": 950, "support_index": 53, "avg_kda": 4, "avg_multi_kill_score": 50, "penta_rate": 100, "avg_true_damage_taken_pct": 12.5}
+    assert {k: row[k] for k in some} == pytest.approx(some)
+
+
 def test_zero_divisors(spark):
     row = K.kpi(stats(spark, {"gold_earned": 7}), K.PLAYER).first()
     assert row["avg_gold_per_cs"] == 7 and row["avg_kda"] == 0 and row["avg_physical_damage_dealt_pct"] == 0

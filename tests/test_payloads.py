@@ -57,10 +57,19 @@ def test_quarantine(spark):
     assert sorted(r[0] for r in bad.collect())[0] == "not json" and bad.count() == 2
 
 
+def test_a_match_with_too_many_players_is_rejected_whole(spark):
+    crowd = [f"p{i}" for i in range(12)]
+    both = parsed(spark, match_document("M1", crowd), match_document("M2", crowd[:10]))
+    assert nested.match_header(nested.readable(both)).select("match_id", "puuid_10").collect() == [("M2", "p9")]
+    assert "M1" in nested.quarantined(both).first()[0] and nested.quarantined(both).count() == 1
+
+
 def test_id_cap(spark):
     pages = [("p", 450, s, [f"m{i}" for i in range(s, min(s + 100, 1050))]) for s in range(0, 1050, 100)]
     pages.append(("p", 420, 0, ["other"]))
-    out = nested.match_ids(spark.createDataFrame(pages, schemas.ID_PAGE))
+    landed = spark.createDataFrame(pages, schemas.ID_PAGE)
+    assert nested.match_ids(landed).count() == 1050
+    out = nested.match_ids(landed, cap=1000)
     assert [r["match_id"] for r in out.orderBy("position").collect()] == [f"m{i}" for i in range(1000)]
 
 

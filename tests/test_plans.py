@@ -75,6 +75,21 @@ def test_sample_join_broadcasts_only_the_sample(spark):
     assert "TakeOrderedAndProject(limit=1000" in text and "BroadcastHashJoin" in text
 
 
+def test_a_sampled_key_finds_each_row_once(spark):
+    rows = spark.range(5000).select(F.lit(1).alias("k"), "id")
+    assert W.self_join_sample(rows, "k").count() == 5000
+
+
+def test_joins_without_an_equality_are_refused(spark):
+    from matchmill.operators.extract import Join, extract
+
+    t = spark.range(3).withColumnRenamed("id", "k")
+    for on in ("t_main.k < r.k", "t_main.k <> r.k", "true"):
+        with pytest.raises(ValueError):
+            extract(t, ["t_main.k"], joins=[Join(t, on, "r")])
+    assert extract(t, ["t_main.k"], joins=[Join(t, "t_main.k = r.k AND r.k >= 1", "r")]).count() == 2
+
+
 @pytest.fixture
 def hot(spark, tmp_path, settings):
     """Two tables in which one key holds a third of the rows, and settings that call that skew."""
@@ -133,7 +148,7 @@ def test_thirty_math_columns_in_one_projection(spark):
     rows = W.math_columns(V.table(spark, SF_DIR, "orders").select("o_orderkey"), "o_orderkey", 30)
     assert len(rows.columns) == 31 and plan(rows).count("Project") == 1
     wide = W.wide_aggregate(rows, rows.columns[1:])
-    assert len(wide.columns) == 50
+    assert len(wide.columns) == 150
 
 
 def test_partitioned_writes_can_be_split(spark):

@@ -68,9 +68,58 @@ def test_defaults_and_lines(spark, warehouse):
     warehouse.insert_lines("raw.new", [{"k": "a"}], KV)
     assert rows(warehouse.read("raw.new")) == [("a", None)]
     warehouse.check_key("raw.t")
-    warehouse.insert_lines("raw.t", [{"k": "a"}])
+
+
+@pytest.mark.parametrize("bucket_key", [None, "k"])
+def test_primary_keys_are_kept(spark, warehouse, bucket_key):
+    warehouse.create_table("raw.t", KV, ["k"], bucket_key=bucket_key)
+    warehouse.insert_lines("raw.t", [{"k": "a", "v": 1}, {"k": "b"}])
+    for bad in ([{"k": "a"}], [{"k": "c"}, {"k": "c"}]):
+        with pytest.raises(ValueError):
+            warehouse.insert_lines("raw.t", bad)
+        with pytest.raises(ValueError):
+            warehouse.insert(frame(spark, [(x["k"], 2) for x in bad]), "raw.t")
     with pytest.raises(ValueError):
-        warehouse.check_key("raw.t")
+        warehouse.merge(frame(spark, [("z", 1), ("z", 2)]), "raw.t", ["k"], (), {"k": "k", "v": "v"}, has_not_matched=True)
+    assert rows(warehouse.read("raw.t")) == [("a", 1), ("b", None)]
+    warehouse.check_key("raw.t")
+
+
+def test_text_lengths_are_kept(spark, warehouse):
+    warehouse.create_table("raw.t", {"k": "VARCHAR(5)", "v": "INT"}, ["k"])
+    warehouse.insert_lines("raw.t", [{"k": "short", "v": 1}])
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        warehouse.insert(frame(spark, [("longer", 2)]), "raw.t")
+    assert rows(warehouse.read("raw.t")) == [("short", 1)]
+
+
+def test_updates_rewrite_only_what_changes(spark, warehouse):
+    warehouse.create_table("fact.t", KV, ["k"], bucket_key="k")
+    warehouse.insert(frame(spark, [(f"k{i}", i) for i in range(100)]), "fact.t")
+    for where in ({"k": "k7"}, {"v": 9}):
+        before = set(warehouse._stored("fact.t").inputFiles())
+        assert warehouse.update("fact.t", {"v": -1}, where)["rows_updated"] == 1
+        after = set(warehouse._stored("fact.t").inputFiles())
+        assert len(after - before) == 1 and len(after & before) == len(before) - 1
+    assert warehouse.update("fact.t", {"v": -2}, {"v": 10**6})["rows_updated"] == 0
+    assert warehouse.read("fact.t").count() == 100 and warehouse.read("fact.t").where("v = -1").count() == 2
+
+
+def test_both_branches_of_a_merge_read_their_partitions_only(spark, warehouse, monkeypatch):
+    columns = {**KV, "tech_date_creation": "TIMESTAMP_NTZ", "tech_date_modification": "TIMESTAMP_NTZ"}
+    warehouse.create_table("fact.t", columns, ["k"], bucket_key="k")
+    warehouse.insert(frame(spark, [(f"k{i}", i) for i in range(100)]), "fact.t")
+    seen = []
+    from matchmill.operators import merge
+
+    for name in ("unmatched_source", "matched_rows"):
+        def spy(target, *rest, real=getattr(merge, name), **options):
+            seen.append(target._jdf.queryExecution().executedPlan().toString())
+            return real(target, *rest, **options)
+
+        monkeypatch.setattr(merge, name, spy)
+    warehouse.merge(frame(spark, [("k7", -1)]), "fact.t", ["k"], ["v"], {"k": "k", "v": "v"}, has_matched=True, has_not_matched=True)
+    assert len(seen) == 2 and all(f"PartitionFilters: [{BUCKET}" in p or f"({BUCKET}" in p.split("PartitionFilters")[1][:60] for p in seen)
 
 
 def test_fraction_is_rounded_into_whole_column(spark, warehouse):
@@ -96,7 +145,6 @@ def test_merge_branches(spark, warehouse, bucket_key):
         ["k"],
         has_matched=True,
         has_not_matched=True,
-        source_rows=3,
         **options,
     )
     assert third["rows_affected"] == 3
