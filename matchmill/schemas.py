@@ -127,15 +127,19 @@ def _mart(name: str, keys: tuple[str, ...]) -> Table:
     return Table(f"{MART}.{name}", columns, defaults=dict(_TECH_DEFAULTS))
 
 
+# Text lengths of the fact tables.
+MATCH_ID, PUUID = "VARCHAR(50)", "VARCHAR(250)"
+_STAT_TEXTS = {"id": "VARCHAR(250)", "match_id": MATCH_ID, "puuid": PUUID, "champion_name": "VARCHAR(100)"}
+
 FACT_MATCH = Table(
     f"{FACT}.fact_match",
     {
-        "match_id": "STRING",
-        **{f"puuid_{i}": "STRING" for i in range(1, PLAYERS_PER_MATCH + 1)},
+        "match_id": MATCH_ID,
+        **{f"puuid_{i}": PUUID for i in range(1, PLAYERS_PER_MATCH + 1)},
         "game_creation": "TIMESTAMP_NTZ",
         "game_duration": "BIGINT",
-        "game_mode": "STRING",
-        "game_version": "STRING",
+        "game_mode": "VARCHAR(50)",
+        "game_version": "VARCHAR(20)",
         "game_in_progress": "BOOLEAN",
         "is_processed": "BOOLEAN",
         **_TECH,
@@ -147,7 +151,7 @@ FACT_MATCH = Table(
 
 FACT_PLAYERS_TO_PROCESS = Table(
     f"{FACT}.fact_puuid_to_process",
-    {"puuid": "STRING", "game_name": "STRING", "tag_line": "STRING", "date_processed": "TIMESTAMP_NTZ", **_TECH},
+    {"puuid": PUUID, "game_name": "VARCHAR(100)", "tag_line": "VARCHAR(50)", "date_processed": "TIMESTAMP_NTZ", **_TECH},
     ("puuid",),
     dict(_TECH_DEFAULTS),
 )
@@ -155,12 +159,12 @@ FACT_PLAYERS_TO_PROCESS = Table(
 FACT_PLAYERS = Table(
     f"{FACT}.fact_puuid",
     {
-        "puuid": "STRING",
-        "game_name": "STRING",
-        "tag_line": "STRING",
-        "queue_type": "STRING",
-        "tier": "STRING",
-        "rank": "STRING",
+        "puuid": PUUID,
+        "game_name": "VARCHAR(100)",
+        "tag_line": "VARCHAR(50)",
+        "queue_type": "VARCHAR(30)",
+        "tier": "VARCHAR(10)",
+        "rank": "VARCHAR(4)",
         "date_processed": "TIMESTAMP_NTZ",
         **_TECH,
     },
@@ -171,7 +175,7 @@ FACT_PLAYERS = Table(
 
 FACT_STATS = Table(
     f"{FACT}.fact_stats",
-    {**{c: _stat_type(c) for c in STAT_COLUMNS}, **_TECH, **{c: "INT" for c in ITEM_FIELDS}},
+    {**{c: _STAT_TEXTS.get(c, _stat_type(c)) for c in STAT_COLUMNS}, **_TECH, **{c: "INT" for c in ITEM_FIELDS}},
     ("id",),
     dict(_TECH_DEFAULTS),
     bucket_key="match_id",

@@ -389,6 +389,7 @@ class Warehouse:
         if touched == []:
             return 0
         name, location = self.name(table), self._new_location(table)
+        changed = _within_lengths(changed, self._stored(table).schema)
         seen = Observation()
         counted = changed.observe(seen, F.count_if(F.col(flag)).alias(ROWS)).drop(flag)
         partitioned = self._buckets_of(table)[0] is not None
@@ -409,6 +410,19 @@ def _bucket(key: Column, n: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
 
 
+def _within_lengths(df: DataFrame, stored: T.StructType) -> DataFrame:
+    """Fail the query on a text longer than its column declares, as an INSERT does."""
+    checked = {}
+    for field in stored:
+        declared = field.metadata.get("__CHAR_VARCHAR_TYPE_STRING", "")
+        if declared.startswith("varchar("):
+            most = int(declared[8:-1])
+            column = F.col(f"`{field.name}`")
+            too_long = F.raise_error(F.lit(f"EXCEED_LIMIT_LENGTH: {field.name} takes {most} characters")).cast("string")
+            checked[field.name] = F.when(F.char_length(column) > most, too_long).otherwise(column)
+    return df.withColumns(checked) if checked else df
+
+
 def _few_files(df: DataFrame) -> DataFrame:
     """Rows gathered by partition, so that not every task writes to every partition.
 

@@ -90,7 +90,15 @@ def test_text_lengths_are_kept(spark, warehouse):
     warehouse.insert_lines("raw.t", [{"k": "short", "v": 1}])
     with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
         warehouse.insert(frame(spark, [("longer", 2)]), "raw.t")
-    assert rows(warehouse.read("raw.t")) == [("short", 1)]
+    warehouse.create_table("raw.u", {"k": "STRING", "v": "VARCHAR(5)"}, ["k"], bucket_key="k")
+    warehouse.insert_lines("raw.u", [{"k": "a", "v": "short"}])
+    for change in (
+        lambda: warehouse.update("raw.u", {"v": "longer"}, {"k": "a"}),
+        lambda: warehouse.merge(frame(spark, [("a", "longer")], "k string, v string"), "raw.u", ["k"], ["v"], has_matched=True),
+    ):
+        with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+            change()
+    assert rows(warehouse.read("raw.t")) == [("short", 1)] and rows(warehouse.read("raw.u")) == [("a", "short")]
 
 
 def test_updates_rewrite_only_what_changes(spark, warehouse):
