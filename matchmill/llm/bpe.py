@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,17 +41,16 @@ class Coder:
         for token, rank in ranks.items():
             self._tokens[rank] = token
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         if len(text) <= LONG_TEXT:
-            return self._encoding.encode_ordinary(text)
-        ids: list[int] = []
+            return self._encoding.encode_to_numpy(text).astype(np.int32)
+        parts = [np.zeros(0, np.int32)]
         for part in _cut(text):
             if len(part) <= 2 * LONG_TEXT:
-                ids += self._encoding.encode_ordinary(part)
+                parts.append(self._encoding.encode_to_numpy(part).astype(np.int32))
             else:
-                for match in self._pattern.finditer(part):
-                    ids += self._encoding._encode_single_piece(match[0])
-        return ids
+                parts += [np.array(self._encoding._encode_single_piece(m[0]), np.int32) for m in self._pattern.finditer(part)]
+        return np.concatenate(parts)
 
     def decode(self, ids) -> bytes | None:
         try:
@@ -94,7 +94,10 @@ class Vocabulary:
         def token_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             coder = _coder(shared)
             for batch in batches:
-                yield pa.array([coder.encode(x.as_py() or "") for x in batch], pa.list_(pa.int32()))
+                # Numbers are held packed: as Python objects a batch's ids take ten times the room.
+                ids = [coder.encode(x.as_py() or "") for x in batch]
+                ends = np.cumsum([0, *map(len, ids)])
+                yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
 
         return token_ids(text)
 
