@@ -46,36 +46,24 @@ def dedupe_keys(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     return df.select(*subset).distinct()
 
 
-def tech_info(
-    df: DataFrame,
-    job_id: str,
-    job_time: dt.datetime | str,
-    job_column: str = "tech_dag_id",
-    date_column: str = "tech_execution_date",
-    date_format: str = "%Y-%m-%d %H:%M:%S",
-) -> DataFrame:
+# Names and formats of the columns that jobs add.
+JOB_COLUMNS, JOB_FORMAT = ("tech_dag_id", "tech_execution_date"), "%Y-%m-%d %H:%M:%S"
+PHOTO_COLUMNS, PHOTO_FORMAT = ("tech_date_photo", "tech_annee_photo", "tech_semaine_photo"), "%Y-%m-%d"
+
+
+def tech_info(df: DataFrame, job_id: str, job_time: dt.datetime | str, names: Sequence[str] = JOB_COLUMNS) -> DataFrame:
     """Stamp each row with the job id and the job time as Paris wall-clock text."""
-    stamp = F.date_format(dates.paris_time(job_time), dates.spark_pattern(date_format))
-    return df.withColumns({job_column: F.lit(job_id), date_column: stamp})
+    stamp = F.date_format(dates.paris_time(job_time), dates.spark_pattern(JOB_FORMAT))
+    return df.withColumns(dict(zip(names, (F.lit(job_id), stamp), strict=True)))
 
 
 def tech_photo(
-    df: DataFrame,
-    job_time: dt.datetime | str,
-    date_column: str = "tech_date_photo",
-    year_column: str = "tech_annee_photo",
-    week_column: str = "tech_semaine_photo",
-    date_format: str = "%Y-%m-%d",
+    df: DataFrame, job_time: dt.datetime | str, names: Sequence[str] = PHOTO_COLUMNS, date_format: str = PHOTO_FORMAT
 ) -> DataFrame:
     """Stamp each row with the snapshot day, its ISO year and its ISO week."""
     moment = dates.paris_time(job_time)
-    return df.withColumns(
-        {
-            date_column: F.date_format(moment, dates.spark_pattern(date_format)),
-            year_column: dates.iso_year(moment),
-            week_column: dates.iso_week(moment),
-        }
-    )
+    day = F.date_format(moment, dates.spark_pattern(date_format))
+    return df.withColumns(dict(zip(names, (day, dates.iso_year(moment), dates.iso_week(moment)), strict=True)))
 
 
 def union_sources(sources: Iterable[DataFrame | None]) -> DataFrame:

@@ -281,6 +281,39 @@ class Warehouse:
         target = self._of_buckets(table, self._touched(df, key, n) if key in keys else None)
         return self._append(merge.insert_ignore(target.select(*keys), df, keys), table)
 
+    # ---- upkeep ----
+
+    def compact(self, table: str) -> int:
+        """Write the table's rows anew, in few files; returns their number. Appends leave a file per task."""
+        stored = self._stored(table)
+        if self._buckets_of(table)[0] is None:
+            stored = stored.hint("rebalance")
+        return self._rewrite(table, stored.withColumn("_kept", F.lit(True)), "_kept", None)
+
+    def remove_replaced(self, table: str) -> int:
+        """Delete the folders that earlier versions of the table, or of its partitions, have left; returns how many.
+
+        Call it when no query reads an earlier version any more.
+        """
+        schema, name = self._split(table)
+        path_of = self.spark._jvm.org.apache.hadoop.fs.Path
+        top = path_of(f"{self.root}/{schema}/{name}")
+        system = top.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").where("col_name = 'Location'").first()
+        used = {path_of(described["data_type"]).toUri().getPath()}
+        used |= {path_of(f).getParent().toUri().getPath() for f in self._stored(table).inputFiles()}
+        removed = 0
+        for version in system.listStatus(top):
+            folder = version.getPath().toUri().getPath()
+            inside = [p.getPath() for p in system.listStatus(version.getPath()) if p.isDirectory()]
+            if not any(u == folder or u.startswith(f"{folder}/") for u in used):
+                removed += system.delete(version.getPath(), True)
+                continue
+            for part in inside:
+                if part.getName().startswith(f"{BUCKET}=") and part.toUri().getPath() not in used:
+                    removed += system.delete(part, True)
+        return removed
+
     # ---- rewriting ----
 
     def merge(

@@ -222,3 +222,41 @@ def test_extract_by_name(spark, warehouse):
     assert rows(plain) == [(11,)]
     with pytest.raises(guards.SkipJob):
         warehouse.extract("fact.t", where={"k": "z"}, skip_empty=True)
+
+
+@pytest.mark.parametrize("bucket_key", [None, "k"])
+def test_upkeep(spark, warehouse, bucket_key):
+    warehouse.create_table("fact.t", KV, ["k"], bucket_key=bucket_key)
+    for i in range(3):
+        warehouse.insert(frame(spark, [(f"k{i}-{j}", j) for j in range(20)]), "fact.t")
+    warehouse.update("fact.t", {"v": -1}, {"k": "k0-3"})
+    files = len(warehouse._stored("fact.t").inputFiles())
+    want = rows(warehouse.read("fact.t"))
+    assert warehouse.compact("fact.t") == 60
+    assert len(warehouse._stored("fact.t").inputFiles()) < files
+    assert warehouse.remove_replaced("fact.t") >= 1 and warehouse.remove_replaced("fact.t") == 0
+    assert rows(warehouse.read("fact.t")) == want
+    warehouse.insert(frame(spark, [("later", 1)]), "fact.t")
+    assert warehouse.read("fact.t").count() == 61
+
+
+def test_a_partitioned_update_lost_midway_is_completed_by_its_rerun(spark, warehouse, monkeypatch):
+    warehouse.create_table("fact.t", KV, ["k"], bucket_key="k")
+    warehouse.insert(frame(spark, [(f"k{i}", i) for i in range(40)]), "fact.t")
+    source = frame(spark, [(f"k{i}", -1) for i in range(40)])
+    switched, real = [], type(spark).sql
+
+    def lost(self, text, *args, **options):
+        if "PARTITION" in text and "SET LOCATION" in text:
+            switched.append(text)
+            if len(switched) == 2:
+                raise RuntimeError("lost")
+        return real(self, text, *args, **options)
+
+    monkeypatch.setattr(type(spark), "sql", lost)
+    with pytest.raises(RuntimeError):
+        warehouse.merge(source, "fact.t", ["k"], ["v"], has_matched=True)
+    between = warehouse.read("fact.t")
+    assert between.count() == 40 and 0 < between.where("v = -1").count() < 40
+    warehouse.merge(source, "fact.t", ["k"], ["v"], has_matched=True)
+    assert rows(warehouse.read("fact.t")) == sorted((f"k{i}", -1) for i in range(40))
