@@ -50,9 +50,10 @@ class Index:
 EXACT_64 = Index(words=1, segments=((0, 32, 1), (32, 32, 0)), max_distance=2)
 
 #: For a similarity of 0.8: sets that share 80 % of their shingles have a cosine of 0.89, so 15 %
-#: of the bits differ. Eight segments of 24 bits with one flip find all pairs of up to 15 differing
-#: bits, and of pairs at a similarity of 0.8, 0.9 and 0.95 about 58, 92 and 99 %.
-SIMILAR_192 = Index(words=3, segments=tuple((24 * i, 24, 1) for i in range(8)), max_distance=29)
+#: of the bits differ. Sixteen segments of 24 bits with one flip find all pairs of up to 31
+#: differing bits of 384, and of pairs at a similarity of 0.8, 0.85 and 0.9 about 82, 94 and 99 %.
+#: Over many more documents than 2**24 take wider segments, or chance meetings in a key prevail.
+SIMILAR_384 = Index(words=6, segments=tuple((24 * i, 24, 1) for i in range(16)), max_distance=60)
 
 
 def shingle_hashes(words: list[bytes], size: int, start: int, stop: int) -> np.ndarray:
@@ -115,35 +116,59 @@ def _segment(words: list[np.ndarray], first: int, bits: int) -> np.ndarray:
     return (value >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _keys(classes: DataFrame, index: Index, lookups: bool) -> DataFrame:
-    """Rows (key, lookup, node, words): a class under its own keys, and under those it looks up.
+def _keys(classes: DataFrame, index: Index) -> DataFrame:
+    """Rows (key, code): a class under its own keys (code 2 * node) and under those it looks up (2 * node + 1).
 
     Of two keys that differ in one bit the one without it looks up the other, which halves the
     lookups: balls are made of added bits only, for radius 1. A class looks its own key up too.
     """
-    names = index.columns
-    schema = "key long, lookup boolean, node long, " + ", ".join(f"{c} long" for c in names)
+    if any(radius > 1 for _, _, radius in index.segments):
+        raise ValueError("balls of radius 0 or 1 only; take more segments instead")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node = batch.column("node").to_numpy()
-            words = [batch.column(c).to_numpy() for c in names]
+            words = [batch.column(c).to_numpy() for c in index.columns]
             for number, (first, bits, radius) in enumerate(index.segments):
                 value = _segment(words, first, bits)
-                balls = [(value, None, False)]
-                if lookups:
-                    balls.append((value, None, True))
-                    for bit in range(bits) if radius else ():
-                        unset = np.flatnonzero((value >> bit) & 1 == 0)
-                        balls.append((value[unset] | (1 << bit), unset, True))
-                for keys, rows, lookup in balls:
-                    own = [x if rows is None else x[rows] for x in (node, *words)]
-                    arrays = [pa.array(keys | (number << 40)), pa.array(np.full(len(keys), lookup)), *map(pa.array, own)]
-                    yield pa.RecordBatch.from_arrays(arrays, names=["key", "lookup", "node", *names])
+                balls = [(value, 2 * node), (value, 2 * node + 1)]
+                for bit in range(bits) if radius else ():
+                    unset = (value >> bit) & 1 == 0
+                    balls.append((value[unset] | (1 << bit), 2 * node[unset] + 1))
+                for keys, codes in balls:
+                    yield pa.RecordBatch.from_arrays([pa.array(keys | (number << 40)), pa.array(codes)], names=["key", "code"])
 
-    if any(radius > 1 for _, _, radius in index.segments):
-        raise ValueError("balls of radius 0 or 1 only; take more segments instead")
-    return classes.select("node", *names).mapInArrow(run, schema)
+    return classes.select("node", *index.columns).mapInArrow(run, "key long, code long")
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by key, members first, those of keys under which a class meets another.
+
+    A class alone has two rows under its key, and most lookups find no member. At most two rows
+    are held, of a group that goes on in the next batch and is undecided.
+    """
+    held, open_key, stays = None, None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key, code = batch.column("key").to_numpy(), batch.column("code").to_numpy()
+        if held is not None:
+            key, code = np.concatenate([held[0], key]), np.concatenate([held[1], code])
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        starts = np.flatnonzero(new)
+        counts = np.diff(np.append(starts, len(key)))
+        member = code[starts] & 1 == 0
+        keep = member & (counts > 2)
+        if open_key == key[0] and stays is not None:
+            keep[0] = stays
+        decided = len(starts) == 1 and open_key == key[0] and stays is not None
+        open_key = int(key[-1])
+        if member[-1] and counts[-1] <= 2 and not decided:
+            held, stays = (key[starts[-1] :], code[starts[-1] :]), None
+        else:
+            held, stays = None, bool(keep[-1])
+        rows = np.repeat(keep, counts)
+        yield pa.RecordBatch.from_arrays([pa.array(key[rows]), pa.array(code[rows])], names=["key", "code"])
 
 
 def _links_of_batch(group, lookup, node, words, max_distance):
@@ -202,9 +227,13 @@ def links(classes: DataFrame, index: Index) -> DataFrame:
     lookup gives only what is needed to connect them, so the links grow with the rows.
     """
     names = index.columns
-    crowded = _keys(classes, index, lookups=False).groupBy("key").agg(F.count("*").alias("members"))
-    crowded = crowded.where(F.col("members") > BLOCK).select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-    rows = _keys(classes, index, lookups=True).join(cut_lineage(crowded, "crowded"), "key", "left")
+    by_key = _keys(classes, index).repartition("key").sortWithinPartitions("key", F.col("code").bitwiseAND(1))
+    # Narrow rows are shuffled first: few keys bring two classes together, and only those need fingerprints.
+    met = cut_lineage(by_key.mapInArrow(_met, "key long, code long"), "met")
+    met = met.select("key", (F.col("code").bitwiseAND(1) == 1).alias("lookup"), F.shiftright("code", 1).alias("node"))
+    crowded = met.where("NOT lookup").groupBy("key").agg(F.count("*").alias("members")).where(F.col("members") > BLOCK)
+    crowded = cut_lineage(crowded.select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "crowded")
+    rows = met.join(classes.select("node", *names), "node").join(crowded, "key", "left")
     blocks = F.coalesce("blocks", F.lit(1))
     own = F.pmod(F.xxhash64(F.lit("block"), "node"), blocks).cast("int")
     rows = rows.select(
@@ -214,8 +243,6 @@ def links(classes: DataFrame, index: Index) -> DataFrame:
         "node",
         *names,
     )
-    # The group as one number: a key takes less than 48 bits, its blocks the rest. As rows of one
-    # partition are sorted by both, equal neighbours are one group.
     rows = rows.repartition("key", "block").sortWithinPartitions("key", "block", "lookup")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +266,7 @@ def links(classes: DataFrame, index: Index) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, index: Index = SIMILAR_192) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, index: Index = SIMILAR_384) -> DataFrame:
     """doc_id, version, the words of the fingerprint, component_id and stays for every row of ``docs``.
 
     ``component_id`` is the smallest doc_id among all documents reachable through links, the
@@ -263,7 +290,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, index: Index = SIMILAR_192)
     )
 
 
-def one_of_each(docs: DataFrame, size: int = 5, index: Index = SIMILAR_192) -> DataFrame:
+def one_of_each(docs: DataFrame, size: int = 5, index: Index = SIMILAR_384) -> DataFrame:
     """The rows of ``docs`` that stay, one of each component, with all columns as they are."""
     staying = near_duplicates(docs, size, index).where("stays").select(F.col("doc_id").alias("__doc"), F.col("version").alias("__version"))
     staying = cut_lineage(staying.distinct(), "staying")

@@ -55,8 +55,9 @@ def with_prints(spark, prints):
     return spark.createDataFrame(rows, "node long, w0 long").repartition(4)
 
 
-@pytest.mark.parametrize("block", [512, 3])
-def test_links_find_all_within_two_bits(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, batch", [(512, 10_000), (3, 10_000), (5, 4), (512, 1)])
+def test_links_find_all_within_two_bits(spark, settings, monkeypatch, block, batch):
+    settings(spark__sql__execution__arrow__maxRecordsPerBatch=str(batch))
     monkeypatch.setattr(simhash, "BLOCK", block)
     draw = random.Random(block)
     centres = [draw.getrandbits(64) for _ in range(12)]
@@ -67,6 +68,22 @@ def test_links_find_all_within_two_bits(spark, monkeypatch, block):
     assert got == plain_components(dict(enumerate(prints)), 2)
 
 
+def test_only_keys_that_bring_classes_together_are_kept():
+    """Any cut into batches gives the groups of a member and another row."""
+    import pyarrow as pa
+
+    draw = random.Random(6)
+    rows = []
+    for key in range(60):
+        members, lookups = draw.choice([(0, 1), (0, 4), (1, 1), (1, 3), (2, 2), (3, 9)])
+        rows += [(key, 2 * m) for m in range(members)] + [(key, 2 * m + 1) for m in range(lookups)]
+    want = [r for r in rows if sum(k == r[0] for k, _ in rows) > 2 and (r[0], 0) in rows]
+    for size in (1, 2, 3, 5, 17, 1000):
+        batches = [pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows[i : i + size])], names=["key", "code"]) for i in range(0, len(rows), size)]
+        got = [tuple(r.values()) for b in simhash._met(iter(batches)) for r in b.to_pylist()]
+        assert got == want, size
+
+
 def test_crowded_key_gives_few_links(spark, monkeypatch):
     monkeypatch.setattr(simhash, "BLOCK", 64)
     prints = sorted({1 << 40 | 1 << a | 1 << b for a in range(32) for b in range(32)})
