@@ -50,10 +50,11 @@ class Index:
 EXACT_64 = Index(words=1, segments=((0, 32, 1), (32, 32, 0)), max_distance=2)
 
 #: For a similarity of 0.8: sets that share 80 % of their shingles have a cosine of 0.89, so 15 %
-#: of the bits differ. Sixteen segments of 24 bits with one flip find all pairs of up to 31
-#: differing bits of 384, and of pairs at a similarity of 0.8, 0.85 and 0.9 about 82, 94 and 99 %.
-#: Over many more documents than 2**24 take wider segments, or chance meetings in a key prevail.
-SIMILAR_384 = Index(words=6, segments=tuple((24 * i, 24, 1) for i in range(16)), max_distance=60)
+#: of the bits differ. Eighteen segments of 28 bits with one flip find all pairs of up to 35
+#: differing bits of 512, and of pairs at a similarity of 0.8, 0.85 and 0.9 about 67, 87 and 98 %.
+#: Keys of 28 bits bring few documents together by chance: with n documents, n * n / 2**20 lookups
+#: or so. Over many more than 2**28 documents take wider segments.
+SIMILAR_512 = Index(words=8, segments=tuple((28 * i, 28, 1) for i in range(18)), max_distance=80)
 
 
 def shingle_hashes(words: list[bytes], size: int, start: int, stop: int) -> np.ndarray:
@@ -266,7 +267,7 @@ def links(classes: DataFrame, index: Index) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, index: Index = SIMILAR_384) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, index: Index = SIMILAR_512) -> DataFrame:
     """doc_id, version, the words of the fingerprint, component_id and stays for every row of ``docs``.
 
     ``component_id`` is the smallest doc_id among all documents reachable through links, the
@@ -290,7 +291,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, index: Index = SIMILAR_384)
     )
 
 
-def one_of_each(docs: DataFrame, size: int = 5, index: Index = SIMILAR_384) -> DataFrame:
+def one_of_each(docs: DataFrame, size: int = 5, index: Index = SIMILAR_512) -> DataFrame:
     """The rows of ``docs`` that stay, one of each component, with all columns as they are."""
     staying = near_duplicates(docs, size, index).where("stays").select(F.col("doc_id").alias("__doc"), F.col("version").alias("__version"))
     staying = cut_lineage(staying.distinct(), "staying")
