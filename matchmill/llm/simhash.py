@@ -4,12 +4,17 @@ Documents get a fingerprint of 64 bits or a multiple. Equal fingerprints are one
 segment of a class's fingerprint is a key of a table; a class looks up every key in a small Hamming
 ball around its own segments, and what it finds is verified on the complete distance. Two
 fingerprints whose distance is less than the sum of (radius + 1) over the segments always meet.
+
+For a similarity of the texts, keys are samples of the bits, and the distance only sorts what meets:
+near pairs are links, far ones are none, and those between are decided by their sets of shingles.
 """
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +39,17 @@ PAIRS = 1 << 20
 
 @dataclass(frozen=True)
 class Index:
-    """How fingerprints are looked up: (first bit, bits, radius of the ball) of each segment."""
+    """How fingerprints are looked up: (first bit, bits, radius of the ball) of each segment, or the bits of each sample.
+
+    With a similarity, pairs beyond ``sure_distance`` are decided by the sets of their shingles.
+    """
 
     words: int
     segments: tuple[tuple[int, int, int], ...]
     max_distance: int
+    samples: tuple[tuple[int, ...], ...] = ()
+    sure_distance: int | None = None
+    similarity: float | None = None
 
     @property
     def columns(self) -> list[str]:
@@ -49,12 +60,25 @@ class Index:
 #: such pair meets.
 EXACT_64 = Index(words=1, segments=((0, 32, 1), (32, 32, 0)), max_distance=2)
 
+
+
+def _samples(bits: int, size: int, rounds: int) -> tuple[tuple[int, ...], ...]:
+    """Disjoint samples of ``size`` bits, as many as there are in ``bits``; so in each round, after another shuffle."""
+    draw = random.Random(0)
+    found = []
+    for _ in range(rounds):
+        order = draw.sample(range(bits), bits)
+        found += [tuple(order[i : i + size]) for i in range(0, bits - size + 1, size)]
+    return tuple(found)
+
+
 #: For a similarity of 0.8: sets that share 80 % of their shingles have a cosine of 0.89, so 15 %
-#: of the bits differ. Eighteen segments of 28 bits with one flip find all pairs of up to 35
-#: differing bits of 512, and of pairs at a similarity of 0.8, 0.85 and 0.9 about 67, 87 and 98 %.
-#: Keys of 28 bits bring few documents together by chance: with n documents, n * n / 2**20 lookups
-#: or so. Over many more than 2**28 documents take wider segments.
-SIMILAR_512 = Index(words=8, segments=tuple((28 * i, 28, 1) for i in range(18)), max_distance=80)
+#: of the bits differ: 155 of 1024, with a deviation of 11.5. 576 samples of 28 bits are keys; if
+#: bits are independent, pairs at a similarity of 0.8 share one in 99 of 100 cases, more similar
+#: ones in more. Four deviations to either side the distance decides alone. Keys of 28 bits bring
+#: few documents together by chance: with n documents, n * n / 2**19 or so. Over many more than
+#: 2**28 documents take wider samples.
+SIMILAR_1024 = Index(words=16, segments=(), max_distance=201, samples=_samples(1024, 28, 16), sure_distance=109, similarity=0.8)
 
 
 def shingle_hashes(words: list[bytes], size: int, start: int, stop: int) -> np.ndarray:
@@ -63,36 +87,46 @@ def shingle_hashes(words: list[bytes], size: int, start: int, stop: int) -> np.n
     return np.array([hashed(b" ".join(words[i : i + size]), 42) for i in range(start, stop)], np.uint64)
 
 
-def _mixed(h: np.ndarray, word: int) -> np.ndarray:
-    """The hashes for the word-th 64 bits: themselves first, then remixed by a keyed multiplication."""
-    if word == 0:
-        return h
-    h = (h ^ np.uint64(0x9E3779B97F4A7C15 * word & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(32))
+def _mixed(h: np.ndarray, words: int) -> np.ndarray:
+    """A row of 64-bit words for each hash: itself first, then remixed by keyed multiplications."""
+    keys = np.array([0x9E3779B97F4A7C15 * w & (1 << 64) - 1 for w in range(words)], np.uint64)
+    mixed = (h[:, None] ^ keys) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    mixed ^= mixed >> np.uint64(32)
+    mixed[:, 0] = h
+    return mixed
 
 
-def simhash(text: str | None, size: int, n_words: int = 1) -> list[int]:
+def simhash(text: str | None, size: int, n_words: int = 1, distinct: bool = False) -> list[int]:
     """The fingerprint of a text as signed 64-bit words.
 
     A-Z are lower-cased, words are runs of anything but ASCII white space, shingles are ``size``
-    words with repeats. A shorter text is one shingle; a null, empty or blank one has no bit set.
-    A bit is set if more than half of the shingles' hashes have it.
+    words, with repeats unless ``distinct``. A shorter text is one shingle; a null, empty or blank
+    one has no bit set. A bit is set if more than half of the shingles' hashes have it.
     """
     words = (text or "").encode().lower().split()
     if not words:
         return [0] * n_words
     n = max(1, len(words) - size + 1)
-    counts = np.zeros((n_words, 64), np.int64)
-    for start in range(0, n, CHUNK):
-        h = shingle_hashes(words, size, start, min(n, start + CHUNK))
-        for w in range(n_words):
-            bits = np.unpackbits(_mixed(h, w).astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-            counts[w] += bits.sum(axis=0, dtype=np.int64)
-    return np.packbits(counts * 2 > n, axis=1).view(">i8").ravel().tolist()
+    chunks = (shingle_hashes(words, size, start, min(n, start + CHUNK)) for start in range(0, n, CHUNK))
+    if distinct:
+        chunks = [np.unique(np.concatenate(list(chunks)))]
+        n = len(chunks[0])
+    counts = np.zeros(n_words * 64, np.int64)
+    for h in chunks:
+        for at in range(0, len(h), 255):  # as many as a byte counts
+            bits = np.unpackbits(_mixed(h[at : at + 255], n_words).astype(">u8").view(np.uint8), axis=1)
+            counts += bits.sum(axis=0, dtype=np.uint8)
+    return np.packbits(counts * 2 > n).view(">i8").tolist()
+
+
+def shingle_set(text: str | None, size: int) -> np.ndarray:
+    """The distinct shingles of a text as hashes, none if it has no words."""
+    words = (text or "").encode().lower().split()
+    return np.unique(shingle_hashes(words, size, 0, max(1, len(words) - size + 1))) if words else np.zeros(0, np.uint64)
 
 
-def fingerprints(docs: DataFrame, size: int, n_words: int = 1) -> DataFrame:
+def fingerprints(docs: DataFrame, size: int, n_words: int = 1, distinct: bool = False) -> DataFrame:
     """doc_id, version (a hash of the text) and the fingerprint's words w0, w1, ... of every row of ``docs``."""
     columns = [f"w{i}" for i in range(n_words)]
     rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("version"), "text")
@@ -101,7 +135,7 @@ def fingerprints(docs: DataFrame, size: int, n_words: int = 1) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [simhash(x.as_py(), size, n_words) for x in batch.column("text")]
+            prints = [simhash(x.as_py(), size, n_words, distinct) for x in batch.column("text")]
             by_word = [pa.array([p[i] for p in prints], pa.int64()) for i in range(n_words)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *by_word], names=schema.names)
 
@@ -121,7 +155,8 @@ def _keys(classes: DataFrame, index: Index) -> DataFrame:
     """Rows (key, code): a class under its own keys (code 2 * node) and under those it looks up (2 * node + 1).
 
     Of two keys that differ in one bit the one without it looks up the other, which halves the
-    lookups: balls are made of added bits only, for radius 1. A class looks its own key up too.
+    lookups: balls are made of added bits only, for radius 1. A class looks its own key up too,
+    for which samples have no row of their own: they have no balls, so all look up what they are under.
     """
     if any(radius > 1 for _, _, radius in index.segments):
         raise ValueError("balls of radius 0 or 1 only; take more segments instead")
@@ -138,14 +173,22 @@ def _keys(classes: DataFrame, index: Index) -> DataFrame:
                     balls.append((value[unset] | (1 << bit), 2 * node[unset] + 1))
                 for keys, codes in balls:
                     yield pa.RecordBatch.from_arrays([pa.array(keys | (number << 40)), pa.array(codes)], names=["key", "code"])
+            if index.samples:
+                columns = np.stack([w.astype(">i8") for w in words], axis=1)
+                by_bit = np.ascontiguousarray(np.unpackbits(columns.view(np.uint8), axis=1).T)
+            for number, sample in enumerate(index.samples, len(index.segments)):
+                keys = np.zeros(len(node), np.int64)
+                for byte in np.packbits(by_bit[list(sample)], axis=0):
+                    keys = keys << 8 | byte
+                yield pa.RecordBatch.from_arrays([pa.array(keys | (number << 40)), pa.array(2 * node)], names=["key", "code"])
 
     return classes.select("node", *index.columns).mapInArrow(run, "key long, code long")
 
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _met(batches: Iterator[pa.RecordBatch], alone: int = 2) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by key, members first, those of keys under which a class meets another.
 
-    A class alone has two rows under its key, and most lookups find no member. At most two rows
+    A class alone has ``alone`` rows under its key, and most lookups find no member. No more rows
     are held, of a group that goes on in the next batch and is undecided.
     """
     held, open_key, stays = None, None, None
@@ -159,12 +202,12 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts = np.flatnonzero(new)
         counts = np.diff(np.append(starts, len(key)))
         member = code[starts] & 1 == 0
-        keep = member & (counts > 2)
+        keep = member & (counts > alone)
         if open_key == key[0] and stays is not None:
             keep[0] = stays
         decided = len(starts) == 1 and open_key == key[0] and stays is not None
         open_key = int(key[-1])
-        if member[-1] and counts[-1] <= 2 and not decided:
+        if member[-1] and counts[-1] <= alone and not decided:
             held, stays = (key[starts[-1] :], code[starts[-1] :]), None
         else:
             held, stays = None, bool(keep[-1])
@@ -172,16 +215,15 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(key[rows]), pa.array(code[rows])], names=["key", "code"])
 
 
-def _links_of_batch(group, lookup, node, words, max_distance):
-    """Links found by the lookups of one batch, enough to connect all that are connected.
+def _links_of_batch(group, lookup, node, words, index):
+    """Pairs found by the lookups of one batch, as rows of the lookup and the member, and their distances.
 
-    Rows are sorted by group, the members of each before its lookups. A lookup is linked with the
-    first member it is near to; further members only where they are not connected yet.
+    Rows are sorted by group, the members of each before its lookups; of samples members look up too.
     """
     starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
     of_group = np.cumsum(np.concatenate([[True], group[1:] != group[:-1]])) - 1
     members = np.add.reduceat((~lookup).astype(np.int64), starts)
-    rows = np.flatnonzero(lookup)
+    rows = np.arange(len(lookup)) if index.samples else np.flatnonzero(lookup)
     counts = members[of_group[rows]]
     rows, counts = rows[counts > 0], counts[counts > 0]
     ends = np.cumsum(counts)
@@ -192,11 +234,14 @@ def _links_of_batch(group, lookup, node, words, max_distance):
         left = np.repeat(part, n)
         offset = np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n)
         right = np.repeat(starts[of_group[part]], n) + offset
+        # All look up all under samples, so one of both directions is enough.
+        other = node[left] < node[right] if index.samples else node[left] != node[right]
+        left, right = left[other], right[other]
         far = np.zeros(len(left), np.int64)
         for word in words:
             far += np.bitwise_count((word[left] ^ word[right]).view(np.uint64))
-        near = (far <= max_distance) & (node[left] != node[right])
-        yield left[near], right[near]
+        near = far <= index.max_distance
+        yield left[near], right[near], far[near]
         at = stop
 
 
@@ -220,34 +265,50 @@ def _spanning(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return keep
 
 
+def _apart(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the pairs (a, b) the links (left, right) do not connect."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (above := parent.get(x, x)) != x:
+            parent[x] = parent.get(above, above)
+            x = above
+        return x
+
+    for x, y in zip(left.tolist(), right.tolist(), strict=True):
+        parent[root(x)] = root(y)
+    return np.array([root(x) != root(y) for x, y in zip(a.tolist(), b.tolist(), strict=True)], bool)
+
+
 def links(classes: DataFrame, index: Index) -> DataFrame:
-    """Links (a, b) between nodes of ``classes`` (node and the words of distinct fingerprints).
+    """Links (a, b, sure) between nodes of ``classes`` (node and the words of distinct fingerprints).
 
-    They connect exactly the classes that some chain of pairs, each found through a table and
-    within ``max_distance``, connects. Not all pairs are returned: in a key with many members a
-    lookup gives only what is needed to connect them, so the links grow with the rows.
+    The sure ones connect exactly the classes that some chain of pairs, each found through a table
+    and within ``sure_distance`` (or ``max_distance``, if there is none), connects. Not all of them
+    are returned: in a key with many members a lookup gives only what is needed to connect them, so
+    the links grow with the rows. Of the other pairs within ``max_distance`` all come that sure
+    links under the same key do not connect, some more than once.
     """
     names = index.columns
     by_key = _keys(classes, index).repartition("key").sortWithinPartitions("key", F.col("code").bitwiseAND(1))
     # Narrow rows are shuffled first: few keys bring two classes together, and only those need fingerprints.
-    met = cut_lineage(by_key.mapInArrow(_met, "key long, code long"), "met")
+    met = cut_lineage(by_key.mapInArrow(partial(_met, alone=1 if index.samples else 2), "key long, code long"), "met")
     met = met.select("key", (F.col("code").bitwiseAND(1) == 1).alias("lookup"), F.shiftright("code", 1).alias("node"))
     crowded = met.where("NOT lookup").groupBy("key").agg(F.count("*").alias("members")).where(F.col("members") > BLOCK)
     crowded = cut_lineage(crowded.select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "crowded")
     rows = met.join(classes.select("node", *names), "node").join(crowded, "key", "left")
     blocks = F.coalesce("blocks", F.lit(1))
     own = F.pmod(F.xxhash64(F.lit("block"), "node"), blocks).cast("int")
-    rows = rows.select(
-        "key",
-        F.explode(F.when(F.col("lookup"), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))).alias("block"),
-        "lookup",
-        "node",
-        *names,
-    )
+    everywhere = F.sequence(F.lit(0), blocks - 1)
+    seen_in = everywhere if index.samples else F.when(F.col("lookup"), everywhere).otherwise(F.array(own))
+    rows = rows.select("key", F.explode(seen_in).alias("block"), "lookup", "node", *names, own.alias("own"))
+    if index.samples:
+        rows = rows.withColumn("lookup", F.col("block") != F.col("own"))
+    rows = rows.drop("own")
     rows = rows.repartition("key", "block").sortWithinPartitions("key", "block", "lookup")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = None
+        kept, limit = None, index.max_distance if index.sure_distance is None else index.sure_distance
         for batch in batches:
             columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "block", "lookup", "node", *names)]
             if not batch.num_rows:
@@ -259,15 +320,65 @@ def links(classes: DataFrame, index: Index) -> DataFrame:
             last = int(np.flatnonzero(new)[-1])
             held = last + np.flatnonzero(~lookup[last:])
             kept = [c[held] for c in columns]
-            for left, right in _links_of_batch(np.cumsum(new), lookup, node, words, index.max_distance):
-                if len(left):
-                    keep = _spanning(left, right) if len(left) > len(np.unique(left)) else slice(None)
-                    yield pa.RecordBatch.from_arrays([pa.array(node[left[keep]]), pa.array(node[right[keep]])], names=["a", "b"])
+            for left, right, far in _links_of_batch(np.cumsum(new), lookup, node, words, index):
+                sure = far <= limit
+                a, b = left[sure], right[sure]
+                if len(a):
+                    keep = _spanning(a, b) if len(a) > len(np.unique(a)) else slice(None)
+                    yield _rows(node[a[keep]], node[b[keep]], True)
+                c, d = node[left[~sure]], node[right[~sure]]
+                if len(c):
+                    apart = _apart(node[a], node[b], c, d)
+                    yield _rows(c[apart], d[apart], False)
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(run, "a long, b long, sure boolean")
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, index: Index = SIMILAR_512) -> DataFrame:
+def _rows(a: np.ndarray, b: np.ndarray, sure: bool) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), sure))], names=["a", "b", "sure"])
+
+
+def _similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Of ``pairs`` (nodes a and b, other columns kept) those whose texts share enough of their distinct shingles."""
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    named = classes.select("node", F.col("least.doc_id").alias("__doc"), F.col("least.version").alias("__version")).join(wanted, "node")
+    named = cut_lineage(named, "wanted")
+    own = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("__own"))
+    texts = own.join(named, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__version")))
+    texts = texts.select("node", "text").dropDuplicates(["node"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(x.as_py(), size).view(np.int64) for x in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    sets = cut_lineage(texts.mapInArrow(run, "node long, shingles array<long>"), "shingles")
+    for side in "ab":
+        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("shingles").alias(f"of_{side}")), side)
+    common = F.size(F.array_intersect("of_a", "of_b"))
+    return pairs.where(common / (F.size("of_a") + F.size("of_b") - common) >= similarity).drop("of_a", "of_b")
+
+
+def _roots(classes: DataFrame, docs: DataFrame, size: int, index: Index) -> DataFrame:
+    """node, root: the smallest node that a node is connected with, of nodes with links."""
+    found = links(classes, index)
+    if index.similarity is None:
+        return cut_lineage(components(found), "roots")
+    found = cut_lineage(found, "links")
+    sure = cut_lineage(components(found.where("sure")), "roots")
+    pairs = found.where("NOT sure").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    for side in "ab":
+        pairs = pairs.join(sure.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
+        pairs = pairs.withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
+    pairs = cut_lineage(pairs.where("root_a <> root_b"), "pairs")
+    similar = cut_lineage(_similar(pairs, classes, docs, size, index.similarity), "similar")
+    upper = components(similar.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    upper = cut_lineage(upper.select(F.col("node").alias("under"), F.col("root").alias("top")), "tops")
+    nodes = classes.select("node").join(sure, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return cut_lineage(nodes.join(upper, F.col("root") == F.col("under"), "left").select("node", F.coalesce("top", "root").alias("root")), "roots")
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, index: Index = SIMILAR_1024) -> DataFrame:
     """doc_id, version, the words of the fingerprint, component_id and stays for every row of ``docs``.
 
     ``component_id`` is the smallest doc_id among all documents reachable through links, the
@@ -277,12 +388,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, index: Index = SIMILAR_512)
     documents share one fingerprint. Only doc_id and text are read, so other columns may have any name.
     """
     names = index.columns
-    prints = cut_lineage(fingerprints(docs, size, index.words), "prints")
+    prints = cut_lineage(fingerprints(docs, size, index.words, index.similarity is not None), "prints")
     one = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id"), F.col("version"))
     classes = prints.groupBy(*names).agg(F.min(one).alias("least"))
     # Numbered once and written, so that the numbers stay.
     classes = cut_lineage(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    roots = cut_lineage(components(links(classes, index)), "roots")
+    roots = _roots(classes, docs, size, index)
     rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = cut_lineage(rooted.groupBy("root").agg(F.min("least").alias("first")), "firsts")
     labels = cut_lineage(rooted.join(first, "root").select(*names, "first"), "labels")
@@ -291,7 +402,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, index: Index = SIMILAR_512)
     )
 
 
-def one_of_each(docs: DataFrame, size: int = 5, index: Index = SIMILAR_512) -> DataFrame:
+def one_of_each(docs: DataFrame, size: int = 5, index: Index = SIMILAR_1024) -> DataFrame:
     """The rows of ``docs`` that stay, one of each component, with all columns as they are."""
     staying = near_duplicates(docs, size, index).where("stays").select(F.col("doc_id").alias("__doc"), F.col("version").alias("__version"))
     staying = cut_lineage(staying.distinct(), "staying")

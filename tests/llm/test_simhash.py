@@ -133,6 +133,27 @@ def test_similarity_recall(spark):
     assert all(got[i] // 2 == i // 2 for i in got)
 
 
+def test_recall_from_0_8_against_all_pairs(spark):
+    """Pairs of a similarity from 0.8 to 0.85 are found but for very few, and none below 0.8."""
+    draw = random.Random(12)
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(6))
+    rows = []
+    for i in range(300):
+        base = [word() for _ in range(600)]
+        near = list(base)
+        for at in draw.sample(range(5, 595, 10), draw.randrange(9, 17)):
+            near[at] = word()
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(near))]
+    shingles = {i: {tuple(t.split()[k : k + 5]) for k in range(596)} for i, t in rows}
+    true = {i: len(shingles[2 * i] & shingles[2 * i + 1]) / len(shingles[2 * i] | shingles[2 * i + 1]) for i in range(300)}
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(documents(spark, rows)).collect()}
+    found = {i for i in range(300) if got[2 * i + 1] == 2 * i}
+    edge = {i for i in range(300) if 0.8 <= true[i] < 0.85}
+    assert len(edge) > 80 and len(edge & found) >= 0.97 * len(edge)
+    assert not [i for i in found if true[i] < 0.8] and sum(t < 0.8 for t in true.values()) > 50
+    assert all(got[i] // 2 == i // 2 for i in got)
+
+
 def test_odd_rows(spark):
     got = simhash.near_duplicates(odd(spark), 3, simhash.EXACT_64).collect()
     assert len(got) == 9
