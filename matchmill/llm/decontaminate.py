@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -268,26 +268,43 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10
     """
     schema = docs.schema
     at = docs.columns.index("text")
-    first = True
+    item_type = benchmark.select("item_id").schema[0].dataType
+    found, shortest = None, window
     for automaton in _shards(benchmark, window):
-        docs = docs if first else cut_lineage(docs, "decontaminated")
-        first = False
-        shared = docs.sparkSession.sparkContext.broadcast(automaton)
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts, stay = [], []
-                for value in batch.column(at):
-                    text = value.as_py()
-                    words = words_of(text)
-                    spans, _ = shared.value.scan(words)
-                    covered = sum(b - a for a, b in spans)
-                    stay.append(covered <= max_coverage * len(words))
-                    spans = [(a, b) for a, b in spans if b - a >= min(min_span, shared.value.shortest)]
-                    texts.append(cut_spans(text, spans) if spans else text)
-                columns = list(batch.columns)
-                columns[at] = pa.array(texts, batch.schema.field(at).type)
-                yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(stay, pa.bool_()))
-
-        docs = docs.mapInArrow(run, schema)
-    return docs
+        shortest = min(shortest, automaton.shortest)
+        part = _scan(docs, automaton, item_type, every=False).select("doc_id", "version", F.explode("spans").alias("span")).distinct()
+        part = cut_lineage(part, "windows")
+        found = part if found is None else found.union(part)
+    # Judged and cut once, by the windows of all shards in the text as it was.
+    hits = found.groupBy(F.col("doc_id").alias("__hit_doc"), F.col("version").alias("__hit_version")).agg(F.array_sort(F.collect_set("span")).alias("__spans"))
+    hits = cut_lineage(hits, "hits")
+    same = F.col("doc_id").eqNullSafe(F.col("__hit_doc")) & (_version(F.col("text")) == F.col("__hit_version"))
+    marked = docs.join(hits, same, "left").drop("__hit_doc", "__hit_version")
+    least = min(min_span, shortest)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, stay = [], []
+            for value, hit in zip(batch.column(at), batch.column(batch.num_columns - 1), strict=True):
+                text = value.as_py()
+                spans = _merged((s["begin"], s["end"]) for s in hit.as_py() or ())
+                covered = sum(b - a for a, b in spans)
+                stay.append(not spans or covered <= max_coverage * len(words_of(text)))
+                spans = [(a, b) for a, b in spans if b - a >= least]
+                texts.append(cut_spans(text, spans) if spans else text)
+            columns = list(batch.columns)[:-1]
+            columns[at] = pa.array(texts, batch.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema.remove(len(columns))).filter(pa.array(stay, pa.bool_()))
+
+    return marked.mapInArrow(run, schema)
+
+
+def _merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans, those that overlap or touch made one."""
+    out: list[tuple[int, int]] = []
+    for begin, end in spans:
+        if out and begin <= out[-1][1]:
+            out[-1] = out[-1][0], max(end, out[-1][1])
+        else:
+            out.append((begin, end))
+    return out

@@ -58,6 +58,33 @@ def test_removal(spark):
     assert D.remove_contamination(df, benchmark.limit(0)).count() == len(rows)
 
 
+@pytest.mark.parametrize("shard", [100_000, 25])
+def test_removal_does_not_depend_on_shards(spark, monkeypatch, shard):
+    """Against one plain pass over the whole benchmark: coverage is summed up, and overlapping passages go whole."""
+    monkeypatch.setattr(D, "SHARD_WORDS", shard)
+    draw = random.Random(2)
+    make = lambda n: ["".join(draw.choice("abcdefg") for _ in range(6)) for _ in range(n)]
+    first, second, run, own = make(20), make(20), make(36), make(400)
+    items = [(1, first), (2, second), (3, run[:20]), (4, run[15:]), (5, make(22))]
+    rows = {
+        1: own[:6] + first[:12] + own[6:12] + second[:12] + own[12:16],  # 12 and 12 of 40 words
+        2: own[:100] + run + own[100:200],  # two passages that overlap
+        3: own[:60] + first[:10] + own[60:120] + run[14:29],
+        4: own[200:210] + second[:5] + first[5:10] + own[210:300],  # none, unless a cut brings words together
+        5: own[:50] + first[:5] + run[:20] + first[5:10] + own[50:100],  # a false passage after a cut
+        6: [],
+    }
+    want = {}
+    for key, text in rows.items():
+        n, hit, _ = plain(" ".join(text), [(i, " ".join(w)) for i, w in items], 10)
+        if len(hit) <= 0.5 * n:
+            want[key] = [w for i, w in enumerate(text) if i not in hit]
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    df = documents(spark, [(k, " ".join(w)) for k, w in rows.items()])
+    assert 1 not in want and set(want[2]) == set(own[:200])
+    assert {r.doc_id: r["text"].split() for r in D.remove_contamination(df, benchmark).collect()} == want
+
+
 def test_odd_rows(spark):
     benchmark = spark.createDataFrame([(1, "word " * 12), (2, "日本語テキスト")], "item_id long, text string")
     got = D.find_windows(odd(spark), benchmark).select("*", D.hit_words("spans").alias("n_hit")).collect()
