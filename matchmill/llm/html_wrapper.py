@@ -36,7 +36,7 @@ HOSTS_HELD = 2_000
 PARTS = 32
 #: Elements nested deeper than this belong to the one at this depth.
 DEEPEST = 150
-#: Pages on which a text has to be the same to count as the host's, where no element tells.
+#: Different pages on which a text has to be the same to count as the host's, where no element tells.
 SAME_ON = 5
 
 # Elements of HTML by what they are.
@@ -172,8 +172,8 @@ def _text_hash(text: str) -> str:
     return hashlib.blake2b(text.encode(), digest_size=8).hexdigest()
 
 
-def wrapper_of(element: Element) -> dict:
-    """The wrapper of one element: pages, chars, chars in links, text (a hash, or null: a slot), group, children.
+def wrapper_of(element: Element, page: int = 0) -> dict:
+    """The wrapper of one element of the page with the hash ``page``: pages (the SAME_ON least hashes), chars, chars in links, text (a hash, or null: a slot), group, children.
 
     A child is [least, most, wrapper]; least is 0 or 1, most 1 or 2 (which means any number).
     """
@@ -193,22 +193,22 @@ def wrapper_of(element: Element) -> dict:
             elif x is not None and x.inline and not x.aside:
                 visit(x, in_link or x.tag == "a")
             elif x is not None:
-                own = wrapper_of(x)
+                own = wrapper_of(x, page)
                 if x.key not in children:
                     children[x.key] = [1, 1, own]
                 else:
                     group |= x.key != last
-                    children[x.key] = [1, 2, align(children[x.key][2], own, same_page=True)]
+                    children[x.key] = [1, 2, align(children[x.key][2], own)]
                 last = x.key
 
     visit(element, False)
     text = " ".join(texts)
     chars = len(text) + sum(c[2]["chars"] for c in children.values())
     links += sum(c[2]["links"] for c in children.values())
-    return {"pages": 1, "chars": chars, "links": links, "text": _text_hash(text), "group": group, "children": children, "aside": element.aside}
+    return {"pages": [page], "chars": chars, "links": links, "text": _text_hash(text), "group": group, "children": children, "aside": element.aside}
 
 
-def align(a: dict, b: dict, same_page: bool = False) -> dict:
+def align(a: dict, b: dict) -> dict:
     """The wrapper of what either wrapper fits."""
     children: dict[str, list] = {}
     left, right = list(a["children"]), list(b["children"])
@@ -226,14 +226,14 @@ def align(a: dict, b: dict, same_page: bool = False) -> dict:
                 at += 1
             at += not group
             (least_a, most_a, own_a), (least_b, most_b, own_b) = a["children"][key], b["children"][key]
-            children[key] = [min(least_a, least_b), max(most_a, most_b), align(own_a, own_b, same_page)]
+            children[key] = [min(least_a, least_b), max(most_a, most_b), align(own_a, own_b)]
         else:
             children[key] = [0, *a["children"][key][1:]]
     for key in right:
         if key not in children:
             children[key] = [0, *b["children"][key][1:]]
     return {
-        "pages": max(a["pages"], b["pages"]) if same_page else a["pages"] + b["pages"],
+        "pages": a["pages"] if a["pages"] == b["pages"] else sorted({*a["pages"], *b["pages"]})[:SAME_ON],
         "chars": a["chars"] + b["chars"],
         "links": a["links"] + b["links"],
         "text": a["text"] if a["text"] == b["text"] else None,
@@ -258,10 +258,21 @@ def expression(wrapper: dict, key: str = "") -> str:
     return f"<{key}>{body}</>" if key else body
 
 
+def _page_hash(html: str | None) -> int:
+    import hashlib
+
+    return int.from_bytes(hashlib.blake2b((html or "").encode("utf-8", "surrogatepass"), digest_size=6).digest())
+
+
 def _always_same(wrapper: dict) -> bool:
     return wrapper["text"] is not None and all(_always_same(c[2]) for c in wrapper["children"].values())
 
 
+def _of_the_host(wrapper: dict, parent: dict) -> bool:
+    """Whether an element is the same on pages that differ beside it; copies of a page count once."""
+    return len(wrapper["pages"]) >= SAME_ON and wrapper["chars"] > 0 and _always_same(wrapper) and not _always_same(parent)
+
+
 def rules_of(wrapper: dict) -> dict:
     """What to read by: the path of keys to the region, and the paths below it to leave out."""
     marked: list[tuple[int, int, list[str]]] = []
@@ -286,11 +297,11 @@ def rules_of(wrapper: dict) -> dict:
         own = w["chars"] - w["links"]
         return own - sum(c[2]["chars"] - c[2]["links"] for c in w["children"].values() if c[2]["aside"])
 
-    def boilerplate(w: dict) -> bool:
-        return w["aside"] or w["chars"] > 0 and w["links"] >= 0.7 * w["chars"] or w["pages"] >= SAME_ON and w["chars"] > 0 and _always_same(w)
+    def boilerplate(w: dict, parent: dict) -> bool:
+        return w["aside"] or w["chars"] > 0 and w["links"] >= 0.7 * w["chars"] or _of_the_host(w, parent)
 
     while True:
-        heavy = [(weight(own), key, own) for key, (_, most, own) in node["children"].items() if not boilerplate(own)]
+        heavy = [(weight(own), key, own) for key, (_, most, own) in node["children"].items() if not boilerplate(own, node)]
         best = max(heavy, key=lambda x: x[0], default=None)
         if best is None or best[0] < 0.6 * max(1, weight(node)) or not best[2]["children"]:
             break
@@ -300,7 +311,7 @@ def rules_of(wrapper: dict) -> dict:
 
     def leave_out(w: dict, below: list[str]) -> None:
         for key, (_, _, own) in w["children"].items():
-            if not own["aside"] and boilerplate(own):
+            if not own["aside"] and boilerplate(own, w):
                 drop.append([*below, key])
             elif not own["aside"]:
                 leave_out(own, [*below, key])
@@ -366,10 +377,10 @@ def _rules(text: str) -> dict:
 
 
 def main_text(html: str | None, rules: str | None) -> str:
-    """The main text of a page by its host's rules; by its own wrapper where they name a region it lacks."""
+    """The main text of a page by its host's rules; by its own wrapper where they name a region it lacks or leave nothing."""
     page = parse(html)
     blocks = _read(page, _rules(rules)) if rules else None
-    if blocks is None:
+    if not blocks:
         blocks = _read(page, rules_of(wrapper_of(page)))
     return "\n\n".join(blocks or [])
 
@@ -383,7 +394,8 @@ def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for host, html in zip(batch.column("host"), batch.column("html"), strict=True):
-            own, key = wrapper_of(parse(html.as_py())), host.as_py()
+            text = html.as_py()
+            own, key = wrapper_of(parse(text), _page_hash(text)), host.as_py()
             held[key] = align(held[key], own) if key in held else own
             if len(held) > HOSTS_HELD:
                 yield out()

@@ -75,6 +75,21 @@ def test_pages_without_an_article_element(spark):
     assert H.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("copies", [4, 5, 50])
+def test_copies_of_a_page_are_one_page(spark, copies):
+    """A page's own text is not the host's, however many copies there are; a heading only copies have stays."""
+    only = "<html><body><div class=content>The whole text of a page</div></body></html>"
+    mixed = [f"<html><body><div class=content><p>Page {i} has its own words.</p></div><div class=end>All rights</div></body></html>" for i in range(6)]
+    copied = "<html><body><div class=content><h2>A heading of its own</h2><p>The words of a copied page.</p></div><div class=end>All rights</div></body></html>"
+    rows = [(i, "https://one.example/a", only) for i in range(copies)]
+    rows += [(100 + i, "https://two.example/a", h) for i, h in enumerate([*mixed, *[copied] * copies])]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in H.extract(df).collect()}
+    assert all(got[i] == "The whole text of a page" for i in range(copies))
+    assert all(got[100 + i] == f"Page {i} has its own words." for i in range(6))
+    assert all(got[106 + i] == "A heading of its own\n\nThe words of a copied page." for i in range(copies))
+
+
 def test_deep_and_long_pages():
     assert "x" in H.main_text("<article>" + "<div>" * 5000 + "x" + "</div>" * 5000 + "</article>", None)
     long = "word " * 200_000
