@@ -9,8 +9,9 @@ number of pages, and wrappers of parts of a host can be aligned like pages: ever
 own pages, and only the results are shuffled.
 
 A page is then read by its host's wrapper: the region with the article, without what is a menu,
-header, footer, sidebar, notice, advert, form, script or reader comment by its element, class or
-role, or (where no element names the article) by being mostly links or the same on all pages.
+header, footer, sidebar, advert, form, script or reader comment by its element, class or role, or
+(where no element names the article, or the name alone does not tell) by being mostly links or the
+same on all pages.
 """
 
 from __future__ import annotations
@@ -63,6 +64,14 @@ ASIDE_WORDS = frozenset(
     comment comments reply replies respond disqus discussion share sharing social related recommended recommendations
     widget widgets login search skip copyright""".split()
 )
+#: Of these, words that the names of a text's own parts have too: the host's wrapper has to confirm them.
+UNSURE_WORDS = frozenset(
+    """search share sharing social login menu menus notice notices alert alerts related recommended recommendations discussion
+    banner copyright skip reply replies respond subscribe subscription signup promotion sponsor sponsors overlay navigation""".split()
+)
+#: Elements that names make asides, and words after which a name says no more.
+CONTAINERS = frozenset("div section ul ol dl table center figure span".split())
+TAILS = frozenset("box wrapper wrap container inner outer block area section list item items bar form links buttons posts left right top bottom".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar".split())
 
 _TOKEN = re.compile(
@@ -83,6 +92,7 @@ class Element:
     tag: str
     key: str
     aside: bool
+    unsure: bool
     content: list = field(default_factory=list)
 
     @property
@@ -92,7 +102,7 @@ class Element:
 
 def _element(tag: str, attributes: str, above: list[Element]) -> Element:
     words: list[str] = []
-    aside = tag in ASIDE
+    aside, unsure = tag in ASIDE, False
     inside = any(e.tag in ("article", "main") for e in above)
     if tag == "header":
         aside = not inside
@@ -105,20 +115,26 @@ def _element(tag: str, attributes: str, above: list[Element]) -> Element:
                 for part in value.split():
                     names = [w.lower() for w in _NAME.findall(part)]
                     words += names
-                    if names and names[0] not in ("has", "with", "no", "without"):
-                        aside |= tag not in ("html", "body", "main") and not ASIDE_WORDS.isdisjoint(names)
-                        aside |= "header" in names and not inside and tag not in ("html", "body", "main", "article")
+                    if tag in CONTAINERS and names and names[0] not in ("has", "with", "no", "without"):
+                        while len(names) > 1 and names[-1] in TAILS:
+                            names = names[:-1]
+                        if names[-1] in ASIDE_WORDS:
+                            sure = not (ASIDE_WORDS - UNSURE_WORDS).isdisjoint(names) if names[-1] in UNSURE_WORDS else True
+                            aside, unsure = aside or sure, unsure or not sure
+                        if names[-1] == "header" and not inside:
+                            site = len(names) == 1 or names[0] in ("site", "page", "global", "main", "top")
+                            aside, unsure = aside or site, unsure or not site
             elif name == "role":
                 aside |= value.lower() in ASIDE_ROLES
             else:
                 gone = name == "hidden" or name == "aria-hidden" and value.lower() == "true"
                 aside |= gone or name == "style" and "display:none" in value.replace(" ", "").lower()
-    return Element(tag, ".".join([tag, *words[:4]]), aside)
+    return Element(tag, ".".join([tag, *words[:4]]), aside, unsure and not aside)
 
 
 def parse(html: str | None) -> Element:
     """The tree of a page, however broken: end tags without a start are passed over, open elements closed where their parent ends."""
-    root = Element("", "", False)
+    root = Element("", "", False, False)
     stack = [root]
     at = 0
     for token in _TOKEN.finditer(html or ""):
@@ -205,7 +221,7 @@ def wrapper_of(element: Element, page: int = 0) -> dict:
     text = " ".join(texts)
     chars = len(text) + sum(c[2]["chars"] for c in children.values())
     links += sum(c[2]["links"] for c in children.values())
-    return {"pages": [page], "chars": chars, "links": links, "text": _text_hash(text), "group": group, "children": children, "aside": element.aside}
+    return {"pages": [page], "chars": chars, "links": links, "text": _text_hash(text), "group": group, "children": children, "aside": element.aside, "unsure": element.unsure}
 
 
 def align(a: dict, b: dict) -> dict:
@@ -240,6 +256,7 @@ def align(a: dict, b: dict) -> dict:
         "group": group,
         "children": children,
         "aside": a["aside"] and b["aside"],
+        "unsure": a["unsure"] and b["unsure"],
     }
 
 
@@ -290,8 +307,22 @@ def rules_of(wrapper: dict) -> dict:
 
     find(wrapper, [])
     if marked:
-        return {"region": max(marked, key=lambda m: (m[0], m[1]))[2], "drop": []}
-    node, path = wrapper, []
+        path = max(marked, key=lambda m: (m[0], m[1]))[2]
+        drop: list[list[str]] = []
+
+        def confirm(w: dict, below: list[str]) -> None:
+            for key, (_, _, own) in w["children"].items():
+                if own["unsure"] and (own["chars"] > 0 and own["links"] >= 0.7 * own["chars"] or _of_the_host(own, w)):
+                    drop.append([*below, key])
+                elif not own["aside"]:
+                    confirm(own, [*below, key])
+
+        region = wrapper
+        for key in path:
+            region = region["children"][key][2]
+        confirm(region, [])
+        return {"region": path, "drop": drop}
+    drop, node, path = [], wrapper, []
 
     def weight(w: dict) -> int:
         own = w["chars"] - w["links"]
@@ -307,7 +338,6 @@ def rules_of(wrapper: dict) -> dict:
             break
         path.append(best[1])
         node = best[2]
-    drop: list[list[str]] = []
 
     def leave_out(w: dict, below: list[str]) -> None:
         for key, (_, _, own) in w["children"].items():

@@ -90,6 +90,25 @@ def test_copies_of_a_page_are_one_page(spark, copies):
     assert all(got[106 + i] == "A heading of its own\n\nThe words of a copied page." for i in range(copies))
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<article><h2 id='how-to-search-the-index'>h</h2><p id='share'>x</p></article>", "h\n\nx"),
+        ("<article><section id='discussion'><p>of results</p></section><div class='related-work'>y</div></article>", "of results\n\ny"),
+        ("<article id='how-to-share-files'><p>x</p></article>", "x"),
+        ("<article><p>x</p><div class='share'><a href=1>one</a> <a href=2>two</a></div><div class='ad-container'>buy</div></article>", "x"),
+    ],
+)
+def test_names_of_a_texts_own_parts(html, text):
+    assert H.main_text(html, None) == text
+
+
+def test_the_host_confirms_an_unsure_name(spark):
+    rows = [(i, f"https://a.example/{i}", f"<article><p>Text {i}</p><div class='notice'>Read our terms</div><section id='discussion'>Of {i}</section></article>") for i in range(6)]
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Text {i}\n\nOf {i}" for i in range(6)}
+
+
 def test_deep_and_long_pages():
     assert "x" in H.main_text("<article>" + "<div>" * 5000 + "x" + "</div>" * 5000 + "</article>", None)
     long = "word " * 200_000
