@@ -136,9 +136,10 @@ def parse(html: str | None) -> Element:
     """The tree of a page, however broken: end tags without a start are passed over, open elements closed where their parent ends."""
     root = Element("", "", False, False)
     stack = [root]
-    at = 0
+    passed: list[Element] = []  # open elements below DEEPEST, whose content goes to the last of the stack
+    hidden = at = 0  # asides among them
     for token in _TOKEN.finditer(html or ""):
-        if token.start() > at:
+        if token.start() > at and not hidden:
             stack[-1].content.append(html[at : token.start()])
         at = token.end()
         tag = token["name"]
@@ -146,12 +147,23 @@ def parse(html: str | None) -> Element:
             continue
         tag = tag.lower()
         if token["end"]:
+            depth = next((i for i in range(len(passed) - 1, -1, -1) if passed[i].tag == tag), None)
+            if depth is not None:
+                hidden -= sum(e.aside for e in passed[depth:])
+                del passed[depth:]
+                if tag not in INLINE:
+                    stack[-1].content.append(None)
+                continue
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == tag:
                     del stack[depth:]
+                    passed, hidden = [], 0
                     break
             continue
-        if tag not in INLINE:
+        if tag not in INLINE and passed:
+            if passed[-1].tag == "p" or passed[-1].tag in CLOSES.get(tag, ()):
+                hidden -= passed.pop().aside
+        elif tag not in INLINE:
             closes, scope = CLOSES.get(tag, ()), SCOPES.get(tag, ())
             for depth in range(len(stack) - 1, 0, -1):
                 open_tag = stack[depth].tag
@@ -171,9 +183,12 @@ def parse(html: str | None) -> Element:
             element = _element(tag, token["attributes"], stack)
             stack[-1].content.append(element)
             stack.append(element)
-        elif tag not in INLINE:
-            stack[-1].content.append(None)
-    if html and at < len(html):
+        else:
+            passed.append(_element(tag, token["attributes"], stack))
+            hidden += passed[-1].aside
+            if tag not in INLINE:
+                stack[-1].content.append(None)
+    if html and at < len(html) and not hidden:
         rest = html[at:]
         stack[-1].content.append(rest if not re.match(r"<[a-zA-Z/]", rest) else "")
     return root

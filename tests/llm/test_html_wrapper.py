@@ -109,6 +109,12 @@ def test_the_host_confirms_an_unsure_name(spark):
     assert got == {i: f"Text {i}\n\nOf {i}" for i in range(6)}
 
 
+def test_text_after_a_deep_nest():
+    nest = "<div>" * 200 + "<p>in</p><nav>menu</nav>" + "</div>" * 200
+    html = f"<body><div><article><p>before</p>{nest}<p>after</p></article></div><p>outside</p></body>"
+    assert H.main_text(html, None) == "before\n\nin\n\nafter"
+
+
 def test_deep_and_long_pages():
     assert "x" in H.main_text("<article>" + "<div>" * 5000 + "x" + "</div>" * 5000 + "</article>", None)
     long = "word " * 200_000
