@@ -11,7 +11,7 @@ own pages, and only the results are shuffled.
 A page is then read by its host's wrapper: the region with the article, without what is a menu,
 header, footer, sidebar, advert, form, script or reader comment by its element, class or role, or
 (where no element names the article, or the name alone does not tell) by being mostly links or the
-same on all pages.
+same on all pages. In a marked article, too, what is the same on pages that differ goes, but headings.
 """
 
 from __future__ import annotations
@@ -41,6 +41,7 @@ DEEPEST = 150
 SAME_ON = 5
 
 # Elements of HTML by what they are.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe svg canvas object textarea title".split())
 INLINE = frozenset(
@@ -306,8 +307,8 @@ def _of_the_host(wrapper: dict, parent: dict) -> bool:
 
 
 def rules_of(wrapper: dict) -> dict:
-    """What to read by: the path of keys to the region, and the paths below it to leave out."""
-    marked: list[tuple[int, int, list[str]]] = []
+    """What to read by: the paths of keys to the regions, and the paths below them to leave out."""
+    marked: list[tuple[bool, int, list[str]]] = []
 
     def find(node: dict, path: list[str]) -> None:
         for key, (_, _, own) in node["children"].items():
@@ -322,21 +323,25 @@ def rules_of(wrapper: dict) -> dict:
 
     find(wrapper, [])
     if marked:
-        path = max(marked, key=lambda m: (m[0], m[1]))[2]
         drop: list[list[str]] = []
 
-        def confirm(w: dict, below: list[str]) -> None:
+        def confirm(w: dict, path: list[str]) -> None:
             for key, (_, _, own) in w["children"].items():
-                if own["unsure"] and (own["chars"] > 0 and own["links"] >= 0.7 * own["chars"] or _of_the_host(own, w)):
-                    drop.append([*below, key])
+                # Lists of links and headings are the text's as well; what the host says on all pages is not.
+                linked = own["unsure"] and own["chars"] > 0 and own["links"] >= 0.7 * own["chars"]
+                if linked or _of_the_host(own, w) and key.split(".")[0] not in HEADINGS:
+                    drop.append([*path, key])
                 elif not own["aside"]:
-                    confirm(own, [*below, key])
-
-        region = wrapper
-        for key in path:
-            region = region["children"][key][2]
-        confirm(region, [])
-        return {"region": path, "drop": drop}
+                    confirm(own, [*path, key])
+
+        articles = any(m[0] for m in marked)
+        regions = [path for is_article, _, path in marked if is_article or not articles]
+        for path in regions:
+            region = wrapper
+            for key in path:
+                region = region["children"][key][2]
+            confirm(region, path)
+        return {"regions": regions, "drop": drop}
     drop, node, path = [], wrapper, []
 
     def weight(w: dict) -> int:
@@ -361,8 +366,8 @@ def rules_of(wrapper: dict) -> dict:
             elif not own["aside"]:
                 leave_out(own, [*below, key])
 
-    leave_out(node, [])
-    return {"region": path, "drop": drop}
+    leave_out(node, path)
+    return {"regions": [path], "drop": drop}
 
 
 def _blocks(element: Element, drop: frozenset, path: tuple[str, ...], out: list[str], parts: list[str]) -> None:
@@ -390,26 +395,27 @@ def _blocks(element: Element, drop: frozenset, path: tuple[str, ...], out: list[
                 flush()
 
 
-def _regions(element: Element, path: list[str]) -> Iterator[Element]:
-    if not path:
-        yield element
+def _regions(element: Element, paths: list[list[str]], at: tuple[str, ...] = ()) -> Iterator[tuple[Element, tuple[str, ...]]]:
+    """The regions in page order, none within another, and their paths."""
+    if [] in paths:
+        yield element, at
         return
     for x in element.content:
         if isinstance(x, Element):
             if x.inline and not x.aside:
-                yield from _regions(x, path)
-            elif x.key == path[0] and not x.aside:
-                yield from _regions(x, path[1:])
+                yield from _regions(x, paths, at)
+            elif not x.aside and (below := [p[1:] for p in paths if p[0] == x.key]):
+                yield from _regions(x, below, (*at, x.key))
 
 
 def _read(page: Element, rules: dict) -> list[str] | None:
     drop = frozenset(tuple(p) for p in rules["drop"])
     out: list[str] = []
     found = False
-    for region in _regions(page, rules["region"]):
+    for region, path in _regions(page, rules["regions"]):
         found = True
         parts: list[str] = []
-        _blocks(region, drop, (), out, parts)
+        _blocks(region, drop, path, out, parts)
         text = " ".join("".join(parts).split())
         if text:
             out.append(text)

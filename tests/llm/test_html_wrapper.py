@@ -115,6 +115,15 @@ def test_text_after_a_deep_nest():
     assert H.main_text(html, None) == "before\n\nin\n\nafter"
 
 
+def test_marked_pages_are_read_by_the_wrapper(spark):
+    """What the host says on all pages goes, headings and lists of links stay, and all articles are read."""
+    links = "<ul><li><a href=1>first source</a></li></ul>"
+    html = [f"<main><article class=a><h2>Summary</h2><p>Text {i}</p><div>Subscribe to read more</div>{links.replace('first', str(i))}</article><article class=b>Part two of {i}</article></main>" for i in range(6)]
+    rows = [(i, f"https://a.example/{i}", h) for i, h in enumerate(html)]
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Summary\n\nText {i}\n\n{i} source\n\nPart two of {i}" for i in range(6)}
+
+
 def test_deep_and_long_pages():
     assert "x" in H.main_text("<article>" + "<div>" * 5000 + "x" + "</div>" * 5000 + "</article>", None)
     long = "word " * 200_000
