@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchmill.llm import bpe, decontaminate, edit_embedding, html_wrapper, line_dedup, pii, quality, simhash, toxicity, url_filter
+from matchmill.llm import bpe, decontaminate, edit_embedding, embedding_pq, html_wrapper, lexical_search, line_dedup, pii, quality, simhash, toxicity, url_filter
 from matchmill.llm.shipping import ship_code
 from matchmill.plans.queries.common import Query
 
@@ -112,6 +112,16 @@ def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def _lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "query_id")
+    ranked = lexical_search.rank_documents(table(spark, sf_dir, "documents"), items, k=50)
+    return ranked.withColumnRenamed("query_id", "item_id")
+
+
+def _embedding_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_pq.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 URL_SQL = rf"""
@@ -179,6 +189,47 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_
 FROM doc_words d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN hit_items m ON d.doc_id = m.doc_id
 """
 
+_TERMS_SQL = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SEARCH_SQL = f"""
+WITH doc_terms AS (SELECT row_number() OVER () AS row, doc_id, {_TERMS_SQL} AS terms FROM documents),
+sized AS (SELECT row, doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM doc_terms WHERE len(terms) > 0),
+corpus AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sized),
+item_terms AS (SELECT DISTINCT item_id, unnest({_TERMS_SQL}) AS term FROM benchmark),
+postings AS (
+  SELECT row, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT row, unnest(terms) AS term FROM sized)
+  WHERE term IN (SELECT term FROM item_terms) GROUP BY row, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * max(docs) + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM postings, corpus GROUP BY term),
+normal AS (SELECT row, doc_id, 50 + ((50 * n * docs) // total) AS m FROM sized, corpus),
+scored AS (
+  SELECT item_id, doc_id, row, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM item_terms JOIN postings USING (term) JOIN weights USING (term) JOIN normal USING (row)
+  GROUP BY item_id, doc_id, row),
+placed AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM placed WHERE rank <= 50
+"""
+
+LINK_SQL = """
+WITH RECURSIVE doubles AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+valid AS (
+  SELECT vec_id, v FROM doubles
+  WHERE v IS NOT NULL AND list_bool_and(list_transform(v, x -> x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(v, x -> x <> 0))),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reached(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON r.other = l.a),
+least AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id),
+counted AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, component_id = vec_id AS kept
+FROM least LEFT JOIN counted USING (vec_id)
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": Query(_byte_bpe),
     "op2_url_filter": Query(_url_filter, URL_SQL),
@@ -190,4 +241,6 @@ QUERIES: dict[str, Query] = {
     "op8_edit_fingerprint": Query(_edit_fingerprint),
     "op9_decontaminate": Query(_decontaminate, WINDOW_SQL),
     "op10_quality": Query(_quality),
+    "op12_lexical_search": Query(_lexical_search, SEARCH_SQL),
+    "op13_embedding_pq": Query(_embedding_pq, LINK_SQL),
 }

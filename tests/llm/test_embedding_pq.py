@@ -1,0 +1,133 @@
+"""Near-duplicate embeddings against all pairs, crowded lists, tight groups and odd vectors."""
+
+import math
+
+import numpy as np
+import pytest
+from matchmill.llm import embedding_pq
+from pyspark.sql import functions as F
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def plain(rows, threshold=0.95):
+    """(links, component) of each row by all pairs; a null id names no component."""
+    unit = []
+    for _, v in rows:
+        ok = v is not None and len(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
+        x = np.array(v, np.float32).astype(float) if ok else None
+        unit.append(x / np.sqrt(x @ x) if ok else None)
+    above = list(range(len(rows)))
+
+    def root(i):
+        while above[i] != i:
+            i = above[i]
+        return i
+
+    links = [0] * len(rows)
+    for i, a in enumerate(unit):
+        for j in range(i):
+            if a is not None and unit[j] is not None and len(a) == len(unit[j]) and a @ unit[j] >= threshold:
+                links[i] += 1
+                links[j] += 1
+                above[root(i)] = root(j)
+    names = {}
+    for i, (vec_id, _) in enumerate(rows):
+        if vec_id is not None:
+            names[root(i)] = min(vec_id, names.get(root(i), vec_id))
+    return sorted(((v, links[i], names.get(root(i)), v is not None and names.get(root(i)) == v) for i, (v, _) in enumerate(rows)), key=repr)
+
+
+def got(spark, rows, schema=SCHEMA, clash=True):
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    for name in ("node", "copies", "dim", "list", "k1", "kind", "n", "root") if clash else ():
+        df = df.withColumn(name, F.lit(7))
+    found = embedding_pq.near_duplicates(df)
+    assert found.columns == ["vec_id", "n_links", "component_id", "kept"]
+    return sorted((tuple(r) for r in found.collect()), key=repr)
+
+
+def near(draw, centre, away):
+    noise = draw.standard_normal(len(centre))
+    return (centre + away * noise / np.linalg.norm(noise)).astype(np.float32).tolist()
+
+
+def groups(draw, dim):
+    """Random vectors, chains at the threshold, tight groups, copies and scaled copies."""
+    rows = [draw.standard_normal(dim).astype(np.float32).tolist() for _ in range(300)]
+    for size, away in ((80, 0.06), (40, 0.2), (12, 0.31)):
+        centre = draw.standard_normal(dim)
+        centre /= np.linalg.norm(centre)
+        rows += [near(draw, centre, away) for _ in range(size)]
+    rows += [rows[3]] * 20 + [[3 * x for x in rows[3]], [-x for x in rows[4]]]
+    return [(i * 7 % 1009, v) for i, v in enumerate(rows)]
+
+
+@pytest.mark.parametrize("block, size, lists, batch", [(2048, 128, 1024, 10_000), (7, 20, 1024, 30), (64, 8, 4, 10_000)])
+def test_all_pairs(spark, settings, monkeypatch, block, size, lists, batch):
+    """Equal to all pairs in blocks, in many small lists, in lists of lists."""
+    settings(spark__sql__execution__arrow__maxRecordsPerBatch=str(batch))
+    for name, value in (("BLOCK", block), ("LIST_SIZE", size), ("LISTS", lists)):
+        monkeypatch.setattr(embedding_pq, name, value)
+    rows = groups(np.random.default_rng(block), 24)
+    assert got(spark, rows) == plain(rows)
+
+
+def test_recall_at_the_threshold():
+    """Of pairs at a cosine of 0.95 or little more, one of the two looks into the other's list but for one in a hundred."""
+    draw = np.random.default_rng(5)
+    x = embedding_pq.unit_rows(list(draw.standard_normal((4000, 48))), 48)
+    step = draw.standard_normal(x.shape)
+    step -= (step * x).sum(axis=1)[:, None] * x
+    step /= np.linalg.norm(step, axis=1)[:, None]
+    y = 0.951 * x + math.sqrt(1 - 0.951**2) * step
+    reach = math.sqrt(0.1)
+    quantiser = embedding_pq.fit(x[:2000], len(x), reach)
+    assert len(quantiser.levels[0]) > 20
+    of_x, _, _, row, cell, _ = embedding_pq._probes(x, quantiser, reach)
+    of_y = embedding_pq._probes(y, quantiser, reach)[0]
+    seen = set(zip(row.tolist(), cell.tolist(), strict=True))
+    found = np.mean([(i, c) in seen for i, c in enumerate(of_y.tolist())])
+    assert found > 0.99
+    assert len(row) < 0.5 * len(x) * len(quantiser.levels[0])
+    # What codes tell is never farther off than their known error.
+    own, _, rest, *_ = embedding_pq._probes(x[:50], quantiser, reach)
+    codes, error = embedding_pq.encode(rest, quantiser.codewords)
+    middle = np.stack([quantiser.middle(int(c)) for c in own])
+    for i in range(50):
+        told = embedding_pq.table_distances(x[:50] - middle[i], codes[i : i + 1], quantiser.codewords)[:, 0]
+        true = np.linalg.norm(x[:50] - x[i], axis=1)
+        assert (np.abs(told - true) <= error[i] + 1e-9).all()
+
+
+def test_tight_group_is_not_compared_pair_by_pair(spark, monkeypatch):
+    """A group around a centroid is counted: its rows do not look each other up."""
+    draw = np.random.default_rng(8)
+    centre = draw.standard_normal(32)
+    centre /= np.linalg.norm(centre)
+    rows = [(i, near(draw, centre, 0.05)) for i in range(600)] + [(1000 + i, draw.standard_normal(32).astype(np.float32).tolist()) for i in range(200)]
+    compared = []
+    whole = embedding_pq.table_distances
+    monkeypatch.setattr(embedding_pq, "table_distances", lambda a, b, c: compared.append(len(a) * len(b)) or whole(a, b, c))
+    assert got(spark, rows) == plain(rows)
+    x = embedding_pq.unit_rows([v for _, v in rows], 32)
+    quantiser = embedding_pq.fit(x, len(x), math.sqrt(0.1))
+    own, middle, *_ = embedding_pq._probes(x, quantiser, math.sqrt(0.1))
+    assert len(set(own[:600].tolist())) == 1 and (middle[:600] < math.sqrt(0.1) / 2).all()
+
+
+def test_odd_rows(spark):
+    rows = [
+        (1, [1.0, 2.0, 3.0]), (2, [2.0, 4.0, 6.0]), (2, [2.0, 4.0, 6.0]), (None, [1.0, 2.0, 3.0]), (3, None), (3, []),
+        (4, [0.0, 0.0, 0.0]), (5, [1.0, None, 3.0]), (6, [1.0, float("nan"), 3.0]), (7, [1.0, float("inf"), 3.0]),
+        (8, [1.0, 2.0, 3.0, 0.0]), (9, [-1.0, -2.0, -3.0]), (None, [0.0, 0.0, 5.0, 1.0]), (10, [-0.0, 1.0, 0.0]), (11, [0.0, 1.0, -0.0]),
+        (12, [1e-38, 2e-38, 3e-38]), (13, [1e38, 2e38, 3e38]), (None, None),
+    ]
+    assert got(spark, rows) == plain(rows)
+    assert got(spark, []) == [] and got(spark, [(1, None), (None, None)]) == [(1, 0, 1, True), (None, 0, None, False)]
+
+
+def test_doubles(spark):
+    rows = groups(np.random.default_rng(2), 6)
+    assert [r[0] for r in got(spark, rows, "vec_id long, embedding array<double>")] == [r[0] for r in plain(rows)]
+    assert got(spark, rows, "vec_id long, embedding array<double>") == plain(rows)
