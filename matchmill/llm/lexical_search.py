@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from matchmill.session import cut_lineage
 
@@ -228,23 +229,20 @@ class _Block:
         return total
 
 
-def _best(batches: Iterator[pa.RecordBatch], queries: tuple, weights: np.ndarray, k: int) -> Iterator[tuple[int, list]]:
-    """(query, its best (score, doc_id), each k at most) over all blocks of a task, and the number of visits."""
+def _best(batches: Iterator[pa.RecordBatch], queries: tuple, weights: np.ndarray, k: int, limit: int = HELD) -> Iterator[tuple[int, list]]:
+    """(query, its best (score, doc_id), k at most) over all blocks of a task."""
     terms, starts = queries
     stops = np.append(starts[1:], len(terms))
     best: list[list] = [[] for _ in starts]
     floor = np.zeros(len(starts), np.int64)
-    visits = 0
 
-    def visit(blocks: list[_Block]) -> int:
+    def visit(blocks: list[_Block]) -> None:
         bounds = np.stack([b.bounds(terms, starts) for b in blocks], axis=1)
-        seen = 0
         for query, bound in enumerate(bounds):
             for number in np.argsort(-bound, kind="stable").tolist():
                 # An equal score may still come before by its id.
                 if not bound[number] or bound[number] < floor[query]:
                     break
-                seen += 1
                 block = blocks[number]
                 scores = block.scores(terms[starts[query] : stops[query]])
                 found = np.flatnonzero(scores >= max(1, floor[query]))
@@ -257,18 +255,17 @@ def _best(batches: Iterator[pa.RecordBatch], queries: tuple, weights: np.ndarray
                 best[query] = sorted(best[query], key=_order)[:k]
                 if len(best[query]) == k:
                     floor[query] = best[query][-1][0]
-        return seen
 
     held, size = [], 0
     for batch in batches:
         for row in batch.to_pylist():
             held.append(_Block(row, weights))
             size += len(row["postings"]) * 3 + 40 * len(row["docs"])
-            if size > HELD:
-                visits += visit(held)
+            if size > limit:
+                visit(held)
                 held, size = [], 0
     if held:
-        visits += visit(held)
+        visit(held)
     yield from enumerate(best)
 
 
@@ -284,9 +281,11 @@ def search(index: DataFrame, queries: tuple[np.ndarray, np.ndarray], weights: np
     doc_id = index.schema["docs"].dataType.elementType
     schema = T.StructType([T.StructField("query", T.IntegerType()), T.StructField("doc_id", doc_id), T.StructField("score", T.LongType())])
 
+    batch_type, limit = to_arrow_type(doc_id), HELD
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries, weights = shared.value
-        for query, found in _best(batches, queries, weights, k):
+        for query, found in _best(batches, queries, weights, k, limit):
             if found:
                 arrays = [
                     pa.array([query] * len(found), pa.int32()),
@@ -295,9 +294,6 @@ def search(index: DataFrame, queries: tuple[np.ndarray, np.ndarray], weights: np
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    batch_type = to_arrow_type(doc_id)
     found = index.mapInArrow(run, schema)
     order = [F.col("score").desc(), F.col("doc_id").asc_nulls_last()]
     # First among some of the tasks, so that no task gets the best of all tasks for a query.

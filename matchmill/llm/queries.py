@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchmill.llm import bpe, decontaminate, edit_embedding, embedding_pq, html_wrapper, lexical_search, line_dedup, pii, quality, simhash, toxicity, url_filter
+from matchmill.llm import bpe, decontaminate, edit_embedding, embedding_pq, html_wrapper, lexical_search, line_dedup, pii, prefix_trie, quality, simhash, toxicity, url_filter
 from matchmill.llm.shipping import ship_code
 from matchmill.plans.queries.common import Query
+from matchmill.session import cut_lineage
 
 #: The rules of the URL query; others are asked where none of them fits.
 URL_RULES = [
@@ -112,6 +113,27 @@ def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def _rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns and conv_ids, each conversation beginning with the first turns of that of its hundred."""
+    turns = cut_lineage(prefix_trie.numbered_turns(conversations), "turns")
+    counts = cut_lineage(turns.groupBy("conv_id").agg(F.count("*").alias("n")), "counts")
+    shared = counts.select(
+        "conv_id", (F.crc32(F.col("conv_id").cast("string")) % 6).alias("h"), (F.col("conv_id") - F.col("conv_id") % 100).alias("base")
+    )
+    bases = counts.select(F.col("conv_id").alias("base"), F.col("n").alias("n_base"))
+    shared = shared.join(bases, "base", "left").withColumn("taken", F.least("h", F.coalesce("n_base", F.lit(0))))
+    shared = cut_lineage(shared.select("conv_id", "h", "base", "taken"), "shared")
+    # At most a hundred conversations share a base, and each takes five of its turns at most.
+    heads = turns.where("pos < 5").withColumnRenamed("conv_id", "base").join(shared, "base").where("pos < h")
+    own = turns.join(shared, "conv_id").where("pos >= h").withColumn("pos", F.col("pos") - F.col("h") + F.col("taken"))
+    columns = ["conv_id", "pos", "id", "chars"]
+    return heads.select(columns).union(own.select(columns)), counts.select("conv_id")
+
+
+def _prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(*_rebuilt(table(spark, sf_dir, "conversations")))
+
+
 def _lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "query_id")
     ranked = lexical_search.rank_documents(table(spark, sf_dir, "documents"), items, k=50)
@@ -230,6 +252,45 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, component_id = vec
 FROM least LEFT JOIN counted USING (vec_id)
 """
 
+TRIE_SQL = """
+WITH crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), (c, k) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) r(i))),
+numbered AS (
+  SELECT conv_id, turn_id, chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, turn_id) - 1 AS pos
+  FROM (SELECT conv_id, turn, sha256(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS turn_id,
+               length(coalesce(text, '')) AS chars FROM conversations WHERE conv_id IS NOT NULL)),
+counts AS (
+  SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS base,
+         list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), x -> CAST(ascii(x) AS BIGINT))) AS bytes
+  FROM numbered GROUP BY conv_id),
+hashed AS (
+  SELECT conv_id, n, base, xor(list_reduce(bytes, (c, b) -> xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 6 AS h
+  FROM counts, crc_table),
+shared AS (
+  SELECT c.conv_id, c.h, c.base, least(c.h, coalesce(b.n, 0)) AS taken FROM hashed c LEFT JOIN hashed b ON b.conv_id = c.base),
+rebuilt AS (
+  SELECT s.conv_id, pos + 1 AS depth, turn_id, chars FROM shared s JOIN numbered ON numbered.conv_id = base AND pos < h
+  UNION ALL SELECT s.conv_id, pos - h + taken + 1, turn_id, chars FROM shared s JOIN numbered ON numbered.conv_id = s.conv_id AND pos >= h),
+paths AS (
+  SELECT conv_id, depth, chars, string_agg(turn_id, '') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM counts),
+nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars FROM paths GROUP BY path, depth),
+children AS (SELECT left(path, length(path) - 64) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+told AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (path)),
+sums AS (
+  SELECT p.path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, CAST(sum((n_convs - 1) * t.chars) AS BIGINT) AS saved_tokens
+  FROM told t JOIN paths p ON p.conv_id = t.conv_id AND p.depth <= t.depth GROUP BY p.path),
+lasts AS (SELECT conv_id, arg_max(path, depth) AS path FROM paths GROUP BY conv_id),
+ends AS (SELECT path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM lasts GROUP BY path)
+SELECT t.conv_id, CAST(t.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, t.n_convs, t.n_children, n_leaves, saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM told t JOIN sums USING (path) LEFT JOIN ends USING (path)
+     LEFT JOIN nodes u ON t.depth > 0 AND u.path = left(t.path, length(t.path) - 64)
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": Query(_byte_bpe),
     "op2_url_filter": Query(_url_filter, URL_SQL),
@@ -241,6 +302,7 @@ QUERIES: dict[str, Query] = {
     "op8_edit_fingerprint": Query(_edit_fingerprint),
     "op9_decontaminate": Query(_decontaminate, WINDOW_SQL),
     "op10_quality": Query(_quality),
+    "op11_prefix_trie": Query(_prefix_trie, TRIE_SQL),
     "op12_lexical_search": Query(_lexical_search, SEARCH_SQL),
     "op13_embedding_pq": Query(_embedding_pq, LINK_SQL),
 }
