@@ -15,19 +15,29 @@ from matchmill.operators import joins as J
 MAIN = "t_main"
 
 _DIRECTION = re.compile(r"\s+(asc|desc)$", re.IGNORECASE)
-_EQUALITY = re.compile(r"(?<![<>!=])(?:=|<=>|==)(?![=>])")
+_EQUAL_COLUMNS = re.compile(r"\s*([\w.]+)\s*={1,2}\s*([\w.]+)\s*")
+_AND = re.compile(r"\band\b", re.IGNORECASE)
 _NULLS = re.compile(r"\s+nulls\s+(first|last)$", re.IGNORECASE)
 
 
+@dataclass(frozen=True)
+class Between:
+    """A join condition: a column of the tables before lies between two columns of the joined one, bounds included."""
+
+    value: str
+    low: str
+    high: str
+
+
 @dataclass(frozen=True)
 class Join:
-    """One joined table. ``on`` is a SQL condition, or (left column, right column) pairs.
+    """One joined table. ``on`` is a SQL condition, (left column, right column) pairs, or ``Between``.
 
-    Prefer pairs for a FULL join: it is then composed of parts that can be split on a hot key.
+    A FULL join takes pairs, or a text of equal columns joined by AND, which says the same.
     """
 
     table: DataFrame
-    on: str | Sequence[tuple[str, str]]
+    on: str | Sequence[tuple[str, str]] | Between
     alias: str
     type: str = "INNER"
 
@@ -59,20 +69,46 @@ def _join(df: DataFrame, names: list[str], packed: bool, join: Join) -> tuple[Da
     spark_kinds = {"INNER": "inner", "LEFT": "left", "RIGHT": "right", "FULL": "full_outer"}
     if kind not in spark_kinds:
         raise ValueError(f"join type {join.type!r} is not one of {sorted(spark_kinds)}")
+    if isinstance(join.on, Between):
+        if not packed:
+            df, packed = df.select(*[F.expr(f"struct({n}.*)").alias(n) for n in names]), True
+        right, on = J.pack(join.table, join.alias), join.on
+        value, low, high = F.col(_dotted(on.value)), F.col(f"{join.alias}.{on.low}"), F.col(f"{join.alias}.{on.high}")
+        return J.range_join(df, right, value, low, high, spark_kinds[kind]), True
     pairs = None if isinstance(join.on, str) else list(join.on)
-    if kind == "FULL" and pairs:
+    if kind == "FULL" and not pairs:
+        pairs = _equal_columns(join.on, join.alias)
+    if kind == "FULL":
         if not packed:
             df = df.select(*[F.expr(f"struct({n}.*)").alias(n) for n in names])
-        dotted = [(a if "." in a else f"{MAIN}.{a}", b) for a, b in pairs]
+        dotted = [(_dotted(a), b) for a, b in pairs]
         return J.full_join(df, J.pack(join.table, join.alias), join.alias, dotted), True
     if pairs:
-        on = " AND ".join(f"{a if '.' in a else f'{MAIN}.{a}'} = {join.alias}.{b}" for a, b in pairs)
+        on = " AND ".join(f"{_dotted(a)} = {join.alias}.{b}" for a, b in pairs)
     else:
         on = join.on
-        if not _EQUALITY.search(on):
-            raise ValueError(f"a join needs an equality of columns, or it compares all pairs of rows: {on!r}")
     right = J.pack(join.table, join.alias) if packed else join.table.alias(join.alias)
-    return df.join(right, F.expr(on), spark_kinds[kind]), packed
+    joined = df.join(right, F.expr(on), spark_kinds[kind])
+    # What the text says is not enough: an equality with a constant, or of one table's columns, is no key.
+    if J.compares_all(joined) > J.compares_all(df) + J.compares_all(join.table):
+        raise ValueError(f"a join needs an equality of columns of both tables, or Between; this compares all pairs of rows: {on!r}")
+    return joined, packed
+
+
+def _dotted(column: str) -> str:
+    return column if "." in column else f"{MAIN}.{column}"
+
+
+def _equal_columns(on: str, alias: str) -> list[tuple[str, str]]:
+    """The pairs that a text of equal columns names; a column of ``alias`` is on one side of each."""
+    pairs = []
+    for part in _AND.split(on):
+        found = _EQUAL_COLUMNS.fullmatch(part)
+        sides = sorted(found.groups(), key=lambda c: c.startswith(f"{alias}.")) if found else ["", ""]
+        if not sides[1].startswith(f"{alias}.") or sides[0].startswith(f"{alias}."):
+            raise ValueError(f"a FULL join takes equal columns of both tables, joined by AND: {on!r}")
+        pairs.append((sides[0], sides[1].partition(".")[2]))
+    return pairs
 
 
 def extract(

@@ -3,14 +3,14 @@
 Inner, left and right joins are left to Catalyst: AQE broadcasts a side it has measured
 to be small and splits hot partitions. It splits only joins of two plain shuffles, never
 a full outer join, nor the right of a semi or anti join. So the right of those is reduced
-to a written table of distinct keys, and a full join is composed of parts that split.
+to a written table of distinct keys, and a full join is composed of joins that split.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchmill.session import cut_lineage
@@ -48,25 +48,69 @@ def pack(df: DataFrame, name: str) -> DataFrame:
 
 
 def full_join(left: DataFrame, right: DataFrame, right_name: str, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Full outer equi-join of packed frames: matches, then left-only, then right-only rows.
+    """Full outer equi-join of packed frames: a left join, and the right rows whose key the left has not.
 
     ``left`` holds struct columns (see ``pack``), ``right`` the single struct ``right_name``;
-    each pair is a dotted left column and a column of the right struct.
+    each pair is a dotted left column and a column of the right struct. Both joins can be split on a
+    hot key. Each side is read twice and neither is written, but for the distinct keys of the left.
     """
-    # Each side is read three times: once it is written, that is cheap, and all three agree.
-    left, right = cut_lineage(left, "full-left"), cut_lineage(right, "full-right")
     left_names = left.columns
-    left_on = [F.col(a).alias(f"_k{i}") for i, (a, _) in enumerate(pairs)]
-    right_on = [F.col(f"{right_name}.{b}").alias(f"_k{i}") for i, (_, b) in enumerate(pairs)]
     keys = [f"_k{i}" for i in range(len(pairs))]
-    keyed_left = left.select("*", *left_on)
-    keyed_right = right.select("*", *right_on)
-    matched = keyed_left.join(keyed_right, keys, "inner")
-    left_only = anti_join(keyed_left, keyed_right, keys).withColumn(
-        right_name, F.lit(None).cast(right.schema[right_name].dataType)
-    )
+    keyed_left = left.select("*", *[F.col(a).alias(k) for k, (a, _) in zip(keys, pairs, strict=True)])
+    keyed_right = right.select("*", *[F.col(f"{right_name}.{b}").alias(k) for k, (_, b) in zip(keys, pairs, strict=True)])
     right_only = anti_join(keyed_right, keyed_left, keys)
     for name in left_names:
         right_only = right_only.withColumn(name, F.lit(None).cast(left.schema[name].dataType))
     columns = [*left_names, right_name]
-    return matched.select(*columns).unionByName(left_only.select(*columns)).unionByName(right_only.select(*columns))
+    return keyed_left.join(keyed_right, keys, "left").select(*columns).unionByName(right_only.select(*columns))
+
+
+def compares_all(df: DataFrame) -> int:
+    """How many joins of ``df`` compare all pairs of rows, by the plan that Spark has made for it."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    return plan.count("BroadcastNestedLoopJoin") + plan.count("CartesianProduct")
+
+
+def range_join(left: DataFrame, right: DataFrame, value: Column, low: Column, high: Column, kind: str = "inner") -> DataFrame:
+    """Rows of ``left`` and ``right`` with ``low <= value <= high`` (``low`` and ``high`` of ``right``), inner or left.
+
+    Values and bounds are numbers or timestamps (cast dates to those). An interval is put into the one or two bins
+    of the width that is the next power of two to its length; a value looks into its bin of each
+    width that some interval has. So the join has keys, an interval makes two rows at most however long
+    it is, and a value as many as there are widths: a few, and never more than the 128 that are told apart.
+    A crowded bin is split as any hot key of an inner or left join is.
+    """
+    if kind not in ("inner", "left"):
+        raise ValueError("a range join is inner or left")
+    start, stop = _number(low), _number(high)
+    width = F.greatest(F.ceil(F.log2(F.greatest(stop - start, F.lit(2.0**-63)))), F.lit(-63)).cast("int")
+    bins = F.array_distinct(F.array(_bin(start, F.col("_width")), _bin(stop, F.col("_width"))))
+    ranged = right.where(start <= stop).withColumn("_width", F.least(width, F.lit(64)))
+    # One row for each width, of which there are 128 at most.
+    widths = sorted(r[0] for r in ranged.select("_width").distinct().collect())
+    placed = ranged.withColumn("_bin", F.explode(bins)).withColumnRenamed("_width", "_of_width").withColumnRenamed("_bin", "_of_bin")
+    within = (value >= low) & (value <= high)
+    same = (F.col("_width") == F.col("_of_width")) & (F.col("_bin") == F.col("_of_bin")) & within
+    scratch = ["_width", "_bin", "_of_width", "_of_bin"]
+    wanted = F.array(*[F.lit(w) for w in widths]).cast("array<int>")
+    if kind == "inner":
+        looking = left.withColumn("_width", F.explode(wanted)).withColumn("_bin", _bin(_number(value), F.col("_width")))
+        return looking.join(placed, same, "inner").drop(*scratch)
+    # A row is told apart to say which have found nothing: numbered once and written, so that numbers stay.
+    numbered = cut_lineage(left.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("_left")), "range-left")
+    unpacked = numbered.select("_row", "_left.*")
+    looking = unpacked.withColumn("_width", F.explode(wanted)).withColumn("_bin", _bin(_number(value), F.col("_width")))
+    found = looking.join(placed, same, "inner").drop(*scratch)
+    alone = anti_join(unpacked, found.select("_row"), ["_row"])
+    return found.unionByName(alone, allowMissingColumns=True).drop("_row")
+
+
+def _number(column: Column) -> Column:
+    """Numbers as doubles, timestamps as their seconds."""
+    return column.cast("double")
+
+
+def _bin(value: Column, width: Column) -> Column:
+    """The number of the bin as a double, which holds it whatever its size."""
+    scaled = value / F.pow(F.lit(2.0), width)
+    return scaled - F.pmod(scaled, F.lit(1.0))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +12,7 @@ from matchmill import schemas
 from matchmill.functions import scalars as S
 from matchmill.operators.joins import key_table
 from matchmill.operators.transforms import one_per_key
+from matchmill.session import cut_lineage
 
 # The ranked queue looked up per player, and the id-page limits.
 RANKED_QUEUE = "RANKED_SOLO_5x5"
@@ -180,3 +183,44 @@ def _leaves(schema: T.StructType, path: str = "", name: str = "") -> list[Column
 def normalise(df: DataFrame) -> DataFrame:
     """Nested objects as flat ``a.b`` columns; lists and maps are kept."""
     return df.select(*_leaves(df.schema))
+
+
+_QUOTED = re.compile(r"(`(?:[^`]|``)*`)")
+
+
+def _declared(told: str) -> str:
+    """The type that ``schema_of_variant_agg`` tells, as a declaration; what is only ever null is a text."""
+    parts = _QUOTED.split(told)
+    parts[::2] = [p.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING") for p in parts[::2]]
+    return "".join(parts)
+
+
+def _texts_and_leaves(column: Column, kind: T.DataType, name: str = "") -> list[Column]:
+    """The leaves below objects; what has no single type, and an object without keys, as JSON text."""
+    if isinstance(kind, T.StructType) and kind.fields:
+        return [c for f in kind.fields for c in _texts_and_leaves(column.getField(f.name), f.dataType, f"{name}.{f.name}" if name else f.name)]
+    told = kind.simpleString()
+    return [(F.to_json(column) if "variant" in told or told == "struct<>" else column).alias(name)]
+
+
+def flatten_json(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Documents of any shape as flat ``a.b`` columns, for whatever keys arrive in any of them.
+
+    The texts are parsed once, into a written VARIANT column; the union of their shapes is one aggregate
+    over it. Lists are kept as arrays. Where documents disagree on a value's type, or it is an object in
+    some and none in others, the column holds JSON text. Keys that a document has not are NULL; so is
+    everything of a text that is no JSON, or no object. Other columns are kept. The columns are as many
+    as there are different paths: documents keyed by ids are better read as maps (see ``items``).
+    """
+    rest = [c for c in df.columns if c != payload]
+    parsed = cut_lineage(df.withColumn(payload, F.try_parse_json(payload)), "variants")
+    told = parsed.agg(F.schema_of_variant_agg(payload)).first()[0]
+    if not told or not told.startswith("OBJECT<"):
+        # No object at all, or some documents are none: what is one tells.
+        parsed = parsed.withColumn(payload, F.when(F.schema_of_variant(payload).startswith("OBJECT<"), F.col(payload)))
+        told = parsed.agg(F.schema_of_variant_agg(payload)).first()[0]
+        if not told or not told.startswith("OBJECT<"):
+            return parsed.select(*rest)
+    kind = T.StructType.fromDDL(f"told {_declared(told)}")["told"].dataType
+    read = parsed.withColumn(payload, F.try_variant_get(payload, "$", _declared(told)))
+    return read.select(*[F.col(f"`{c}`") for c in rest], *_texts_and_leaves(F.col(f"`{payload}`"), kind))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from matchmill.functions import dates
 from matchmill.functions import scalars as S
 from matchmill.operators import guards, joins, nested, transforms
-from matchmill.operators.extract import Join, extract
+from matchmill.operators.extract import Between, Join, extract
 from matchmill.plans import star_views as V
 from matchmill.plans.queries import common as C
 from matchmill.plans.queries.common import Query
@@ -183,6 +183,17 @@ def _star_and_extras(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _between(kind: str):
+    """Customers and the suppliers whose balance is theirs or a little less; no width, or one of many, for each supplier."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ranges = V.table(spark, sf_dir, "supplier").withColumn("top", F.expr("s_acctbal + s_nationkey * s_nationkey / 4.0D"))
+        join = Join(ranges, Between("c_acctbal", "s_acctbal", "top"), "s", kind)
+        return extract(V.table(spark, sf_dir, "customer"), ["t_main.c_custkey", "s.s_suppkey"], joins=[join])
+
+    return run
+
+
 JOINS: dict[str, Query] = {
     "join_inner": Query(
         _join(
@@ -214,6 +225,23 @@ JOINS: dict[str, Query] = {
         " (SELECT * FROM orders WHERE o_orderstatus = 'P') o"
         " FULL JOIN (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING') c ON o_custkey = c_custkey",
     ),
+    "join_full_text": Query(
+        lambda spark, sf_dir: extract(
+            _pending(spark, sf_dir),
+            ["t_main.o_orderkey", "t_main.o_totalprice", "c.c_custkey", "c.c_name"],
+            joins=[Join(V.table(spark, sf_dir, "customer"), "c.c_custkey = t_main.o_custkey", "c", "FULL")],
+        ),
+        "SELECT o_orderkey, o_totalprice, c_custkey, c_name FROM (SELECT * FROM orders WHERE o_orderstatus = 'P') o"
+        " FULL JOIN customer c ON o_custkey = c_custkey",
+    ),
+    **{
+        f"join_between{'' if kind == 'INNER' else '_left'}": Query(
+            _between(kind),
+            f"SELECT c_custkey, s_suppkey FROM customer {kind} JOIN supplier"
+            " ON c_acctbal BETWEEN s_acctbal AND s_acctbal + s_nationkey * s_nationkey / 4.0",
+        )
+        for kind in ("INNER", "LEFT")
+    },
     "join_theta": Query(
         _join(
             "INNER",

@@ -17,6 +17,7 @@ from matchmill.operators import merge
 from matchmill.plans import star_views as V
 from matchmill.plans.queries.common import Query
 from matchmill.session import scratch_path
+from matchmill.sources.versions import VersionedWarehouse
 from matchmill.sources.warehouse import Warehouse
 from matchmill.streaming import drain
 
@@ -107,8 +108,8 @@ def _insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- writes ----
 
 
-def scratch_warehouse(spark: SparkSession, name: str, buckets: int = 8) -> Warehouse:
-    return Warehouse(spark, scratch_path(spark, name), f"mm_{uuid.uuid4().hex[:12]}_", buckets)
+def scratch_warehouse(spark: SparkSession, name: str, buckets: int = 8, kind: type[Warehouse] = Warehouse) -> Warehouse:
+    return kind(spark, scratch_path(spark, name), f"mm_{uuid.uuid4().hex[:12]}_", buckets)
 
 
 _ORDER_TYPES = {"o_orderkey": "BIGINT", "o_custkey": "BIGINT", "o_orderstatus": "STRING", "o_totalprice": "DOUBLE"}
@@ -127,18 +128,23 @@ def _append_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.read("fact_datas.orders")
 
 
-def _replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    warehouse = scratch_warehouse(spark, "replace")
-    warehouse.insert(V.table(spark, sf_dir, "customer"), "raw_datas.rows", "fail")
-    warehouse.insert(V.table(spark, sf_dir, "supplier"), "raw_datas.rows", "replace", "job", NOW)
-    return warehouse.read("raw_datas.rows")
+def _replace_table(kind: type[Warehouse] = Warehouse):
+    """Other rows and columns in a table's place."""
 
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        warehouse = scratch_warehouse(spark, "replace", kind=kind)
+        warehouse.insert(V.table(spark, sf_dir, "customer"), "raw_datas.rows", "fail")
+        warehouse.insert(V.table(spark, sf_dir, "supplier"), "raw_datas.rows", "replace", "job", NOW)
+        return warehouse.read("raw_datas.rows")
+
+    return run
 
-def _merged_table(bucket_key: str | None):
+
+def _merged_table(bucket_key: str | None, kind: type[Warehouse] = Warehouse):
     """The same upsert on a stored table, by partition or whole."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        warehouse = scratch_warehouse(spark, "merge")
+        warehouse = scratch_warehouse(spark, "merge", kind=kind)
         warehouse.create_table("fact_datas.orders", _ORDER_TYPES, ["o_orderkey"], bucket_key=bucket_key)
         warehouse.insert(first_load(spark, sf_dir), "fact_datas.orders")
         warehouse.insert(second_load(spark, sf_dir), "raw_datas.orders", "replace")
@@ -160,14 +166,17 @@ def _merged_table(bucket_key: str | None):
     return run
 
 
-def _updated_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    warehouse = scratch_warehouse(spark, "update")
-    warehouse.create_table("fact_datas.orders", _ORDER_TYPES, ["o_orderkey"], bucket_key="o_orderkey")
-    warehouse.insert(first_load(spark, sf_dir), "fact_datas.orders")
-    warehouse.update("fact_datas.orders", {"o_totalprice": 0.0}, {"o_orderstatus": "P", "o_custkey": 7})
-    late = V.table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").selectExpr("l_orderkey AS o_orderkey")
-    warehouse.update_in("fact_datas.orders", {"o_orderstatus": "R"}, "o_orderkey", late)
-    return warehouse.read("fact_datas.orders")
+def _updated_table(kind: type[Warehouse] = Warehouse):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        warehouse = scratch_warehouse(spark, "update", kind=kind)
+        warehouse.create_table("fact_datas.orders", _ORDER_TYPES, ["o_orderkey"], bucket_key="o_orderkey")
+        warehouse.insert(first_load(spark, sf_dir), "fact_datas.orders")
+        warehouse.update("fact_datas.orders", {"o_totalprice": 0.0}, {"o_orderstatus": "P", "o_custkey": 7})
+        late = V.table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").selectExpr("l_orderkey AS o_orderkey")
+        warehouse.update_in("fact_datas.orders", {"o_orderstatus": "R"}, "o_orderkey", late)
+        return warehouse.read("fact_datas.orders")
+
+    return run
 
 
 def _stream_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,7 +264,7 @@ QUERIES: dict[str, Query] = {
         ),
     ),
     "replace_table": Query(
-        _replace_table,
+        _replace_table(),
         "SELECT *, 'job' AS tech_dag_id, '2026-01-02 04:04:05' AS tech_execution_date FROM supplier",
     ),
     "merged_table": Query(
@@ -267,7 +276,7 @@ QUERIES: dict[str, Query] = {
         _sql(f"{_UPDATED} UNION ALL {_INSERTED.format(status='s.o_orderstatus', price='s.o_totalprice')}"),
     ),
     "updated_table": Query(
-        _updated_table,
+        _updated_table(),
         f"WITH {_FIRST} SELECT o_orderkey, o_custkey,"
         " CASE WHEN o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R') THEN 'R' ELSE o_orderstatus END"
         " AS o_orderstatus, CASE WHEN o_orderstatus = 'P' AND o_custkey = 7 THEN 0.0 ELSE o_totalprice END AS o_totalprice"
@@ -280,3 +289,12 @@ QUERIES: dict[str, Query] = {
         " FROM orders WHERE o_orderstatus IN ('F', 'P')",
     ),
 }
+
+#: The same changes on tables that change by one statement.
+for _name, _make in {
+    "replace_table": _replace_table(VersionedWarehouse),
+    "merged_table": _merged_table(None, VersionedWarehouse),
+    "merged_partitions": _merged_table("o_orderkey", VersionedWarehouse),
+    "updated_table": _updated_table(VersionedWarehouse),
+}.items():
+    QUERIES[f"versioned_{_name}"] = Query(_make, QUERIES[_name].sql)

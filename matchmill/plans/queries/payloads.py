@@ -173,6 +173,17 @@ def _normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.withColumn("tags", F.array_join("tags", ","))
 
 
+def _unknown_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose keys depend on the order's status, flattened without a schema."""
+    document = """concat('{"id":', o_orderkey, ',"order":{"status":"', o_orderstatus, '"',
+        IF(o_orderstatus = 'F', concat(',"the priority":"', o_orderpriority, '"'), ''), '}',
+        IF(o_orderstatus = 'P', concat(',"customer":', o_custkey), ''),
+        CASE o_orderstatus WHEN 'F' THEN ',"mixed":1' WHEN 'O' THEN ',"mixed":"t"' ELSE '' END,
+        ',"tags":["', o_orderstatus, '","x"],"more":{"a":{"b":', o_orderkey % 9, '}}}') AS payload"""
+    flat = nested.flatten_json(V.table(spark, sf_dir, "orders").selectExpr(document))
+    return flat.withColumn("tags", F.array_join("tags", ","))
+
+
 QUERIES: dict[str, Query] = {
     "match_header": Query(
         lambda spark, sf_dir: nested.match_header(parsed_matches(spark, sf_dir)),
@@ -252,4 +263,12 @@ QUERIES: dict[str, Query] = {
         f"""SELECT event_id AS id, event_type AS "event.type", {C.rounded_sql("value")} AS "event.value",
            CAST(json_extract(props, '$.k') AS BIGINT) AS "event.props.k", concat(event_type, ',seen') AS tags FROM events""",
     ),
+    "json_unknown_shape": Query(
+        _unknown_shape,
+        """SELECT o_orderkey AS id, o_orderstatus AS "order.status",
+           CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS "order.the priority",
+           CASE WHEN o_orderstatus = 'P' THEN o_custkey END AS customer,
+           CASE o_orderstatus WHEN 'F' THEN '1' WHEN 'O' THEN '"t"' END AS mixed, concat(o_orderstatus, ',x') AS tags,
+           o_orderkey % 9 AS "more.a.b" FROM orders""",
+    ),
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from matchmill.operators.ranking import numbered_in_groups
 from matchmill.plans import star_views as V
 from matchmill.plans import workloads as W
+from matchmill.functions.keyed import keyed_normal, keyed_uniform, keyed_whole
 from matchmill.plans.queries.common import Query, rounded, rounded_sql
 
 MATH_COLUMNS = 20
@@ -88,6 +89,17 @@ def _memory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in done.items()])
 
 
+def _keyed_random(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Random columns of every order, the same however the orders are partitioned; XXH64 is beyond the SQL they are checked with."""
+    return V.table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        keyed_uniform(42, "o_orderkey").alias("data1"),
+        (keyed_uniform(43, "o_orderkey") * 1000).alias("data2"),
+        keyed_normal(42, "o_orderkey").alias("normal"),
+        keyed_whole(42, 1, 6, "o_orderkey").alias("whole"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "memory_workload": Query(
         _memory,
@@ -116,6 +128,7 @@ QUERIES: dict[str, Query] = {
         "SELECT o_orderkey, o_totalprice, join_id FROM orders JOIN"
         " (SELECT DISTINCT o_orderkey AS join_id FROM orders ORDER BY 1 LIMIT 1000) ON o_orderkey = join_id",
     ),
+    "keyed_random": Query(_keyed_random),
     "hash_and_rand": Query(
         _random,
         "SELECT o_orderkey AS id, concat('row_', CAST(o_orderkey AS VARCHAR)) AS text_col, true AS hashed,"

@@ -16,13 +16,12 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchmill.functions import dates
 from matchmill.operators import guards, merge
-from matchmill.operators.joins import semi_join
 from matchmill.session import cut_lineage
 from matchmill.sources.warehouse import BUCKET, ROWS, Warehouse, _bucket, _counted, _few_files, _same_columns, _within_lengths
 
@@ -129,11 +128,10 @@ class VersionedWarehouse(Warehouse):
         return {"table_name": name, "schema": schema, "columns": dict(columns)}
 
     def rows_of(self, table: str, keys: DataFrame) -> DataFrame:
-        """The rows whose bucket key is among ``keys`` (a written table of that column), from their partitions only."""
+        """The rows whose bucket key is among ``keys``, a written table of that column: of their partitions only."""
         key, n = self._buckets_of(table)
-        if key is None:
-            return semi_join(self.read(table), keys, keys.columns)
-        return semi_join(self._of_buckets(table, self._touched(keys, key, n)).drop(BUCKET), keys, [key])
+        stored = self._of_buckets(table, self._touched(keys, key, n) if key else None).drop(BUCKET)
+        return stored.join(keys, [key] if key else keys.columns, "left_semi")
 
     def _whole_rows(self, df: DataFrame, table: str) -> DataFrame:
         """``df`` in the table's columns and types: defaults for absent columns, lengths checked, the partition told."""
@@ -196,8 +194,6 @@ class VersionedWarehouse(Warehouse):
     def _rewrite(self, table: str, changed: DataFrame, flag: str, touched: list[int] | None) -> int:
         if touched == []:
             return 0
-        from pyspark.sql import Observation
-
         seen = Observation()
         counted = _within_lengths(changed, self._declared(table)).observe(seen, F.count_if(F.col(flag)).alias(ROWS)).drop(flag)
         self._change(table, counted, touched)

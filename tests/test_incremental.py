@@ -95,7 +95,7 @@ def test_only_the_partitions_of_the_changed_matches_are_read(spark, tmp_path, mo
     run = new_run(spark, tmp_path, "plan")
     load(run, spark, range(1, 80))
     follow(run, spark, range(1, 9))
-    incremental.refresh(run)
+    incremental.fold(run.warehouse)
     load(run, spark, [200])
     ids = spark.createDataFrame([("M200",)], "match_id string")
     key, n = run.warehouse._buckets_of(schemas.FACT_STATS.name)
