@@ -36,6 +36,9 @@ BLOCK = 512
 #: Pairs compared at a time.
 PAIRS = 1 << 20
 
+#: Keys that a task makes, about: what it holds until its shuffle files are written.
+KEY_ROWS = 1 << 21
+
 
 @dataclass(frozen=True)
 class Index:
@@ -72,13 +75,24 @@ def _samples(bits: int, size: int, rounds: int) -> tuple[tuple[int, ...], ...]:
     return tuple(found)
 
 
-#: For a similarity of 0.8: sets that share 80 % of their shingles have a cosine of 0.89, so 15 %
-#: of the bits differ: 155 of 1024, with a deviation of 11.5. 576 samples of 28 bits are keys; if
-#: bits are independent, pairs at a similarity of 0.8 share one in 99 of 100 cases, more similar
-#: ones in more. Four deviations to either side the distance decides alone. Keys of 28 bits bring
-#: few documents together by chance: with n documents, n * n / 2**19 or so. Over many more than
-#: 2**28 documents take wider samples.
-SIMILAR_1024 = Index(words=16, segments=(), max_distance=201, samples=_samples(1024, 28, 16), sure_distance=109, similarity=0.8)
+def similar_index(rows: int = 0) -> Index:
+    """For a similarity of 0.8 among so many fingerprints.
+
+    Sets that share 80 % of their shingles have a cosine of 0.89, so 15 % of the bits differ: 155 of
+    1024, with a deviation of 11.5. 576 samples of 28 bits are keys; if bits are independent, pairs at
+    a similarity of 0.8 share one in 99 of 100 cases, more similar ones in more. Four deviations to
+    either side the distance decides alone. Keys of b bits bring n documents together by chance
+    n * n / 2**(b - 9) times; b is as large as keeps this in proportion to n, and there are as many
+    more samples as it takes to share one as often.
+    """
+    size = min(40, max(28, int(rows).bit_length() + 1))
+    wanted = 576 * 0.85 ** (28 - size)
+    rounds = -(-int(wanted) // (1024 // size))
+    return Index(words=16, segments=(), max_distance=201, samples=_samples(1024, size, rounds), sure_distance=109, similarity=0.8)
+
+
+#: The index of up to 2**27 fingerprints; more take a wider one by themselves.
+SIMILAR_1024 = similar_index()
 
 
 def shingle_hashes(words: list[bytes], size: int, start: int, stop: int) -> np.ndarray:
@@ -290,7 +304,10 @@ def links(classes: DataFrame, index: Index) -> DataFrame:
     links under the same key do not connect, some more than once.
     """
     names = index.columns
-    by_key = _keys(classes, index).repartition("key").sortWithinPartitions("key", F.col("code").bitwiseAND(1))
+    # Each class makes many keys, so a task has few classes.
+    each = len(index.samples) + sum(2 + bits * radius for _, bits, radius in index.segments)
+    spread = classes.select("node", *names).repartition(max(1, -(-classes.count() * each // KEY_ROWS)))
+    by_key = _keys(spread, index).repartition("key").sortWithinPartitions("key", F.col("code").bitwiseAND(1))
     # Narrow rows are shuffled first: few keys bring two classes together, and only those need fingerprints.
     met = cut_lineage(by_key.mapInArrow(partial(_met, alone=1 if index.samples else 2), "key long, code long"), "met")
     met = met.select("key", (F.col("code").bitwiseAND(1) == 1).alias("lookup"), F.shiftright("code", 1).alias("node"))
@@ -393,6 +410,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, index: Index = SIMILAR_1024)
     classes = prints.groupBy(*names).agg(F.min(one).alias("least"))
     # Numbered once and written, so that the numbers stay.
     classes = cut_lineage(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    if index is SIMILAR_1024:
+        index = similar_index(classes.count())
     roots = _roots(classes, docs, size, index)
     rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = cut_lineage(rooted.groupBy("root").agg(F.min("least").alias("first")), "firsts")
