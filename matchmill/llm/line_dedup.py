@@ -78,6 +78,23 @@ def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     return docs.select("doc_id", text_hash(F.col("text")).alias("version"), "text").mapInArrow(run, schema)
 
 
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Equal neighbours once: the lines of a repeated row say nothing new, and no range parts them."""
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [np.array(batch.column(c).to_pylist(), object) for c in ("h1", "h2", "doc_id", "version", "pos")]
+        again = np.ones(batch.num_rows, bool)
+        for column in columns:
+            again[1:] &= (column[1:] == column[:-1]).astype(bool)
+        again[0] = last == tuple(c[0] for c in columns)
+        last = tuple(c[-1] for c in columns)
+        left = batch.filter(pa.array(~again)) if again.any() else batch
+        if left.num_rows:
+            yield left
+
+
 def _stream(batches: Iterator[pa.RecordBatch], min_docs: int, keep_first: bool) -> Iterator[pa.RecordBatch]:
     """Decide the lines of one sorted partition, but for what may go on in its neighbours.
 
@@ -160,7 +177,7 @@ def dropped_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_
     order = ["h1", "h2", "doc_id", "version", "pos"]
     lines = lines.repartitionByRange(*order).sortWithinPartitions(*order)
     schema = T.StructType([*lines.schema.fields, T.StructField("state", T.ByteType())])
-    told = lines.mapInArrow(lambda batches: _stream(batches, min_docs, keep_first), schema)
+    told = lines.mapInArrow(lambda batches: _stream(_distinct(batches), min_docs, keep_first), schema)
     told = cut_lineage(told, "lines")
     unsettled = told.where(F.col("state") != DROPPED)
     # A few rows for each partition: per group at most two ends with fewer than min_docs documents.

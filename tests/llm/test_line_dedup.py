@@ -61,6 +61,17 @@ def test_batches_within_a_partition(spark, settings):
         assert {(r.doc_id, r["text"]): r.kept_text for r in kept(documents(spark, rows), 10, 1, keep_first)} == plain(rows, 10, 1, keep_first)
 
 
+def test_a_row_repeated_often_is_held_once(spark):
+    """A row many times over in a group of few documents; what the stream holds does not grow with it."""
+    rows = [(1, "often\nown")] * 30_000 + [(2, "often\nother"), (2, "often\nother"), (3, "often")]
+    for least in (3, 4):
+        got = kept(documents(spark, rows, clash=False), least, 1, False)
+        assert len(got) == len(rows)
+        assert {(r.doc_id, r["text"]): r.kept_text for r in got} == plain(rows, least, 1, False)
+    told = line_dedup.dropped_lines(documents(spark, rows, clash=False), 3, 1, False)
+    assert sorted((r.doc_id, r.pos) for r in told.collect()) == [(1, 0), (2, 0), (3, 0)]
+
+
 def test_odd_rows(spark):
     got = kept(odd(spark), 1, 3, False)
     want = plain(ODD_DOCUMENTS, 1, 3, False)
