@@ -172,11 +172,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, sample_rows: i
 
     Null labels and ids are left out; of several labels of one document the largest counts.
     The sample is sent to the documents: its size is bounded by the parameter, ids and labels only.
+    A repeated id counts once, with one of its texts, so the parameter bounds the rows too.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("doc_id is not null and label is not null")
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("label").alias("label"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label")
+    return rows.agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("doc_id", "text", "label")
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, **options) -> Forest:
@@ -219,5 +221,5 @@ def score_documents(docs: DataFrame, forest: Forest, cut: float = 0.3) -> DataFr
 
 
 def keep_good(docs: DataFrame, forest: Forest, cut: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` that score at least ``cut``, as they are."""
+    """The rows of ``docs`` that score at least ``cut``, as they are; a null text is scored as an empty one."""
     return docs.where(scorer(docs.sparkSession, forest)("text") >= cut)
