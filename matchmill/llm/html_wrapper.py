@@ -4,14 +4,15 @@ A wrapper is a union-free regular expression over a host's pages, kept as a tree
 occurs once, optionally or repeatedly; a text is the same on all pages or a slot. Pages are aligned
 with the wrapper one after the other. What one of both lacks becomes optional, what comes again
 next to its like a repetition, what comes again elsewhere a repeated group of optionals, and texts
-that differ become slots. As a level names each element once, a wrapper does not grow with the
-number of pages, and wrappers of parts of a host can be aligned like pages: every task folds its
-own pages, and only the results are shuffled.
+that differ become slots. A level names each element once, by its tag and classes, and no more than
+LEVEL of them: beyond that, those of a tag are one repetition. A wrapper has at most ELEMENTS elements,
+however many pages there are. Wrappers of parts of a host can be aligned like pages: every task folds
+its own pages, and only the results are shuffled.
 
 A page is then read by its host's wrapper: the region with the article, without what is a menu,
-header, footer, sidebar, advert, form, script or reader comment by its element, class or role, or
-(where no element names the article, or the name alone does not tell) by being mostly links or the
-same on all pages. In a marked article, too, what is the same on pages that differ goes, but headings.
+header, footer, sidebar, advert, form, script or reader comment by its element, class or role. Where
+such a name does not tell for sure, the wrapper has to confirm it: by being mostly links or the same on
+all pages. Only where no element names the article does the wrapper alone decide what is the host's.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ HOSTS_HELD = 2_000
 PARTS = 32
 #: Elements nested deeper than this belong to the one at this depth.
 DEEPEST = 150
+#: Different elements that a level names, and elements of a wrapper.
+LEVEL, ELEMENTS = 64, 1_500
 #: Different pages on which a text has to be the same to count as the host's, where no element tells.
 SAME_ON = 5
 
@@ -47,6 +50,7 @@ RAW = frozenset("script style noscript template iframe svg canvas object textare
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split()
 )
+PHRASES = INLINE | {"button", "label"}
 CLOSES = {
     "li": {"li"},
     "dt": {"dt", "dd"},
@@ -68,11 +72,15 @@ ASIDE_WORDS = frozenset(
 #: Of these, words that the names of a text's own parts have too: the host's wrapper has to confirm them.
 UNSURE_WORDS = frozenset(
     """search share sharing social login menu menus notice notices alert alerts related recommended recommendations discussion
-    banner copyright skip reply replies respond subscribe subscription signup promotion sponsor sponsors overlay navigation""".split()
+    banner copyright skip reply replies respond subscribe subscription signup promotion sponsor sponsors overlay navigation widget widgets""".split()
 )
 #: Elements that names make asides, and words after which a name says no more.
 CONTAINERS = frozenset("div section ul ol dl table center figure span".split())
 TAILS = frozenset("box wrapper wrap container inner outer block area section list item items bar form links buttons posts left right top bottom".split())
+#: Words that name something in this many words are a title's rather than a part's: ``history-of-the-ad``.
+TITLE_WORDS = 4
+#: Within these, a button or a label is a word of the sentence.
+SENTENCES = HEADINGS | frozenset("p li dt dd td th blockquote figcaption caption pre".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar".split())
 
 _TOKEN = re.compile(
@@ -98,13 +106,15 @@ class Element:
 
     @property
     def inline(self) -> bool:
-        return self.tag in INLINE
+        return self.tag in INLINE or self.tag in PHRASES and not self.aside
 
 
 def _element(tag: str, attributes: str, above: list[Element]) -> Element:
     words: list[str] = []
     aside, unsure = tag in ASIDE, False
     inside = any(e.tag in ("article", "main") for e in above)
+    if tag in PHRASES - INLINE and any(e.tag in SENTENCES for e in above):
+        aside = False
     if tag == "header":
         aside = not inside
     if tag == "article" and any(e.tag == "article" for e in above):
@@ -115,12 +125,14 @@ def _element(tag: str, attributes: str, above: list[Element]) -> Element:
             if name in ("class", "id"):
                 for part in value.split():
                     names = [w.lower() for w in _NAME.findall(part)]
-                    words += names
+                    if name == "class":  # an id is one element's own
+                        words += names
+                    title = len(names) >= TITLE_WORDS
                     if tag in CONTAINERS and names and names[0] not in ("has", "with", "no", "without"):
                         while len(names) > 1 and names[-1] in TAILS:
                             names = names[:-1]
                         if names[-1] in ASIDE_WORDS:
-                            sure = not (ASIDE_WORDS - UNSURE_WORDS).isdisjoint(names) if names[-1] in UNSURE_WORDS else True
+                            sure = not (ASIDE_WORDS - UNSURE_WORDS).isdisjoint(names) if names[-1] in UNSURE_WORDS else not title
                             aside, unsure = aside or sure, unsure or not sure
                         if names[-1] == "header" and not inside:
                             site = len(names) == 1 or names[0] in ("site", "page", "global", "main", "top")
@@ -130,7 +142,29 @@ def _element(tag: str, attributes: str, above: list[Element]) -> Element:
             else:
                 gone = name == "hidden" or name == "aria-hidden" and value.lower() == "true"
                 aside |= gone or name == "style" and "display:none" in value.replace(" ", "").lower()
-    return Element(tag, ".".join([tag, *words[:4]]), aside, unsure and not aside)
+    return Element(tag, ".".join([tag, *words]), aside, unsure and not aside)
+
+
+def _weigh_forms(root: Element) -> None:
+    """A form round the page or its article is no form to leave out: one with an article, or, outside of any, half of the text."""
+    forms: list[tuple[Element, int, bool]] = []
+
+    def weigh(node: Element, inside: bool) -> tuple[int, bool]:
+        chars, article = 0, node.tag in ("article", "main", "h1")
+        inside = inside or node.tag in ("article", "main")
+        for x in node.content:
+            if isinstance(x, str):
+                chars += len(x) - x.count(" ")
+            elif x is not None:
+                own, marked = weigh(x, inside)
+                chars, article = chars + own * (x.tag not in ("select", "option", "button", "label")), article or marked
+        if node.tag == "form":
+            forms.append((node, 0 if inside else chars, article))
+        return chars, article
+
+    total, _ = weigh(root, False)
+    for form, chars, article in forms:
+        form.aside = form.aside and not article and 2 * chars <= total
 
 
 def parse(html: str | None) -> Element:
@@ -161,10 +195,10 @@ def parse(html: str | None) -> Element:
                     passed, hidden = [], 0
                     break
             continue
-        if tag not in INLINE and passed:
+        if tag not in PHRASES and passed:
             if passed[-1].tag == "p" or passed[-1].tag in CLOSES.get(tag, ()):
                 hidden -= passed.pop().aside
-        elif tag not in INLINE:
+        elif tag not in PHRASES:
             closes, scope = CLOSES.get(tag, ()), SCOPES.get(tag, ())
             for depth in range(len(stack) - 1, 0, -1):
                 open_tag = stack[depth].tag
@@ -192,6 +226,8 @@ def parse(html: str | None) -> Element:
     if html and at < len(html) and not hidden:
         rest = html[at:]
         stack[-1].content.append(rest if not re.match(r"<[a-zA-Z/]", rest) else "")
+    if re.search(r"<form\b", html or "", re.IGNORECASE):
+        _weigh_forms(root)
     return root
 
 
@@ -209,6 +245,10 @@ def wrapper_of(element: Element, page: int = 0) -> dict:
 
     A child is [least, most, wrapper]; least is 0 or 1, most 1 or 2 (which means any number).
     """
+    return _within(_wrapper_of(element, page))
+
+
+def _wrapper_of(element: Element, page: int) -> dict:
     texts: list[str] = []
     links = 0
     children: dict[str, list] = {}
@@ -225,12 +265,12 @@ def wrapper_of(element: Element, page: int = 0) -> dict:
             elif x is not None and x.inline and not x.aside:
                 visit(x, in_link or x.tag == "a")
             elif x is not None:
-                own = wrapper_of(x, page)
+                own = _wrapper_of(x, page)
                 if x.key not in children:
                     children[x.key] = [1, 1, own]
                 else:
                     group |= x.key != last
-                    children[x.key] = [1, 2, align(children[x.key][2], own)]
+                    children[x.key] = [1, 2, _align(children[x.key][2], own)]
                 last = x.key
 
     visit(element, False)
@@ -241,7 +281,45 @@ def wrapper_of(element: Element, page: int = 0) -> dict:
 
 
 def align(a: dict, b: dict) -> dict:
-    """The wrapper of what either wrapper fits."""
+    """The wrapper of what either wrapper fits, within its bounds."""
+    return _within(_align(a, b))
+
+
+def _size(wrapper: dict) -> int:
+    return 1 + sum(_size(c[2]) for c in wrapper["children"].values())
+
+
+def _within(wrapper: dict) -> dict:
+    """A wrapper of no more than LEVEL names on a level and ELEMENTS in all."""
+    most = LEVEL
+    wrapper = _folded_level(wrapper, most)
+    while _size(wrapper) > ELEMENTS and most > 1:
+        most //= 4
+        wrapper = _folded_level(wrapper, most)
+    return wrapper
+
+
+def _folded_level(wrapper: dict, most: int) -> dict:
+    """The same with the elements of a tag as one repetition (``tag.*``) where a level has more than ``most`` names.
+
+    Asides and what counts stay apart; if there are too many tags as well, all are one.
+    """
+    children = wrapper["children"]
+    group = wrapper["group"]
+    for rule in (lambda key: key.split(".")[0] + ".*", lambda key: "*.*"):
+        if len(children) <= most:
+            break
+        folded: dict[str, list] = {}
+        for key, (_, _, own) in children.items():
+            name = rule(key) if not own["aside"] else rule(key) + "aside"
+            if own["aside"]:
+                own = {**own, "children": {}}
+            folded[name] = [0, 2, _align(folded[name][2], own) if name in folded else own]
+        children, group = folded, True
+    return {**wrapper, "group": group, "children": {k: [a, b, _folded_level(own, most)] for k, (a, b, own) in children.items()}}
+
+
+def _align(a: dict, b: dict) -> dict:
     children: dict[str, list] = {}
     left, right = list(a["children"]), list(b["children"])
     group = a["group"] or b["group"]
@@ -258,7 +336,7 @@ def align(a: dict, b: dict) -> dict:
                 at += 1
             at += not group
             (least_a, most_a, own_a), (least_b, most_b, own_b) = a["children"][key], b["children"][key]
-            children[key] = [min(least_a, least_b), max(most_a, most_b), align(own_a, own_b)]
+            children[key] = [min(least_a, least_b), max(most_a, most_b), _align(own_a, own_b)]
         else:
             children[key] = [0, *a["children"][key][1:]]
     for key in right:
@@ -315,6 +393,8 @@ def rules_of(wrapper: dict) -> dict:
             if own["aside"]:
                 continue
             tag = key.split(".")[0]
+            if tag == "*":
+                tag = ""
             if tag in ("article", "main"):
                 marked.append((tag == "article", own["chars"], [*path, key]))
                 if tag == "article":
@@ -327,9 +407,10 @@ def rules_of(wrapper: dict) -> dict:
 
         def confirm(w: dict, path: list[str]) -> None:
             for key, (_, _, own) in w["children"].items():
-                # Lists of links and headings are the text's as well; what the host says on all pages is not.
-                linked = own["unsure"] and own["chars"] > 0 and own["links"] >= 0.7 * own["chars"]
-                if linked or _of_the_host(own, w) and key.split(".")[0] not in HEADINGS:
+                # What a marked article says on all pages, and its lists of links, are its text all the same,
+                # unless a name makes them something else.
+                linked = own["chars"] > 0 and own["links"] >= 0.7 * own["chars"]
+                if own["unsure"] and (linked or _of_the_host(own, w)) and not key.endswith("*"):
                     drop.append([*path, key])
                 elif not own["aside"]:
                     confirm(own, [*path, key])
@@ -361,7 +442,7 @@ def rules_of(wrapper: dict) -> dict:
 
     def leave_out(w: dict, below: list[str]) -> None:
         for key, (_, _, own) in w["children"].items():
-            if not own["aside"] and boilerplate(own, w):
+            if not own["aside"] and boilerplate(own, w) and not key.endswith("*"):
                 drop.append([*below, key])
             elif not own["aside"]:
                 leave_out(own, [*below, key])
@@ -395,6 +476,14 @@ def _blocks(element: Element, drop: frozenset, path: tuple[str, ...], out: list[
                 flush()
 
 
+def _below(paths: list[list[str]], element: Element) -> list[list[str]]:
+    """What is left of the paths that lead through an element, by its own name or else by one that several were folded to."""
+    for name in (element.key, f"{element.tag}.*", "*.*"):
+        if found := [p[1:] for p in paths if p[0] == name]:
+            return found
+    return []
+
+
 def _regions(element: Element, paths: list[list[str]], at: tuple[str, ...] = ()) -> Iterator[tuple[Element, tuple[str, ...]]]:
     """The regions in page order, none within another, and their paths."""
     if [] in paths:
@@ -404,7 +493,7 @@ def _regions(element: Element, paths: list[list[str]], at: tuple[str, ...] = ())
         if isinstance(x, Element):
             if x.inline and not x.aside:
                 yield from _regions(x, paths, at)
-            elif not x.aside and (below := [p[1:] for p in paths if p[0] == x.key]):
+            elif not x.aside and (below := _below(paths, x)):
                 yield from _regions(x, below, (*at, x.key))
 
 

@@ -109,6 +109,73 @@ def test_the_host_confirms_an_unsure_name(spark):
     assert got == {i: f"Text {i}\n\nOf {i}" for i in range(6)}
 
 
+@pytest.mark.parametrize("pages", [4, 5, 12])
+def test_what_articles_share_stays(spark, pages):
+    """A step or a quotation that is the same in all articles of a host, however many they are."""
+    html = "<body><nav>menu</nav><article><h1>Recipe {i}</h1><div class=step>Preheat the oven to 200 degrees.</div><blockquote>Eat well.</blockquote><p>Bake {i}.</p></article></body>"
+    rows = [(i, f"https://a.example/{i}", html.format(i=i)) for i in range(pages)]
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Recipe {i}\n\nPreheat the oven to 200 degrees.\n\nEat well.\n\nBake {i}." for i in range(pages)}
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<body><form id='aspnetForm'><input><article><p>x</p><form>search<input></form></article></form></body>", "x"),
+        ("<body><form id='aspnetForm'><div class=text><p>The whole text of the page is in here.</p></div></form><div>end</div></body>", "The whole text of the page is in here."),
+        ("<article><div class='content-widget'><p>x</p></div><section id='history-of-the-ad'><p>y</p></section></article>", "x\n\ny"),
+        ("<article><p>Press <button>Save</button> and <label>wait</label>.</p><button>Share</button><form><label>Mail</label></form></article>", "Press Save and wait."),
+        ("<article><div class='one two three four five'>a</div><div class='one two three four six'>b</div></article>", "a\n\nb"),
+    ],
+)
+def test_forms_widgets_and_words(html, text):
+    assert H.main_text(html, None) == text
+
+
+def test_wrappers_are_bounded():
+    """Names that each page has for itself: ids tell nothing, classes of their own are folded, and pages are read all the same."""
+    import json
+    import time
+
+    def site(i, name):
+        parts = "".join(f"<h2 {name}='about-{i}-{j}x{i}'>h {i} {j}</h2><div {name}='k{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + j)}'><p>t {i} {j}</p></div>" for j in range(6))
+        return f"<body><div class='u{chr(97 + i % 26)}{chr(97 + i // 26)}'><nav>menu</nav><article {name}='how-to-{chr(97 + i % 26)}-share'>{parts}</article></div></body>"
+
+    for name in ("id", "class"):
+        found, sizes, took = None, [], []
+        for i in range(400):
+            start = time.thread_time()
+            own = H.wrapper_of(H.parse(site(i, name)), i)
+            found = H.align(found, own) if found else own
+            took.append(time.thread_time() - start)
+            sizes.append(len(json.dumps(found)))
+        assert H._size(found) <= H.ELEMENTS and max(sizes) < 250 * H.ELEMENTS and max(sizes[200:]) < 1.3 * max(sizes[:200])
+        assert sum(took[300:]) < 3 * sum(took[100:200]) + 1
+        rules = json.dumps(H.rules_of(found))
+        assert len(rules) < 50_000
+        for i in (0, 7, 399, 600):
+            want = "\n\n".join(f"h {i} {j}\n\nt {i} {j}" for j in range(6))
+            assert H.main_text(site(i, name), rules) == want
+
+
+@pytest.mark.parametrize("held, parts", [(1, 1), (2, 32), (2_000, 3)])
+def test_how_much_is_held_changes_nothing(monkeypatch, held, parts):
+    """Hosts passed on early and aligned later give the wrappers of one fold."""
+    import pyarrow as pa
+
+    pages = [(f"h{i % 5}", page(f"a{i}", *["b"] * (i % 3), nav=i % 4)) for i in range(40)]
+    batch = lambda rows: pa.RecordBatch.from_pylist([{"host": h, "html": t} for h, t in rows])
+    whole = {r["host"]: r["wrapper"] for b in H._folded(iter([batch(pages)])) for r in b.to_pylist()}
+    monkeypatch.setattr(H, "HOSTS_HELD", held)
+    rows = [r for b in H._folded(batch(pages[i : i + 7]) for i in range(0, 40, 7)) for r in b.to_pylist()]
+    cut = [sorted(rows[k::parts], key=lambda r: (r["host"], r["wrapper"])) for k in range(parts)]
+    some = [r for c in cut if c for b in H._merged(iter([pa.RecordBatch.from_pylist(c)])) for r in b.to_pylist()]
+    merged = {r["host"]: r["wrapper"] for b in H._merged(iter([pa.RecordBatch.from_pylist(sorted(some, key=lambda r: (r["host"], r["wrapper"])))])) for r in b.to_pylist()}
+    import json
+
+    assert {h: H.rules_of(json.loads(w)) for h, w in merged.items()} == {h: H.rules_of(json.loads(w)) for h, w in whole.items()}
+
+
 def test_text_after_a_deep_nest():
     nest = "<div>" * 200 + "<p>in</p><nav>menu</nav>" + "</div>" * 200
     html = f"<body><div><article><p>before</p>{nest}<p>after</p></article></div><p>outside</p></body>"
@@ -116,12 +183,12 @@ def test_text_after_a_deep_nest():
 
 
 def test_marked_pages_are_read_by_the_wrapper(spark):
-    """What the host says on all pages goes, headings and lists of links stay, and all articles are read."""
+    """All articles are read, whole: what they say on all pages and lists of links too; an unsure name is confirmed."""
     links = "<ul><li><a href=1>first source</a></li></ul>"
-    html = [f"<main><article class=a><h2>Summary</h2><p>Text {i}</p><div>Subscribe to read more</div>{links.replace('first', str(i))}</article><article class=b>Part two of {i}</article></main>" for i in range(6)]
+    html = [f"<main><article class=a><h2>Summary</h2><p>Text {i}</p><div>Subscribe to read more</div><div class=notice>The same notice</div>{links.replace('first', str(i))}</article><article class=b>Part two of {i}</article></main>" for i in range(6)]
     rows = [(i, f"https://a.example/{i}", h) for i, h in enumerate(html)]
     got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
-    assert got == {i: f"Summary\n\nText {i}\n\n{i} source\n\nPart two of {i}" for i in range(6)}
+    assert got == {i: f"Summary\n\nText {i}\n\nSubscribe to read more\n\n{i} source\n\nPart two of {i}" for i in range(6)}
 
 
 def test_deep_and_long_pages():
