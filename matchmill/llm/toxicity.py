@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from matchmill.session import cut_lineage
 
 #: Labelled rows that the chain is fitted on (those with the smallest hash of their id) and words in its vocabulary per category.
-SAMPLE_ROWS, VOCABULARY = 20_000, 2_048
+SAMPLE_ROWS, VOCABULARY = 20_000, 512
 
 FOLDS = 3
 
@@ -67,6 +67,11 @@ class Sparse:
         kept[rows] = True
         return Sparse(self.words[kept[self._row]], self.counts[kept], self.width)
 
+    def only(self, kept: np.ndarray) -> Sparse:
+        """The rows without the words that are not ``kept``."""
+        stays = kept[self.words]
+        return Sparse(self.words[stays], np.bincount(self._row[stays], minlength=len(self.counts)), self.width)
+
 
 def fit_linear(rows: Sparse, dense: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 150, rate: float = 0.1) -> Linear:
     """Logistic regression by Adam over all rows; the classes weigh the same.
@@ -123,12 +128,18 @@ def best_cut(p: np.ndarray, y: np.ndarray) -> float:
     return float((p[order[at]] + below) / 2)
 
 
-def fit_chain(categories: Sequence[str], vocabulary: dict[str, int], rows: Sparse, labels: np.ndarray, fold: np.ndarray) -> Chain:
-    """Models in the order of ``categories`` (columns of ``labels``); ``fold`` numbers each row's fold."""
+def fit_chain(
+    categories: Sequence[str], vocabulary: dict[str, int], rows: Sparse, labels: np.ndarray, fold: np.ndarray, words: np.ndarray | None = None
+) -> Chain:
+    """Models in the order of ``categories`` (columns of ``labels``); ``fold`` numbers each row's fold.
+
+    ``words`` marks, in a row for each category, the words that its model may weigh (all, if not given).
+    """
     dense = np.zeros((len(fold), 0))
-    models, cuts = [], []
+    models, cuts, every = [], [], rows
     for at in range(len(categories)):
         y = labels[:, at]
+        rows = every if words is None else every.only(words[at])
         models.append(fit_linear(rows, dense, y))
         unseen = np.zeros(len(fold))
         for k in range(FOLDS):
@@ -144,13 +155,16 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], sample
 
     Rows with a null id or category are left out; of several labels of a document the largest of
     each category counts. The sample's ids and labels, bounded by ``sample_rows``, are sent to the
-    documents. Words found in fewer than five sampled documents are not in the vocabulary.
+    documents. A repeated id counts once, with one of its texts. Each category has a vocabulary of its own,
+    the ``vocabulary`` words that tell it best; words found in fewer than five sampled documents are in none.
     """
     names = list(categories)
     known = labels.select("doc_id", *[F.expr(e).cast("int").alias(f"c{i}") for i, e in enumerate(categories.values())]).dropna()
     known = known.groupBy("doc_id").agg(*[F.max(f"c{i}").alias(f"c{i}") for i in range(len(names))])
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    rows = cut_lineage(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "labelled")
+    # However often an id is repeated, one of its texts is taken: the sample bounds the rows too.
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", *[f"c{i}" for i in range(len(names))])
+    rows = cut_lineage(rows.agg(F.min_by("text", F.xxhash64("text")).alias("text")), "labelled")
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def distinct_words(texts: pa.Array) -> pa.Array:
@@ -160,14 +174,15 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], sample
     totals = rows.agg(F.count("*").alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ones]).first()
     per_word = rows.select(F.explode(distinct_words("text")).alias("word"), *ones).groupBy("word")
     counted = per_word.agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in ones]).where("n >= 5")
-    chosen: set[str] = set()
+    chosen: list[set[str]] = []
     for c in ones:
         with_it, without = F.col(c) + 0.5, F.col("n") - F.col(c) + 0.5
         rest_with, rest_without = totals[c] - F.col(c) + 0.5, totals["n"] - totals[c] - (F.col("n") - F.col(c)) + 0.5
         odds = F.log(with_it) + F.log(rest_without) - F.log(without) - F.log(rest_with)
         certainty = F.abs(odds) / F.sqrt(1 / with_it + 1 / without + 1 / rest_with + 1 / rest_without)
-        chosen |= {r.word for r in counted.orderBy(certainty.desc(), "word").limit(vocabulary).select("word").collect()}
-    numbers = {w: i for i, w in enumerate(sorted(chosen))}
+        chosen.append({r.word for r in counted.orderBy(certainty.desc(), "word").limit(vocabulary).select("word").collect()})
+    numbers = {w: i for i, w in enumerate(sorted(set().union(*chosen)))}
+    own = np.array([[w in of_one for w in numbers] for of_one in chosen], bool).reshape(len(ones), len(numbers))
     shared = docs.sparkSession.sparkContext.broadcast(numbers)
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
@@ -181,7 +196,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], sample
         np.array([w for r in found for w in r.words], np.int64), np.array([len(r.words) for r in found], np.int64), len(numbers)
     )
     y = np.array([[r[c] for c in ones] for r in found], float).reshape(len(found), len(ones))
-    return fit_chain(names, numbers, sparse, y, np.array([r.fold for r in found], np.int64))
+    return fit_chain(names, numbers, sparse, y, np.array([r.fold for r in found], np.int64), own)
 
 
 def score(docs: DataFrame, chain: Chain) -> DataFrame:
