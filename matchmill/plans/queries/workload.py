@@ -90,14 +90,60 @@ def _memory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _keyed_random(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Random columns of every order, the same however the orders are partitioned; XXH64 is beyond the SQL they are checked with."""
-    return V.table(spark, sf_dir, "orders").select(
+    """Random columns of every order, the same however the orders are partitioned."""
+    return rounded(V.table(spark, sf_dir, "orders").repartition(13, "o_custkey").select(
         "o_orderkey",
         keyed_uniform(42, "o_orderkey").alias("data1"),
         (keyed_uniform(43, "o_orderkey") * 1000).alias("data2"),
         keyed_normal(42, "o_orderkey").alias("normal"),
         keyed_whole(42, 1, 6, "o_orderkey").alias("whole"),
-    )
+    ))
+
+
+def _keyed_sql() -> str:
+    """The same by arithmetic: XXH64 of one whole number, from what the hash of seed and stream leaves."""
+    # The primes of XXH64.
+    p1, p2, p3 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
+    p4, p5 = 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
+    whole = 1 << 64
+
+    def turn(v: int, by: int) -> int:
+        return (v << by | v >> 64 - by) % whole
+
+    def xxh64(value: int, seed: int) -> int:
+        h = turn((seed + p5 + 8) % whole ^ turn(value * p2 % whole, 31) * p1 % whole, 27) * p1 + p4
+        h %= whole
+        h = (h ^ h >> 33) * p2 % whole
+        h = (h ^ h >> 29) * p3 % whole
+        return h ^ h >> 32
+
+    def wide(v: str) -> str:
+        return f"CAST({v} AS UHUGEINT)"
+
+    def narrow(v: str) -> str:
+        return f"CAST(({v}) % {wide(str(whole))} AS UBIGINT)"
+
+    def turned(v: str, by: int) -> str:
+        return narrow(f"{wide(v)} * {1 << by} + {wide(v)} // {1 << 64 - by}")
+
+    starts = {n: (xxh64(stream, xxh64(seed, 42)) + p5 + 8) % whole for n, seed, stream in (("a", 42, 0), ("b", 43, 0), ("c", 42, 1_000_001), ("d", 42, 1_000_002))}
+    times = lambda v, prime: narrow(f"{wide(v)} * {wide(str(prime))}")
+    listed = ", ".join(f"('{n}', CAST({s} AS UBIGINT))" for n, s in starts.items())
+    return f"""WITH starts(name, start) AS (VALUES {listed}),
+    s1 AS (SELECT o_orderkey, name, start, {times("o_orderkey", p2)} AS k FROM orders, starts),
+    s2 AS (SELECT o_orderkey, name, start, {turned("k", 31)} AS k FROM s1),
+    s3 AS (SELECT o_orderkey, name, xor(start, {times("k", p1)}) AS h FROM s2),
+    s4 AS (SELECT o_orderkey, name, {turned("h", 27)} AS h FROM s3),
+    s5 AS (SELECT o_orderkey, name, {narrow(f"{wide('h')} * {wide(str(p1))} + {wide(str(p4))}")} AS h FROM s4),
+    s6 AS (SELECT o_orderkey, name, xor(h, h >> 33) AS h FROM s5),
+    s7 AS (SELECT o_orderkey, name, {times("h", p2)} AS h FROM s6),
+    s8 AS (SELECT o_orderkey, name, xor(h, h >> 29) AS h FROM s7),
+    s9 AS (SELECT o_orderkey, name, {times("h", p3)} AS h FROM s8),
+    u AS (SELECT o_orderkey, name, CAST(xor(h, h >> 32) >> 11 AS DOUBLE) / {float(1 << 53)!r} AS u FROM s9),
+    one AS (SELECT o_orderkey, max(u) FILTER (WHERE name = 'a') AS a, max(u) FILTER (WHERE name = 'b') AS b,
+            max(u) FILTER (WHERE name = 'c') AS c, max(u) FILTER (WHERE name = 'd') AS d FROM u GROUP BY o_orderkey)
+    SELECT o_orderkey, {rounded_sql("a")} AS data1, {rounded_sql("b * 1000")} AS data2,
+      {rounded_sql("sqrt(-2 * ln(1 - c)) * cos(2 * pi() * d)")} AS normal, CAST(1 + floor(a * 6) AS BIGINT) AS whole FROM one"""
 
 
 QUERIES: dict[str, Query] = {
@@ -128,7 +174,7 @@ QUERIES: dict[str, Query] = {
         "SELECT o_orderkey, o_totalprice, join_id FROM orders JOIN"
         " (SELECT DISTINCT o_orderkey AS join_id FROM orders ORDER BY 1 LIMIT 1000) ON o_orderkey = join_id",
     ),
-    "keyed_random": Query(_keyed_random),
+    "keyed_random": Query(_keyed_random, _keyed_sql()),
     "hash_and_rand": Query(
         _random,
         "SELECT o_orderkey AS id, concat('row_', CAST(o_orderkey AS VARCHAR)) AS text_col, true AS hashed,"
