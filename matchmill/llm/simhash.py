@@ -188,7 +188,7 @@ def _keys(classes: DataFrame, index: Index) -> DataFrame:
                 for keys, codes in balls:
                     yield pa.RecordBatch.from_arrays([pa.array(keys | (number << 40)), pa.array(codes)], names=["key", "code"])
             if index.samples:
-                columns = np.stack([w.astype(">i8") for w in words], axis=1)
+                columns = np.stack(words, axis=1).astype(">i8")
                 by_bit = np.ascontiguousarray(np.unpackbits(columns.view(np.uint8), axis=1).T)
             for number, sample in enumerate(index.samples, len(index.segments)):
                 keys = np.zeros(len(node), np.int64)
@@ -279,8 +279,8 @@ def _spanning(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return keep
 
 
-def _apart(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which of the pairs (a, b) the links (left, right) do not connect."""
+def _forest(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Of the pairs (a, b), nearest first, those that connect what the links (left, right) and pairs before do not."""
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -291,29 +291,46 @@ def _apart(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray) ->
 
     for x, y in zip(left.tolist(), right.tolist(), strict=True):
         parent[root(x)] = root(y)
-    return np.array([root(x) != root(y) for x, y in zip(a.tolist(), b.tolist(), strict=True)], bool)
-
-
-def links(classes: DataFrame, index: Index) -> DataFrame:
-    """Links (a, b, sure) between nodes of ``classes`` (node and the words of distinct fingerprints).
-
-    The sure ones connect exactly the classes that some chain of pairs, each found through a table
-    and within ``sure_distance`` (or ``max_distance``, if there is none), connects. Not all of them
-    are returned: in a key with many members a lookup gives only what is needed to connect them, so
-    the links grow with the rows. Of the other pairs within ``max_distance`` all come that sure
-    links under the same key do not connect, some more than once.
-    """
-    names = index.columns
+    keep = []
+    order = np.argsort(far, kind="stable")
+    for i, x, y in zip(order.tolist(), a[order].tolist(), b[order].tolist(), strict=True):
+        x, y = root(x), root(y)
+        if x != y:
+            parent[x] = y
+            keep.append(i)
+    return np.array(keep, np.int64)
+
+
+def _first_meeting(differ: np.ndarray, number: np.ndarray, index: Index) -> np.ndarray:
+    """Which pairs, of these differing bits (a row of words each), share no sample before the one they met under."""
+    first = np.ones(len(number), bool)
+    for at, sample in enumerate(index.samples):
+        rows = np.flatnonzero(first & (number > at))
+        for word in range(index.words):
+            mask = sum(1 << 63 - bit % 64 for bit in sample if bit // 64 == word)
+            if mask and len(rows):
+                rows = rows[differ[rows, word] & np.uint64(mask) == 0]
+        first[rows] = False
+    return first
+
+
+def _meetings(classes: DataFrame, index: Index) -> DataFrame:
+    """Rows (key, lookup, node) of the keys under which nodes of ``classes`` meet, a written table."""
     # Each class makes many keys, so a task has few classes.
     each = len(index.samples) + sum(2 + bits * radius for _, bits, radius in index.segments)
-    spread = classes.select("node", *names).repartition(max(1, -(-classes.count() * each // KEY_ROWS)))
+    spread = classes.select("node", *index.columns).repartition(max(1, -(-classes.count() * each // KEY_ROWS)))
     by_key = _keys(spread, index).repartition("key").sortWithinPartitions("key", F.col("code").bitwiseAND(1))
     # Narrow rows are shuffled first: few keys bring two classes together, and only those need fingerprints.
     met = cut_lineage(by_key.mapInArrow(partial(_met, alone=1 if index.samples else 2), "key long, code long"), "met")
-    met = met.select("key", (F.col("code").bitwiseAND(1) == 1).alias("lookup"), F.shiftright("code", 1).alias("node"))
+    return met.select("key", (F.col("code").bitwiseAND(1) == 1).alias("lookup"), F.shiftright("code", 1).alias("node"))
+
+
+def _by_key(met: DataFrame, classes: DataFrame, index: Index) -> DataFrame:
+    """``met`` with the columns of ``classes``, sorted by key and block, members before lookups."""
+    names = classes.drop("node").columns
     crowded = met.where("NOT lookup").groupBy("key").agg(F.count("*").alias("members")).where(F.col("members") > BLOCK)
     crowded = cut_lineage(crowded.select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "crowded")
-    rows = met.join(classes.select("node", *names), "node").join(crowded, "key", "left")
+    rows = met.join(classes, "node").join(crowded, "key", "left")
     blocks = F.coalesce("blocks", F.lit(1))
     own = F.pmod(F.xxhash64(F.lit("block"), "node"), blocks).cast("int")
     everywhere = F.sequence(F.lit(0), blocks - 1)
@@ -321,36 +338,70 @@ def links(classes: DataFrame, index: Index) -> DataFrame:
     rows = rows.select("key", F.explode(seen_in).alias("block"), "lookup", "node", *names, own.alias("own"))
     if index.samples:
         rows = rows.withColumn("lookup", F.col("block") != F.col("own"))
-    rows = rows.drop("own")
-    rows = rows.repartition("key", "block").sortWithinPartitions("key", "block", "lookup")
+    return rows.drop("own").repartition("key", "block").sortWithinPartitions("key", "block", "lookup")
+
+
+def _pairs_by_key(batches: Iterator[pa.RecordBatch], index: Index, more: tuple[str, ...] = ()) -> Iterator[tuple]:
+    """Of rows as ``_by_key`` gives them the columns key, node, the words and ``more``, and pairs of their rows with distances."""
+    kept, names = None, ("key", "block", "lookup", "node", *index.columns, *more)
+    for batch in batches:
+        columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
+        if not batch.num_rows:
+            continue
+        if kept is not None:
+            columns = [np.concatenate(pair) for pair in zip(kept, columns, strict=True)]
+        key, block, lookup, node, *rest = columns
+        new = np.concatenate([[True], (key[1:] != key[:-1]) | (block[1:] != block[:-1])])
+        last = int(np.flatnonzero(new)[-1])
+        held = last + np.flatnonzero(~lookup[last:])
+        kept = [c[held] for c in columns]
+        words = rest[: index.words]
+        for left, right, far in _links_of_batch(np.cumsum(new), lookup, node, words, index):
+            yield key, node, words, rest[index.words :], left, right, far
+
+
+def links(classes: DataFrame, index: Index, met: DataFrame | None = None) -> DataFrame:
+    """Links (a, b, sure) between nodes of ``classes`` (node and the words of distinct fingerprints).
+
+    The sure ones connect exactly the classes that some chain of pairs, each found through a table
+    and within ``sure_distance`` (or ``max_distance``, if there is none), connects. Not all of them
+    are returned: in a key with many members a lookup gives only what is needed to connect them, so
+    the links grow with the rows. So do the others, pairs in doubt: of those within ``max_distance``
+    the nearest come that connect what sure links do not; ``doubtful`` gives the rest.
+    """
+    rows = _by_key(_meetings(classes, index) if met is None else met, classes.select("node", *index.columns), index)
+    limit = index.max_distance if index.sure_distance is None else index.sure_distance
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, limit = None, index.max_distance if index.sure_distance is None else index.sure_distance
-        for batch in batches:
-            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "block", "lookup", "node", *names)]
-            if not batch.num_rows:
-                continue
-            if kept is not None:
-                columns = [np.concatenate(pair) for pair in zip(kept, columns, strict=True)]
-            key, block, lookup, node, *words = columns
-            new = np.concatenate([[True], (key[1:] != key[:-1]) | (block[1:] != block[:-1])])
-            last = int(np.flatnonzero(new)[-1])
-            held = last + np.flatnonzero(~lookup[last:])
-            kept = [c[held] for c in columns]
-            for left, right, far in _links_of_batch(np.cumsum(new), lookup, node, words, index):
-                sure = far <= limit
-                a, b = left[sure], right[sure]
-                if len(a):
-                    keep = _spanning(a, b) if len(a) > len(np.unique(a)) else slice(None)
-                    yield _rows(node[a[keep]], node[b[keep]], True)
-                c, d = node[left[~sure]], node[right[~sure]]
-                if len(c):
-                    apart = _apart(node[a], node[b], c, d)
-                    yield _rows(c[apart], d[apart], False)
+        for _, node, _, _, left, right, far in _pairs_by_key(batches, index):
+            sure = far <= limit
+            a, b = left[sure], right[sure]
+            if len(a):
+                keep = _spanning(a, b) if len(a) > len(np.unique(a)) else slice(None)
+                yield _rows(node[a[keep]], node[b[keep]], True)
+            c, d = node[left[~sure]], node[right[~sure]]
+            if len(c):
+                keep = _forest(node[a], node[b], c, d, far[~sure])
+                yield _rows(c[keep], d[keep], False)
 
     return rows.mapInArrow(run, "a long, b long, sure boolean")
 
 
+def doubtful(met: DataFrame, classes: DataFrame, index: Index) -> DataFrame:
+    """All pairs (a, b) in doubt between nodes of ``classes`` with different ``root``, each once: under the first sample they share."""
+    rows = _by_key(met, classes.select("node", *index.columns, "root"), index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, node, words, (root,), left, right, far in _pairs_by_key(batches, index, ("root",)):
+            open_ = (far > index.sure_distance) & (root[left] != root[right])
+            left, right = left[open_], right[open_]
+            differ = np.stack([(w[left] ^ w[right]).view(np.uint64) for w in words], axis=1)
+            first = _first_meeting(differ, (key[left] >> 40) - len(index.segments), index)
+            yield _rows(node[left[first]], node[right[first]], False).drop_columns(["sure"])
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
 def _rows(a: np.ndarray, b: np.ndarray, sure: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), sure))], names=["a", "b", "sure"])
 
@@ -376,23 +427,47 @@ def _similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, s
     return pairs.where(common / (F.size("of_a") + F.size("of_b") - common) >= similarity).drop("of_a", "of_b")
 
 
+def _with_roots(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose roots in ``nodes`` (node, root) differ, with root_a and root_b."""
+    for side in "ab":
+        pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side)
+    return pairs.where("root_a <> root_b")
+
+
+def _joined(nodes: DataFrame, similar: DataFrame) -> DataFrame:
+    """``nodes`` (node, root) with the roots that the pairs (root_a, root_b) connect made one."""
+    upper = components(similar.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    upper = cut_lineage(upper.select(F.col("node").alias("under"), F.col("root").alias("top")), "tops")
+    joined = nodes.join(upper, F.col("root") == F.col("under"), "left")
+    return cut_lineage(joined.select("node", F.coalesce("top", "root").alias("root")), "roots")
+
+
 def _roots(classes: DataFrame, docs: DataFrame, size: int, index: Index) -> DataFrame:
-    """node, root: the smallest node that a node is connected with, of nodes with links."""
-    found = links(classes, index)
+    """node, root: the smallest node that a node is connected with, of nodes with links.
+
+    Pairs in doubt are decided in two rounds. The first takes the nearest that connect what sure links do not, as
+    many as there are nodes at most under a key. What they connect needs no further comparing, so the second takes,
+    of all the others, those between different roots. It reads only the nodes whose root has a pair of the first
+    round that was refused: any other root is connected with all that its nodes are in doubt about.
+    """
     if index.similarity is None:
-        return cut_lineage(components(found), "roots")
-    found = cut_lineage(found, "links")
-    sure = cut_lineage(components(found.where("sure")), "roots")
+        return cut_lineage(components(links(classes, index)), "roots")
+    met = _meetings(classes, index)
+    found = cut_lineage(links(classes, index, met), "links")
+    sure = components(found.where("sure"))
+    nodes = classes.select("node").join(sure, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    nodes = cut_lineage(nodes, "roots")
     pairs = found.where("NOT sure").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    for side in "ab":
-        pairs = pairs.join(sure.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
-        pairs = pairs.withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
-    pairs = cut_lineage(pairs.where("root_a <> root_b"), "pairs")
+    pairs = cut_lineage(_with_roots(pairs, nodes), "pairs")
     similar = cut_lineage(_similar(pairs, classes, docs, size, index.similarity), "similar")
-    upper = components(similar.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
-    upper = cut_lineage(upper.select(F.col("node").alias("under"), F.col("root").alias("top")), "tops")
-    nodes = classes.select("node").join(sure, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    return cut_lineage(nodes.join(upper, F.col("root") == F.col("under"), "left").select("node", F.coalesce("top", "root").alias("root")), "roots")
+    nodes = _joined(nodes, similar)
+    refused = _with_roots(pairs.select("a", "b"), nodes)
+    refused = refused.select(F.explode(F.array("root_a", "root_b")).alias("root")).distinct()
+    again = cut_lineage(nodes.join(cut_lineage(refused, "refused"), "root").select("node", "root"), "again")
+    pairs = doubtful(met.join(again.select("node"), "node"), classes.select("node", *index.columns).join(again, "node"), index)
+    pairs = cut_lineage(_with_roots(pairs, nodes), "pairs")
+    similar = cut_lineage(_similar(pairs, classes, docs, size, index.similarity), "similar")
+    return _joined(nodes, similar)
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, index: Index = SIMILAR_1024) -> DataFrame:

@@ -93,6 +93,42 @@ def test_crowded_key_gives_few_links(spark, monkeypatch):
     assert {r.root for r in components.components(links).collect()} == {0}
 
 
+def test_pairs_in_doubt_come_once(spark, monkeypatch):
+    """Links keep what all pairs under common samples connect; of the rest every pair in doubt between roots comes, once."""
+    monkeypatch.setattr(simhash, "BLOCK", 7)
+    draw = random.Random(14)
+    base = draw.getrandbits(1024)
+    prints = [base ^ sum(1 << b for b in draw.sample(range(1024), draw.randrange(30, 110))) for _ in range(60)]
+    columns = [[(p >> 64 * (15 - w) & (1 << 64) - 1) for w in range(16)] for p in prints]
+    signed = [(i, *[w - (w >> 63 << 64) for w in words]) for i, words in enumerate(columns)]
+    index = simhash.SIMILAR_1024
+    classes = spark.createDataFrame(signed, ["node", *index.columns]).repartition(3)
+    masks = [sum(1 << 1023 - b for b in s) for s in index.samples]
+    sure, doubt = set(), set()
+    for i, p in enumerate(prints):
+        for j, q in enumerate(prints[:i]):
+            if any((p ^ q) & m == 0 for m in masks) and (far := (p ^ q).bit_count()) <= index.max_distance:
+                (sure if far <= index.sure_distance else doubt).add((j, i))
+    assert len(sure) > 20 and len(doubt) > 500
+    met = simhash._meetings(classes, index)
+    found = [tuple(r) for r in simhash.links(classes, index, met).collect()]
+    assert {(min(a, b), max(a, b)) for a, b, yes in found if yes} <= sure
+    assert {(min(a, b), max(a, b)) for a, b, yes in found if not yes} <= doubt
+
+    def groups(edges) -> dict[int, int]:
+        root = {i: i for i in range(60)}
+        for a, b in edges:
+            low, high = sorted((root[a], root[b]))
+            root = {i: low if r == high else r for i, r in root.items()}
+        return root
+
+    assert groups((a, b) for a, b, yes in found if yes) == groups(sure)
+    assert groups((a, b) for a, b, _ in found) == groups(sure | doubt)
+    with_root = classes.withColumn("root", simhash.F.col("node") % 5)
+    got = [tuple(sorted(r)) for r in simhash.doubtful(met, with_root, index).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(a, b) for a, b in doubt if a % 5 != b % 5}
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000 - i, 1000) for i in range(1, 50)] + [(5, 5), (7, 6)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
