@@ -241,8 +241,8 @@ LINK_SQL = """
 WITH RECURSIVE doubles AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 valid AS (
   SELECT vec_id, v FROM doubles
-  WHERE v IS NOT NULL AND list_bool_and(list_transform(v, x -> x IS NOT NULL AND isfinite(x)))
-    AND list_bool_or(list_transform(v, x -> x <> 0))),
+  WHERE v IS NOT NULL AND list_bool_and(list_transform(v, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(v, lambda x: x <> 0))),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
   WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
@@ -257,7 +257,7 @@ FROM least LEFT JOIN counted USING (vec_id)
 TRIE_SQL = """
 WITH crc_table AS (
   SELECT list(v ORDER BY i) AS t FROM (
-    SELECT i, list_reduce(list_prepend(i, range(8)), (c, k) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
     FROM range(256) r(i))),
 numbered AS (
   SELECT conv_id, turn_id, chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, turn_id) - 1 AS pos
@@ -265,10 +265,10 @@ numbered AS (
                length(coalesce(text, '')) AS chars FROM conversations WHERE conv_id IS NOT NULL)),
 counts AS (
   SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS base,
-         list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), x -> CAST(ascii(x) AS BIGINT))) AS bytes
+         list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))) AS bytes
   FROM numbered GROUP BY conv_id),
 hashed AS (
-  SELECT conv_id, n, base, xor(list_reduce(bytes, (c, b) -> xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 6 AS h
+  SELECT conv_id, n, base, xor(list_reduce(bytes, lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 6 AS h
   FROM counts, crc_table),
 shared AS (
   SELECT c.conv_id, c.h, c.base, least(c.h, coalesce(b.n, 0)) AS taken FROM hashed c LEFT JOIN hashed b ON b.conv_id = c.base),
