@@ -7,23 +7,47 @@ small per-task summaries, however the rows fall on the groups.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchmill.session import cut_lineage
 
 # monotonically_increasing_id() puts the task in the upper bits, the row's position below.
 _TASK_SHIFT = 33
-_SCRATCH = ["_task", "_pos", "_first", "_n", "_first_key", "_last_key", "_offset"]
+_SCRATCH = ["_task", "_pos", "_first", "_n", "_first_key", "_last_key", "_offset", "_tie"]
 
 
-def _range_sorted(df: DataFrame, groups: Sequence[str], order: Sequence[str]) -> DataFrame:
+def _tie_start(one: Column, two: Column, at: Column) -> Column:
+    """The position of the first row of each row's run of equal keys, of a task's sorted rows: two hashes and a position."""
+
+    # Defined in here, so that executors get it by value and need nothing of this package.
+    def mark(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        before, start = None, 0
+        for one, two, at in parts:
+            one, two, at = one.to_numpy(), two.to_numpy(), at.to_numpy()
+            if not len(at):
+                yield pd.Series([], dtype="int64")
+                continue
+            new = np.ones(len(at), bool)
+            new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+            new[0] = before != (one[0], two[0])
+            starts = np.maximum.accumulate(np.where(new, at, start))
+            before, start = (one[-1], two[-1]), int(starts[-1])
+            yield pd.Series(starts)
+
+    return F.pandas_udf(mark, "long")(one, two, at)
+
+
+def _range_sorted(df: DataFrame, groups: Sequence[str], order: Sequence[str], ties: bool = False) -> DataFrame:
     """``df`` range-partitioned and sorted, with ``_task`` and ``_pos``, cut from its lineage.
 
     The input row id splits a run of equal keys over several tasks. Positions are stored
     before they are used, so all later passes agree on them after a lost executor too.
+    With ``ties`` also ``_tie``, the position where the row's run of equal keys begins in its task.
     """
     keys = [F.col(g).asc() for g in groups] + [_direction(o) for o in order]
     placed = df.withColumn("_row", F.monotonically_increasing_id())
@@ -35,6 +59,11 @@ def _range_sorted(df: DataFrame, groups: Sequence[str], order: Sequence[str]) ->
             "_pos": F.col("_at").bitwiseAND(F.lit((1 << _TASK_SHIFT) - 1)),
         }
     )
+    if ties:
+        # Hashes leave NULLs out, so these are named beside the values.
+        same = [F.col(c) for c in (*groups, *_plain(order))]
+        same += [c.isNull() for c in same]
+        placed = placed.withColumn("_tie", _tie_start(F.xxhash64(F.lit(1), *same), F.xxhash64(F.lit(2), *same), "_pos"))
     return cut_lineage(placed.drop("_at"), "ranking")
 
 
@@ -59,7 +88,7 @@ def numbered_in_groups(
     ``order`` holds names, each with an optional ``desc``; NULLs sort as Spark sorts them.
     ``df`` should be a table read, not a chain of shuffles: row ids split ties.
     """
-    rows = _range_sorted(df, groups, order)
+    rows = _range_sorted(df, groups, order, ties=rank is not None)
     keys = F.struct(*_plain(order))
     parts = [*groups, "_task"]
     # One row per (group, task): at most groups + tasks rows in total.
@@ -89,9 +118,9 @@ def numbered_in_groups(
     same_run = F.col("_first_key").eqNullSafe(F.col("_run"))
     for group in groups:
         same_run = same_run & F.col(f"_g_{group}").eqNullSafe(F.col(f"_h_{group}"))
-    small = small.join(starts, same_run, "left")
-    local = Window.partitionBy(*parts).orderBy(*[_direction(o) for o in order])
-    in_task = F.col("_offset") + F.rank().over(local)
+    # A table of known size: rows are not sorted or shuffled a second time where it is small.
+    small = cut_lineage(small.join(starts, same_run, "left"), "numbers")
+    in_task = F.col("_offset") + F.col("_tie") - F.col("_first") + 1
     carried = F.when(keys.eqNullSafe(F.col("_first_key")), F.col("_run_start"))
     ranked = rows.join(small, same_part, "left").withColumns(
         {number: value, rank: F.coalesce(carried, in_task).cast("long")}

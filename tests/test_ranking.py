@@ -49,3 +49,27 @@ def test_a_hot_group_is_spread_over_tasks(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(sizes) == 8 and max(sizes) < 200000 / 3
+
+
+def test_ranks_shuffle_whole_rows_once(spark, tmp_path):
+    """The table is range-sorted and written; numbers and ranks are then taken from it without an exchange or a sort of its rows."""
+    path = str(tmp_path / "t")
+    skewed(spark).write.parquet(path)
+    ranked = numbered_in_groups(spark.read.parquet(path), ["g"], ["k"], rank="rank")
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert "Window" not in plan and "Exchange hashpartitioning" not in plan and "Sort " not in plan
+
+
+@pytest.mark.parametrize("batch", [1, 7])
+def test_ties_over_batches(spark, tmp_path, batch):
+    path, name = str(tmp_path / "t"), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    skewed(spark, 600).write.parquet(path)
+    t, before = spark.read.parquet(path), spark.conf.get(name)
+    spark.conf.set(name, str(batch))
+    try:
+        got = numbered_in_groups(t, ["g"], ["k"], rank="rank").select("g", "k", "id", "rank").collect()
+    finally:
+        spark.conf.set(name, before)
+    want = t.select("g", "k", "id", F.rank().over(Window.partitionBy("g").orderBy("k")).cast("long"))
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, map(tuple, want.collect())))
