@@ -131,3 +131,25 @@ def test_processed_today(spark):
 def test_panel_numbers_cover_all_dashboards():
     names = set(D.PANELS) | set(D.SELECTORS) | {f"d{i}" for i in range(31, 39)}
     assert names == {f"d{i:02}" for i in range(1, 39)}
+
+
+def test_rows_are_shuffled_by_player_and_a_crowd_combines(spark, monkeypatch):
+    """The same metrics however the rows are dealt; no buffers of four times their width are shuffled."""
+    games = [{"game_name": f"n{i % 7}" if i % 3 else "hot", "champion_id": i % 5, "kills": i} for i in range(60)]
+    source, keys = stats(spark, *games), K.PLAYER + K.CHAMPION
+    source = source.unionByName(stats(spark, {"game_name": None}))
+    pairs = [*{(f"p-{g['game_name']}", g["game_name"]) for g in games}]
+    players = spark.createDataFrame(pairs, "puuid string, game_name string")
+    landed = source.withColumn("puuid", F.concat(F.lit("p-"), "game_name"))
+    assert K.crowded(landed, players) == []
+    monkeypatch.setattr(K, "CROWD", 15)
+    crowd = K.crowded(landed, players)
+    assert len(crowd) == 1
+    for grouping in (K.PLAYER, keys):
+        want = rows(K.kpi(source, grouping))
+        assert rows(K.by_player(source, lambda df, g=grouping: K.kpi(df, g), [])) == want
+        assert len(rows(K.by_player(source.dropna(subset=["game_name"]), lambda df, g=grouping: K.kpi(df, g), crowd))) == len(want) - 1
+    plan = K.by_player(source, lambda df: K.kpi(df, keys), [])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "hashpartitioning(game_name" in plan and plan.index("Exchange") > plan.index("partial_avg")
+    states = K.kpi_states(source, keys)
+    assert rows(K.kpi_of_states(states).select(*K.kpi_from_states(states, keys).columns)) == rows(K.kpi_from_states(states, keys))

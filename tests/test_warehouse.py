@@ -260,3 +260,46 @@ def test_a_partitioned_update_lost_midway_is_completed_by_its_rerun(spark, wareh
     assert between.count() == 40 and 0 < between.where("v = -1").count() < 40
     warehouse.merge(source, "fact.t", ["k"], ["v"], has_matched=True)
     assert rows(warehouse.read("fact.t")) == sorted((f"k{i}", -1) for i in range(40))
+
+
+def test_keyed_rows_are_written_once(spark, warehouse, monkeypatch):
+    """Into a partitioned table: no copy for the key check, defaults and lengths as in an append; rows widen after they are gathered."""
+    from matchmill.sources import warehouse as module
+
+    cuts, real = [], module.cut_lineage
+    monkeypatch.setattr(module, "cut_lineage", lambda df, name: cuts.append(name) or real(df, name))
+    warehouse.create_table("fact.t", {**KV, "w": "VARCHAR(5)", "done": "BOOLEAN"}, ["k"], {"done": "false"}, "k")
+    derive = lambda rows: rows.withColumn("w", F.concat(F.lit("w"), "v"))
+    assert warehouse.insert(frame(spark, [(f"k{i}", i) for i in range(20)]), "fact.t", derive=derive)["rows_inserted"] == 20
+    assert warehouse.insert(frame(spark, [(f"k{i}", i) for i in range(20, 45)]), "fact.t", derive=derive)["rows_inserted"] == 25
+    assert cuts == []
+    assert rows(warehouse.read("fact.t")) == sorted((f"k{i}", i, f"w{i}", False) for i in range(45))
+    for bad in ([("k3", 1)], [("x", 1), ("x", 1)], [("x", 100000)], [(None, 1), (None, 2)]):
+        with pytest.raises(Exception, match="keys already|not unique|EXCEED_LIMIT_LENGTH"):
+            warehouse.insert(frame(spark, bad), "fact.t", derive=derive)
+    assert warehouse.read("fact.t").count() == 45
+    with pytest.raises(guards.NoRows):
+        warehouse.insert(frame(spark, []), "fact.t")
+
+
+def test_a_merge_into_an_empty_table_copies_nothing(spark, warehouse, monkeypatch):
+    from matchmill.operators import merge
+    from matchmill.sources import warehouse as module
+
+    cuts = []
+    for where in (module, merge):
+        monkeypatch.setattr(where, "cut_lineage", lambda df, name, real=where.cut_lineage: cuts.append(name) or real(df, name))
+    columns = {**KV, "tech_date_creation": "TIMESTAMP_NTZ", "tech_date_modification": "TIMESTAMP_NTZ"}
+    warehouse.create_table("mart.t", columns)
+    warehouse.insert(frame(spark, [("a", 1), ("b", 2), (None, 3)]), "raw.t")
+    options = {"match_columns": ["v"], "non_match_columns": {"k": "k", "v": "v"}, "has_matched": True, "has_not_matched": True, "now": NOW}
+    assert warehouse.merge(warehouse.read("raw.t"), "mart.t", ["k"], **options)["rows_affected"] == 3
+    assert cuts == []
+    warehouse.insert(frame(spark, [("a", 10), ("b", 20)]), "raw.t", "replace")
+    assert warehouse.merge(warehouse.read("raw.t"), "mart.t", ["k"], **options)["rows_affected"] == 2
+    assert "merge-source" not in cuts  # its keys do not repeat
+    assert rows(warehouse.read("mart.t").select("k", "v")) == [("a", 10), ("b", 20), (None, 3)]
+    warehouse.insert(frame(spark, [("c", 1), ("c", 2)]), "raw.t", "replace")
+    warehouse.merge(warehouse.read("raw.t"), "mart.t", ["k"], **options)
+    with pytest.raises(Exception, match="two source rows"):
+        warehouse.merge(warehouse.read("raw.t"), "mart.t", ["k"], **options)
