@@ -77,6 +77,20 @@ def test_range_join_against_all_pairs(spark, kind):
     assert joins.range_join(left, right.limit(0), F.col("v"), F.col("a"), F.col("b"), kind).count() == (len(values) if kind == "left" else 0)
 
 
+@pytest.mark.parametrize("kind", ["inner", "left"])
+def test_a_crowded_bin_is_dealt_over_tasks(spark, monkeypatch, kind):
+    """All rows of both sides in one bin: its pairs are dealt over many keys, and each is found once."""
+    monkeypatch.setattr(joins, "PIECE", 16)
+    left = spark.range(200).select(F.col("id").cast("int").alias("i"), (F.col("id") % 4 + 0.25).alias("v"))
+    left = left.unionByName(left.limit(3)).unionByName(spark.createDataFrame([(-1, 99.0)], "i int, v double"))
+    right = spark.range(60).select(F.col("id").cast("int").alias("j"), F.lit(0.0).alias("a"), (F.lit(5.0) + F.col("id") % 3).alias("b"))
+    found = joins.range_join(left, right, F.col("v"), F.col("a"), F.col("b"), kind)
+    assert found.count() == 203 * 60 + (kind == "left")
+    assert found.where("j IS NOT NULL").groupBy("i", "j").count().where("count > IF(i < 3, 2, 1)").count() == 0
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "_left_piece" in text and "REPARTITION_BY_NUM" in text
+
+
 def test_joins_that_compare_all_pairs_are_refused(spark):
     a = spark.range(5).selectExpr("id AS k", "id AS v")
     b = spark.range(5).selectExpr("id AS j", "id AS w", "id + 1 AS x")
