@@ -103,3 +103,12 @@ def test_normalise_and_version(spark):
     assert flat.columns == ["id", "a.b.c", "a.b.d", "a.e"] and rows(flat) == [(1, 2, "x", [3])]
     versions = spark.createDataFrame([(["14.2", "14.1"],), ([],)], "v array<string>")
     assert [r[0] for r in versions.select(nested.latest_version(versions.v)).collect()] == ["14.2", None]
+
+
+def test_documents_are_brought_together_while_narrow(spark):
+    """The lines of a document are shuffled as they are read, and not again as statistics."""
+    from matchmill.plans import star_views as V
+
+    text = V.match_payloads(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in text
+    assert not [x for x in text.splitlines() if "Exchange hashpartitioning(match_id" in x and "part" in x.split("ENSURE")[0]]
