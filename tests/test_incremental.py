@@ -137,3 +137,34 @@ def test_a_lost_run_is_made_up_for(spark, tmp_path, monkeypatch):
     later = jobs.Run(run.warehouse, run.job_id, NOW + dt.timedelta(days=1))
     assert incremental.refresh(later)["matches"] == 0
     assert marts(run) == rebuilt(run)
+
+
+def test_striking_off_writes_one_partition_again(spark, tmp_path):
+    """The groups to update are noted in one partition, so that the states of the others stay as they are."""
+    run = new_run(spark, tmp_path, "noted")
+    load(run, spark, range(1, 30))
+    follow(run, spark, range(1, 9))
+    incremental.fold(run.warehouse)
+    noted = incremental.TODO_NAME, incremental.TODO_CHAMPION
+    stored = run.warehouse._stored(incremental.STATES.name)
+    assert stored.where(F.col("kind").isin(*noted)).select(BUCKET).distinct().count() == 1
+    folded = run.warehouse._listed(incremental.STATES.name)[-1]
+    incremental._fill(run)
+    left = {g.table: g for g in run.warehouse._listed(incremental.STATES.name)}
+    assert len(folded.live) == 4 and len(left[folded.table].live) == 3
+    assert run.warehouse.read(incremental.STATES.name).where(F.col("kind").isin(*noted)).isEmpty()
+    assert marts(run) == rebuilt(run)
+
+
+def test_rows_are_shuffled_for_new_states_also_of_a_crowded_player(spark, monkeypatch):
+    """States are made where a player's rows are; those of a player with most of the rows are combined before."""
+    monkeypatch.setattr(K, "CROWD", 5)
+    stats = statistics(spark, 2, range(1, 20)).withColumn("puuid", F.when(F.col("kills") > 2, "P0").otherwise(F.col("puuid")))
+    stats = stats.withColumn("game_duration", F.lit(600).cast("bigint"))
+    crowd = K.crowded(stats)
+    assert crowd
+    made = incremental._of_players(stats, crowd)
+    whole = K.kpi_states(stats, ["puuid", *K.CHAMPION])
+    assert sorted(map(tuple, rounded(made, 5).collect())) == sorted(map(tuple, rounded(whole, 5).collect()))
+    alone = incremental._of_players(stats, [])._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [puuid" in alone

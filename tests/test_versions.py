@@ -129,3 +129,15 @@ def test_fixed_tables(versioned):
     for table in schemas.FIXED_TABLES:
         assert versioned.read(table.name).columns == list(table.columns)
     assert versioned._properties(schemas.FACT_STATS.name)["primary_key"] == "id"
+
+
+def test_a_merge_into_an_empty_table_writes_its_rows_once(spark, versioned, monkeypatch):
+    """The source is written already: it is not copied, nor joined with nothing."""
+    versioned.create_table("raw.t", {"k": "STRING", "v": "INT"})
+    source = frame(spark, [("a", 1), ("b", 2), (None, 3)])
+    with monkeypatch.context() as patch:
+        patch.setattr("matchmill.sources.versions.cut_lineage", None)
+        patch.setattr("matchmill.sources.versions.merge.matched_rows", None)
+        assert upsert(versioned, source)["rows_affected"] == 3
+    assert rows(versioned.read("raw.t").select("k", "v")) == rows(source)
+    assert upsert(versioned, frame(spark, [("a", 5), ("c", 6)]))["rows_affected"] == 2
