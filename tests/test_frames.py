@@ -105,6 +105,20 @@ def test_dedupe_keeps_first_and_treats_nulls_as_equal(spark):
     assert rows(transforms.dedupe_first(once, ["k"], ["v"])) == rows(once)
 
 
+def test_dedupe_of_few_keys_shuffles_only_what_repeats(spark, monkeypatch):
+    t = frame(spark, [("a", 2), ("a", 1), (None, 4), (None, 3), ("b", None), ("c", 5)], "k string, v int")
+    wanted = [("a", 1), ("b", None), ("c", 5), (None, 3)]
+    few = transforms.dedupe_few(t, ["k"], ["v"])
+    assert few.columns == ["k", "v"] and rows(few) == wanted
+    text = few._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in text and text.index("Window") < text.index("LeftSemi")
+    alone = frame(spark, [("a", 2), ("b", 1)], "k string, v int")
+    assert "Window" not in transforms.dedupe_few(alone, ["k"], ["v"])._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(transforms, "FEW_KEYS", 1)
+    many = transforms.dedupe_few(t, ["k"], ["v"])
+    assert rows(many) == wanted and "LeftSemi" not in many._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_union(spark):
     a = frame(spark, [(1, "x")], "id int, t string")
     out = transforms.union_sources([a, None, frame(spark, [("y",)], "t string")])
