@@ -1,9 +1,14 @@
 """Warehouse tables: DDL, inserts, versions, merges by partition."""
 
+import uuid
+from urllib.parse import unquote, urlparse
+
 import pytest
 from matchmill import schemas
 from matchmill.operators import guards
-from matchmill.sources.warehouse import BUCKET
+from matchmill.sources.versions import VersionedWarehouse
+from matchmill.sources.warehouse import BUCKET, Warehouse
+from pyarrow import parquet
 from pyspark.sql import functions as F
 from tests.conftest import NOW, rows
 
@@ -303,3 +308,20 @@ def test_a_merge_into_an_empty_table_copies_nothing(spark, warehouse, monkeypatc
     warehouse.merge(warehouse.read("raw.t"), "mart.t", ["k"], **options)
     with pytest.raises(Exception, match="two source rows"):
         warehouse.merge(warehouse.read("raw.t"), "mart.t", ["k"], **options)
+
+
+@pytest.mark.parametrize("kind", [Warehouse, VersionedWarehouse])
+@pytest.mark.parametrize("bucket_key", [None, "k"])
+def test_tables_are_stored_compressed_however_they_are_written(spark, tmp_path, kind, bucket_key):
+    made = kind(spark, str(tmp_path / "codec"), f"codec_{uuid.uuid4().hex[:12]}_", 2)
+    made.create_table("fact.t", KV, ["k"], bucket_key=bucket_key)
+    made.insert(frame(spark, [(f"k{i}", i) for i in range(9)]), "fact.t")
+    made.insert(frame(spark, [(f"k{i}", i) for i in range(9, 20)]), "fact.t")
+    made.update("fact.t", {"v": 7}, {"k": "k3"})
+    made.insert(frame(spark, [("x", 1)]), "raw.t")
+    made.insert(frame(spark, [("y", 1)]), "raw.t", "replace")
+    made.insert(frame(spark, [("z", 1)]), "raw.t")
+    files = [f for name in ("fact.t", "raw.t") for f in made.read(name).inputFiles()]
+    found = [parquet.ParquetFile(unquote(urlparse(f).path)).metadata for f in files]
+    assert {m.row_group(0).column(0).compression for m in found if m.num_rows} == {"ZSTD"}
+    assert made.read("fact.t").count() == 20
