@@ -5,16 +5,19 @@ segment of a class's fingerprint is a key of a table; a class looks up every key
 ball around its own segments, and what it finds is verified on the complete distance. Two
 fingerprints whose distance is less than the sum of (radius + 1) over the segments always meet.
 
-For a similarity of the texts, keys are samples of the bits, and the distance only sorts what meets:
-near pairs are links, far ones are none, and those between are decided by their sets of shingles.
+For a similarity of the texts there are many segments, of drawn bits, with a ball of one flip each, and the
+distance only sorts what meets: near pairs are links, far ones are none, and those between are decided by their
+sets of shingles. A class is shuffled by either half of a segment, not by every key of its ball: one flip leaves
+one half as it is, so all that a ball can find is in one task, which looks the flips up there.
 """
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
+from functools import cached_property, partial
 
 import numpy as np
 import pyarrow as pa
@@ -34,23 +37,30 @@ CHUNK = 1 << 18
 BLOCK = 512
 
 #: Pairs compared at a time.
-PAIRS = 1 << 20
+PAIRS = 1 << 18
 
 #: Keys that a task makes, about: what it holds until its shuffle files are written.
-KEY_ROWS = 1 << 21
+KEY_ROWS = 1 << 20
+
+#: Rows with one half of a segment that a task holds to look flips up among; of more, all are taken to meet.
+HELD = 1 << 17
+
+#: Rows that are handed to Spark at a time.
+ARROW_ROWS = 1 << 14
 
 
 @dataclass(frozen=True)
 class Index:
-    """How fingerprints are looked up: (first bit, bits, radius of the ball) of each segment, or the bits of each sample.
+    """How fingerprints are looked up: (first bit, bits, radius of the ball) of each segment.
 
-    With a similarity, pairs beyond ``sure_distance`` are decided by the sets of their shingles.
+    With a similarity, pairs beyond ``sure_distance`` are decided by the sets of their shingles, and segments are
+    ``drawn``: an even number of bits each, with a ball of one flip.
     """
 
     words: int
     segments: tuple[tuple[int, int, int], ...]
     max_distance: int
-    samples: tuple[tuple[int, ...], ...] = ()
+    drawn: tuple[tuple[int, ...], ...] = ()
     sure_distance: int | None = None
     similarity: float | None = None
 
@@ -58,6 +68,11 @@ class Index:
     def columns(self) -> list[str]:
         return [f"w{i}" for i in range(self.words)]
 
+    @cached_property
+    def samples(self) -> tuple[tuple[int, ...], ...]:
+        """The drawn segments without one bit each: what meets agrees in one of these, and what agrees in one meets."""
+        return tuple(bits[:i] + bits[i + 1 :] for bits in self.drawn for i in range(len(bits)))
+
 
 #: Distance 2 over two halves: with one flip or none in the first, or none in the second, every
 #: such pair meets.
@@ -65,33 +80,33 @@ EXACT_64 = Index(words=1, segments=((0, 32, 1), (32, 32, 0)), max_distance=2)
 
 
 
-def _samples(bits: int, size: int, rounds: int) -> tuple[tuple[int, ...], ...]:
-    """Disjoint samples of ``size`` bits, as many as there are in ``bits``; so in each round, after another shuffle."""
+def _drawn(bits: int, size: int, number: int) -> tuple[tuple[int, ...], ...]:
+    """So many segments of ``size`` bits: disjoint as far as there are ``bits``, then after another shuffle."""
     draw = random.Random(0)
     found = []
-    for _ in range(rounds):
+    while len(found) < number:
         order = draw.sample(range(bits), bits)
         found += [tuple(order[i : i + size]) for i in range(0, bits - size + 1, size)]
-    return tuple(found)
+    return tuple(found[:number])
 
 
 def similar_index(rows: int = 0) -> Index:
     """For a similarity of 0.8 among so many fingerprints.
 
     Sets that share 80 % of their shingles have a cosine of 0.89, so 15 % of the bits differ: 155 of
-    1024, with a deviation of 11.5. 576 samples of 28 bits are keys; if bits are independent, pairs at
-    a similarity of 0.8 share one in 99 of 100 cases, more similar ones in more. Four deviations to
-    either side the distance decides alone. Keys of b bits bring n documents together by chance
-    n * n / 2**(b - 9) times; b is as large as keeps this in proportion to n, and there are as many
-    more samples as it takes to share one as often.
+    1024, with a deviation of 11.5. There are as many segments of b bits, each with a ball of one flip, as pairs
+    need of which 15 % of the bits differ, if bits are independent, to miss each other in all of them 23 times in
+    10,000; more similar ones do less often. Four deviations to either side the distance decides alone. By
+    chance a segment brings n documents together n * n * (b + 1) / 2**(b + 1) times; b is as large as keeps this in
+    proportion to n.
     """
-    size = min(40, max(28, int(rows).bit_length() + 1))
-    wanted = 576 * 0.85 ** (28 - size)
-    rounds = -(-int(wanted) // (1024 // size))
-    return Index(words=16, segments=(), max_distance=201, samples=_samples(1024, size, rounds), sure_distance=109, similarity=0.8)
+    size = min(40, max(32, (int(rows).bit_length() + 9) // 2 * 2))
+    meets = 0.85**size + size * 0.15 * 0.85 ** (size - 1)
+    number = math.ceil(math.log(0.0023) / math.log1p(-meets))
+    return Index(words=16, segments=(), max_distance=201, drawn=_drawn(1024, size, number), sure_distance=109, similarity=0.8)
 
 
-#: The index of up to 2**27 fingerprints; more take a wider one by themselves.
+#: The index of up to 2**24 fingerprints; more take a wider one by themselves.
 SIMILAR_1024 = similar_index()
 
 
@@ -169,8 +184,7 @@ def _keys(classes: DataFrame, index: Index) -> DataFrame:
     """Rows (key, code): a class under its own keys (code 2 * node) and under those it looks up (2 * node + 1).
 
     Of two keys that differ in one bit the one without it looks up the other, which halves the
-    lookups: balls are made of added bits only, for radius 1. A class looks its own key up too,
-    for which samples have no row of their own: they have no balls, so all look up what they are under.
+    lookups: balls are made of added bits only, for radius 1. A class looks its own key up too.
     """
     if any(radius > 1 for _, _, radius in index.segments):
         raise ValueError("balls of radius 0 or 1 only; take more segments instead")
@@ -187,22 +201,113 @@ def _keys(classes: DataFrame, index: Index) -> DataFrame:
                     balls.append((value[unset] | (1 << bit), 2 * node[unset] + 1))
                 for keys, codes in balls:
                     yield pa.RecordBatch.from_arrays([pa.array(keys | (number << 40)), pa.array(codes)], names=["key", "code"])
-            if index.samples:
-                columns = np.stack(words, axis=1).astype(">i8")
-                by_bit = np.ascontiguousarray(np.unpackbits(columns.view(np.uint8), axis=1).T)
-            for number, sample in enumerate(index.samples, len(index.segments)):
-                keys = np.zeros(len(node), np.int64)
-                for byte in np.packbits(by_bit[list(sample)], axis=0):
-                    keys = keys << 8 | byte
-                yield pa.RecordBatch.from_arrays([pa.array(keys | (number << 40)), pa.array(2 * node)], names=["key", "code"])
 
     return classes.select("node", *index.columns).mapInArrow(run, "key long, code long")
 
 
-def _met(batches: Iterator[pa.RecordBatch], alone: int = 2) -> Iterator[pa.RecordBatch]:
+def _halves(classes: DataFrame, index: Index) -> DataFrame:
+    """Rows (key, node): each drawn segment of a class twice, in table 2 * number as it is and in the next with its halves swapped."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = np.stack([batch.column(c).to_numpy() for c in index.columns], axis=1).astype(">i8")
+            by_bit = np.ascontiguousarray(np.unpackbits(words.view(np.uint8), axis=1).T)
+            for number, bits in enumerate(index.drawn):
+                half = len(bits) // 2
+                for at, order in enumerate((bits, bits[half:] + bits[:half])):
+                    keys = np.full(by_bit.shape[1], 2 * number + at, np.int64)
+                    packed = np.packbits(by_bit[list(order)], axis=0)
+                    for byte in packed[: len(order) // 8]:
+                        keys = keys << 8 | byte
+                    if rest := len(order) % 8:
+                        keys = keys << rest | packed[-1] >> 8 - rest
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column("node")], names=["key", "node"])
+
+    return classes.select("node", *index.columns).mapInArrow(run, "key long, node long")
+
+
+def _flips(key: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted distinct keys the pairs (lookup, member), as positions, of which the member has one bit more in the last ``half``."""
+    looks, finds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for bit in range(half):
+        unset = np.flatnonzero((key >> bit) & 1 == 0)
+        wanted = key[unset] | 1 << bit
+        at = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
+        there = key[at] == wanted
+        looks.append(unset[there])
+        finds.append(at[there])
+    return np.concatenate(looks), np.concatenate(finds)
+
+
+def _meeting(key: np.ndarray, node: np.ndarray, bits: int, every: bool = False) -> Iterator[pa.RecordBatch]:
+    """Rows (key, code) as of ``_keys`` of these rows sorted by key: of keys under which nodes meet, or of all keys if ``every``.
+
+    Members of a key meet each other in the table of the segment as it is only, so that they meet once.
+    """
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    counts = np.diff(np.append(starts, len(key)))
+    values = key[starts]
+    if every:
+        member = np.ones(len(values), bool)
+        run = np.repeat(np.arange(len(values)), bits // 2)
+        wanted = values[run] | np.tile(1 << np.arange(bits // 2), len(values))
+        run, wanted = run[wanted != values[run]], wanted[wanted != values[run]]
+    else:
+        member = (counts > 1) & (values >> bits & 1 == 0)
+        run, found = _flips(values, bits // 2)
+        member[found] = True
+        wanted = values[found]
+    of_member = np.repeat(member, counts)
+    n = counts[run]
+    rows = np.repeat(starts[run], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    keys = np.concatenate([key[of_member], np.repeat(wanted, n)])
+    codes = np.concatenate([2 * node[of_member], 2 * node[rows] + 1])
+    for at in range(0, len(keys), ARROW_ROWS):
+        part = slice(at, at + ARROW_ROWS)
+        yield pa.RecordBatch.from_arrays([pa.array(keys[part]), pa.array(codes[part])], names=["key", "code"])
+
+
+def _met_by_half(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Of rows of ``_halves`` sorted by key, the rows (key, code) under which classes meet or differ in one bit of the key's last half.
+
+    Rows with the same first half are looked at together, up to ``HELD``. Of a larger group all rows and lookups come:
+    more than meet, but no fewer.
+    """
+    half = bits // 2
+    held, overfull = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key, node = batch.column("key").to_numpy(), batch.column("node").to_numpy()
+        if held is not None:
+            key, node = np.concatenate([held[0], key]), np.concatenate([held[1], node])
+            held = None
+        group = key >> half
+        if overfull is not None:
+            end = int(np.searchsorted(group, overfull, side="right"))
+            if end:
+                yield from _meeting(key[:end], node[:end], bits, every=True)
+            key, node, group = key[end:], node[end:], group[end:]
+            if not len(key):
+                continue
+            overfull = None
+        last = int(np.searchsorted(group, group[-1]))
+        if last:
+            yield from _meeting(key[:last], node[:last], bits)
+        if len(key) - last > HELD:
+            overfull = int(group[-1])
+            for at in range(last, len(key), ARROW_ROWS):
+                yield from _meeting(key[at : at + ARROW_ROWS], node[at : at + ARROW_ROWS], bits, every=True)
+        else:
+            held = key[last:], node[last:]
+    if held is not None:
+        yield from _meeting(*held, bits)
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by key, members first, those of keys under which a class meets another.
 
-    A class alone has ``alone`` rows under its key, and most lookups find no member. No more rows
+    A class alone has two rows under its key, and most lookups find no member. No more rows
     are held, of a group that goes on in the next batch and is undecided.
     """
     held, open_key, stays = None, None, None
@@ -216,12 +321,12 @@ def _met(batches: Iterator[pa.RecordBatch], alone: int = 2) -> Iterator[pa.Recor
         starts = np.flatnonzero(new)
         counts = np.diff(np.append(starts, len(key)))
         member = code[starts] & 1 == 0
-        keep = member & (counts > alone)
+        keep = member & (counts > 2)
         if open_key == key[0] and stays is not None:
             keep[0] = stays
         decided = len(starts) == 1 and open_key == key[0] and stays is not None
         open_key = int(key[-1])
-        if member[-1] and counts[-1] <= alone and not decided:
+        if member[-1] and counts[-1] <= 2 and not decided:
             held, stays = (key[starts[-1] :], code[starts[-1] :]), None
         else:
             held, stays = None, bool(keep[-1])
@@ -229,15 +334,16 @@ def _met(batches: Iterator[pa.RecordBatch], alone: int = 2) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([pa.array(key[rows]), pa.array(code[rows])], names=["key", "code"])
 
 
-def _links_of_batch(group, lookup, node, words, index):
+def _links_of_batch(group, lookup, node, words, index, mutual, flip):
     """Pairs found by the lookups of one batch, as rows of the lookup and the member, and their distances.
 
-    Rows are sorted by group, the members of each before its lookups; of samples members look up too.
+    Rows are sorted by group, the members of each before its lookups. Of groups that are ``mutual`` members look up
+    too; of these and of lookups that are no ``flip`` one of both directions is enough.
     """
     starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
     of_group = np.cumsum(np.concatenate([[True], group[1:] != group[:-1]])) - 1
     members = np.add.reduceat((~lookup).astype(np.int64), starts)
-    rows = np.arange(len(lookup)) if index.samples else np.flatnonzero(lookup)
+    rows = np.flatnonzero(lookup | mutual)
     counts = members[of_group[rows]]
     rows, counts = rows[counts > 0], counts[counts > 0]
     ends = np.cumsum(counts)
@@ -248,8 +354,7 @@ def _links_of_batch(group, lookup, node, words, index):
         left = np.repeat(part, n)
         offset = np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n)
         right = np.repeat(starts[of_group[part]], n) + offset
-        # All look up all under samples, so one of both directions is enough.
-        other = node[left] < node[right] if index.samples else node[left] != node[right]
+        other = np.where(mutual[left] & ~flip[left], node[left] < node[right], node[left] != node[right])
         left, right = left[other], right[other]
         far = np.zeros(len(left), np.int64)
         for word in words:
@@ -302,26 +407,33 @@ def _forest(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray, f
 
 
 def _first_meeting(differ: np.ndarray, number: np.ndarray, index: Index) -> np.ndarray:
-    """Which pairs, of these differing bits (a row of words each), share no sample before the one they met under."""
+    """Which pairs, of these differing bits (a row of words each), meet in no segment before the one they met in."""
     first = np.ones(len(number), bool)
-    for at, sample in enumerate(index.samples):
+    for at, bits in enumerate(index.drawn):
         rows = np.flatnonzero(first & (number > at))
+        far = np.zeros(len(rows), np.int64)
         for word in range(index.words):
-            mask = sum(1 << 63 - bit % 64 for bit in sample if bit // 64 == word)
+            mask = sum(1 << 63 - bit % 64 for bit in bits if bit // 64 == word)
             if mask and len(rows):
-                rows = rows[differ[rows, word] & np.uint64(mask) == 0]
-        first[rows] = False
+                far += np.bitwise_count(differ[rows, word] & np.uint64(mask))
+        first[rows[far <= 1]] = False
     return first
 
 
 def _meetings(classes: DataFrame, index: Index) -> DataFrame:
     """Rows (key, lookup, node) of the keys under which nodes of ``classes`` meet, a written table."""
     # Each class makes many keys, so a task has few classes.
-    each = len(index.samples) + sum(2 + bits * radius for _, bits, radius in index.segments)
+    each = 2 * len(index.drawn) + sum(2 + bits * radius for _, bits, radius in index.segments)
     spread = classes.select("node", *index.columns).repartition(max(1, -(-classes.count() * each // KEY_ROWS)))
-    by_key = _keys(spread, index).repartition("key").sortWithinPartitions("key", F.col("code").bitwiseAND(1))
     # Narrow rows are shuffled first: few keys bring two classes together, and only those need fingerprints.
-    met = cut_lineage(by_key.mapInArrow(partial(_met, alone=1 if index.samples else 2), "key long, code long"), "met")
+    if index.drawn:
+        bits = len(index.drawn[0])
+        by_key = _halves(spread, index).repartition(F.shiftright("key", bits // 2)).sortWithinPartitions("key")
+        met = by_key.mapInArrow(partial(_met_by_half, bits=bits), "key long, code long")
+    else:
+        by_key = _keys(spread, index).repartition("key").sortWithinPartitions("key", F.col("code").bitwiseAND(1))
+        met = by_key.mapInArrow(_met, "key long, code long")
+    met = cut_lineage(met, "met")
     return met.select("key", (F.col("code").bitwiseAND(1) == 1).alias("lookup"), F.shiftright("code", 1).alias("node"))
 
 
@@ -334,29 +446,35 @@ def _by_key(met: DataFrame, classes: DataFrame, index: Index) -> DataFrame:
     blocks = F.coalesce("blocks", F.lit(1))
     own = F.pmod(F.xxhash64(F.lit("block"), "node"), blocks).cast("int")
     everywhere = F.sequence(F.lit(0), blocks - 1)
-    seen_in = everywhere if index.samples else F.when(F.col("lookup"), everywhere).otherwise(F.array(own))
-    rows = rows.select("key", F.explode(seen_in).alias("block"), "lookup", "node", *names, own.alias("own"))
-    if index.samples:
-        rows = rows.withColumn("lookup", F.col("block") != F.col("own"))
-    return rows.drop("own").repartition("key", "block").sortWithinPartitions("key", "block", "lookup")
+    seen_in = F.when(F.col("lookup") | _mutual(F.col("key"), index), everywhere).otherwise(F.array(own))
+    rows = rows.select("key", F.explode(seen_in).alias("block"), (F.col("lookup") | (F.col("block") != own)).alias("lookup"), F.col("lookup").alias("flip"), "node", *names)
+    return rows.repartition("key", "block").sortWithinPartitions("key", "block", "lookup")
+
+
+def _mutual(key, index: Index):
+    """Whether members of a key look each other up, for they have no rows that do: in the table of a drawn segment as it is."""
+    at = len(index.drawn[0]) if index.drawn else 0
+    if isinstance(key, np.ndarray):
+        return (key >> at & 1 == 0) & (at > 0)
+    return (F.shiftright(key, at).bitwiseAND(1) == 0) & F.lit(at > 0)
 
 
 def _pairs_by_key(batches: Iterator[pa.RecordBatch], index: Index, more: tuple[str, ...] = ()) -> Iterator[tuple]:
     """Of rows as ``_by_key`` gives them the columns key, node, the words and ``more``, and pairs of their rows with distances."""
-    kept, names = None, ("key", "block", "lookup", "node", *index.columns, *more)
+    kept, names = None, ("key", "block", "lookup", "flip", "node", *index.columns, *more)
     for batch in batches:
         columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
         if not batch.num_rows:
             continue
         if kept is not None:
             columns = [np.concatenate(pair) for pair in zip(kept, columns, strict=True)]
-        key, block, lookup, node, *rest = columns
+        key, block, lookup, flip, node, *rest = columns
         new = np.concatenate([[True], (key[1:] != key[:-1]) | (block[1:] != block[:-1])])
         last = int(np.flatnonzero(new)[-1])
         held = last + np.flatnonzero(~lookup[last:])
         kept = [c[held] for c in columns]
         words = rest[: index.words]
-        for left, right, far in _links_of_batch(np.cumsum(new), lookup, node, words, index):
+        for left, right, far in _links_of_batch(np.cumsum(new), lookup, node, words, index, _mutual(key, index), flip):
             yield key, node, words, rest[index.words :], left, right, far
 
 
@@ -388,7 +506,7 @@ def links(classes: DataFrame, index: Index, met: DataFrame | None = None) -> Dat
 
 
 def doubtful(met: DataFrame, classes: DataFrame, index: Index) -> DataFrame:
-    """All pairs (a, b) in doubt between nodes of ``classes`` with different ``root``, each once: under the first sample they share."""
+    """All pairs (a, b) in doubt between nodes of ``classes`` with different ``root``, each once: in the first segment they meet in."""
     rows = _by_key(met, classes.select("node", *index.columns, "root"), index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,7 +514,7 @@ def doubtful(met: DataFrame, classes: DataFrame, index: Index) -> DataFrame:
             open_ = (far > index.sure_distance) & (root[left] != root[right])
             left, right = left[open_], right[open_]
             differ = np.stack([(w[left] ^ w[right]).view(np.uint64) for w in words], axis=1)
-            first = _first_meeting(differ, (key[left] >> 40) - len(index.segments), index)
+            first = _first_meeting(differ, key[left] >> len(index.drawn[0]) + 1, index)
             yield _rows(node[left[first]], node[right[first]], False).drop_columns(["sure"])
 
     return rows.mapInArrow(run, "a long, b long")

@@ -197,3 +197,23 @@ def test_odd_rows(spark):
     assert sum(r.stays for r in got if r.component_id == 2) == 1
     assert sorted(str(r.doc_id) for r in simhash.one_of_each(odd(spark)).collect()) == ["1", "1", "2", "5", "6", "None"]
     assert simhash.near_duplicates(empty(spark)).count() == 0 and simhash.one_of_each(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("held", [1 << 17, 2])
+def test_drawn_segments_have_balls_of_one_flip(spark, monkeypatch, held):
+    """Pairs meet, once, if any segment differs in one bit at most, also where more rows share a half than a task holds."""
+    monkeypatch.setattr(simhash, "HELD", held)
+    monkeypatch.setattr(simhash, "ARROW_ROWS", 3)
+    draw = random.Random(15)
+    segments = simhash._drawn(64, 18, 5)
+    index = simhash.Index(words=1, segments=(), max_distance=64, drawn=segments, sure_distance=-1, similarity=0.8)
+    centres = [draw.getrandbits(64) for _ in range(4)]
+    prints = sorted({c ^ sum(1 << b for b in draw.sample(range(64), draw.randrange(14))) for c in centres for _ in range(30)})
+    masks = [sum(1 << 63 - b for b in s) for s in segments]
+    meet = {(j, i) for i, p in enumerate(prints) for j, q in enumerate(prints[:i]) if any(((p ^ q) & m).bit_count() <= 1 for m in masks)}
+    exact = {(j, i) for i, p in enumerate(prints) for j, q in enumerate(prints[:i]) if any((p ^ q) & m == 0 for m in masks)}
+    assert len(exact) + 100 < len(meet)
+    classes = with_prints(spark, prints)
+    met = simhash._meetings(classes, index)
+    got = [tuple(sorted(r)) for r in simhash.doubtful(met, classes.withColumn("root", F.col("node")), index).collect()]
+    assert len(got) == len(set(got)) and set(got) == meet
