@@ -56,9 +56,11 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with token_ids and n_tokens; ``text`` is what the ids decode to."""
     words = vocabulary(spark)
-    encoded = docs.withColumn("token_ids", words.encode(F.col("text")))
+    # Written between: else each task keeps two Python workers, which stay with all they hold for the stages after.
+    encoded = cut_lineage(docs.withColumn("token_ids", words.encode(F.col("text"))).drop("text"), "encoded")
     decoded = encoded.withColumn("text", words.decode(F.col("token_ids")).cast("string"))
-    return decoded.withColumn("n_tokens", F.size("token_ids").cast("long"))
+    columns = [*docs.columns, *["token_ids"] * ("token_ids" not in docs.columns)]
+    return decoded.select([F.col(f"`{c}`") for c in columns]).withColumn("n_tokens", F.size("token_ids").cast("long"))
 
 
 STAGES: list[tuple[str, Stage]] = [

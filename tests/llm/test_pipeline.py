@@ -73,6 +73,16 @@ def test_run_gives_the_last_stage(spark, corpus):
     assert set(range(60)) <= set(ids) and not set(ids) & {*range(100, 140), 301, 302, 401}
 
 
+def test_encoding_takes_one_python_function_at_a_time(spark, corpus):
+    """Two in one task are two Python workers, which both stay for the stages after."""
+    folder, rows, _ = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    out = P.encoding_stage(spark, docs, folder)
+    assert out._jdf.queryExecution().sparkPlan().toString().count("EvalPython") == 1
+    assert out.columns == [*docs.columns, "token_ids", "n_tokens"]
+    assert {r.doc_id: r["text"] for r in out.collect()} == {i: t or "" for i, t in rows.items()}
+
+
 def plain_run(rows, benchmark, forest):
     """{doc_id: (text, ids)} by all pairs, dictionaries and trees walked one by one."""
     import public_tokenizers
