@@ -168,3 +168,28 @@ def test_rows_are_shuffled_for_new_states_also_of_a_crowded_player(spark, monkey
     assert sorted(map(tuple, rounded(made, 5).collect())) == sorted(map(tuple, rounded(whole, 5).collect()))
     alone = incremental._of_players(stats, [])._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [puuid" in alone
+
+
+def test_states_are_shuffled_as_rows_only_and_replaced_versions_go(spark, tmp_path):
+    """New states are made by the tasks that write them; a tidy run leaves one version of the mart and no written rows."""
+    from matchmill.session import _scratch_dir
+
+    stats = statistics(spark, 2, range(1, 20)).withColumn("game_duration", F.lit(600).cast("bigint"))
+    made = incremental._of_players(incremental._placed(stats, 4), [], (BUCKET, "_piece"))
+    assert made._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    whole = K.kpi_states(stats, ["puuid", *K.CHAMPION])
+    assert sorted(map(tuple, rounded(made, 5).collect())) == sorted(map(tuple, rounded(whole, 5).collect()))
+
+    run = new_run(spark, tmp_path, "tidy")
+    run = jobs.Run(run.warehouse, run.job_id, run.time, tidy=True)
+    follow(run, spark, range(0, 12))
+    for some in (range(1, 20), range(20, 30)):
+        load(run, spark, some)
+        incremental.refresh(run)
+    assert marts(run) == rebuilt(run)
+    for table in (incremental.STATES, schemas.MART_PLAYER_CHAMPION):
+        schema, name = run.warehouse._split(table.name)
+        assert len(run.warehouse._folders(schema, name)) == len(run.warehouse._listed(table.name))
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_dir(spark))
+    left = [f.getPath().getName() for f in root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)]
+    assert not [f for f in left if f.startswith(("brought-", "all-rows-"))]

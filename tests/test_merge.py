@@ -126,3 +126,18 @@ def test_update_where_in_ignores_nulls_and_repeats(spark):
 def test_insert_ignore(spark):
     t = frame(spark, [("a", 1)])
     assert rows(merge.insert_ignore(t, frame(spark, [("a", 5), ("b", 6), ("b", 6)]), ["k"])) == [("b", 6)]
+
+
+def test_values_that_are_all_replaced_are_not_read(spark, tmp_path):
+    target, source = str(tmp_path / "target"), str(tmp_path / "source")
+    spark.range(20).selectExpr("id AS k", "id AS kept", "-id AS v").write.parquet(target)
+    spark.range(25).selectExpr("id AS k", "id * 2 AS v").write.parquet(source)
+    target, source = spark.read.parquet(target), spark.read.parquet(source)
+    changed = merge.matched_rows(target, source, ["k"], ["v"], F.current_timestamp(), written=True)
+    assert "ReadSchema: struct<k:bigint,kept:bigint>" in changed._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, changed.collect())) == [(i, i, 2 * i, True) for i in range(20)]
+    # One row, or one without a key, that the source has not: its old value stays.
+    for other in (spark.range(99, 100).selectExpr("id AS k"), spark.range(1).selectExpr("CAST(NULL AS BIGINT) AS k")):
+        more = target.unionByName(other.selectExpr("k", "7L AS kept", "8L AS v"))
+        changed = merge.matched_rows(more, source, ["k"], ["v"], F.current_timestamp(), written=True)
+        assert changed.where("NOT _matched").select("kept", "v").collect() == [(7, 8)] and changed.count() == 21

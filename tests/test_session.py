@@ -32,3 +32,25 @@ def test_no_machine_local_folder_on_a_cluster():
     assert M.shared_dir(_Session(spark__master="yarn", spark__checkpoint__dir="hdfs:///c/")) == "hdfs:///c"
     local = _Session(spark__master="local[2]")
     assert M.shared_dir(local) == M.shared_dir(local)
+
+
+def test_a_written_cut_leaves_no_shuffle_files(spark):
+    import time
+
+    from matchmill.session import cut_lineage, discard
+
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+    before = files()
+    rows = spark.range(100_000).repartition(3, "id")
+    cut = cut_lineage(rows, "freed")
+    until = time.time() + 10
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert cut.count() == rows.count() == 100_000  # the rows can be shuffled again
+    folder = cut.inputFiles()[0].rpartition("/")[0].partition(":")[2]
+    discard(cut)
+    assert not pathlib.Path("/" + folder.lstrip("/")).exists()
