@@ -203,3 +203,33 @@ def test_payload_stream_applies_each_file_once(spark, run, tmp_path):
     again = spark.createDataFrame([(match_document("M2", ["p2", "p3"]),)], "payload string")
     J.apply_match_payloads(run, again)
     assert run.warehouse.read(STATS).count() == 4
+
+
+def test_a_long_work_list_is_sorted_over_all_tasks(spark, monkeypatch):
+    """The first rows of a list longer than one task should hold, NULLs first, as a plain sort gives them."""
+    work = spark.range(200).selectExpr("IF(id % 7 = 0, NULL, id % 5) AS attempted", "concat('M', xxhash64(id)) AS match_id").repartition(5)
+    order = [F.asc_nulls_first("attempted"), F.asc("match_id")]
+    want = [tuple(r) for r in sorted(work.collect(), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))]
+    monkeypatch.setattr(J, "TOP", 10)
+    for limit in (11, 57, 199, 200, 300):
+        picked = J._first(work, order, limit)
+        assert "TakeOrdered" not in picked._jdf.queryExecution().executedPlan().toString()
+        assert rows(picked) == sorted(want[:limit], key=repr)
+    assert [tuple(r) for r in J._first(work, order, 10).collect()] == want[:10]
+
+
+def test_batches_over_one_landing_parse_it_once(spark, run, monkeypatch):
+    calls = []
+    parse = J.nested.parse_matches
+    monkeypatch.setattr(J.nested, "parse_matches", lambda *landing: calls.append(1) or parse(*landing))
+    run.warehouse.insert_lines(MATCH, [{"match_id": m} for m in ("M1", "M2", "absent")])
+    documents = landed(spark, M1=match_document("M1", ["p1", "p2"]), M2=match_document("M2", ["p2", "p3"]), M3="broken")
+    parsed = J.parse_payloads(documents)
+    assert J.drain(lambda: J.enrich_stats(run, documents, limit=1, parsed=parsed)) == 3
+    assert len(calls) == 1
+    matches = run.warehouse.read(MATCH)
+    assert rows(matches.select("match_id", "is_processed")) == [("M1", True), ("M2", True), ("absent", False)]
+    assert run.warehouse.read(STATS).count() == 4 and run.warehouse.read(J.QUARANTINE).count() == 1
+    # Whether a document is readable is told by one column: its participants are not read for it.
+    text = J.nested.quarantined(parsed).select(F.lit(1))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<_readable:boolean>" in text
