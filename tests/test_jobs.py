@@ -233,3 +233,18 @@ def test_batches_over_one_landing_parse_it_once(spark, run, monkeypatch):
     # Whether a document is readable is told by one column: its participants are not read for it.
     text = J.nested.quarantined(parsed).select(F.lit(1))._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<_readable:boolean>" in text
+
+
+def test_a_tidy_mart_job_leaves_one_version(spark, warehouse):
+    import pathlib
+
+    warehouse.create_fixed()
+    run = J.Run(warehouse, "job", NOW, tidy=True)
+    warehouse.insert_lines(schemas.FACT_PLAYERS_TO_PROCESS.name, [{"puuid": "p1", "game_name": "Ann"}])
+    warehouse.insert_lines(MATCH, [{"match_id": "M1"}])
+    J.enrich_stats(run, landed(spark, M1=match_document("M1", ["p1", "p2"])))
+    for _ in range(2):
+        J.kpi_per_player_champion(run)
+    for table in ("raw_datas/raw_kpi_per_player_champion", "mart_datas/kpi_stats_per_player_champion"):
+        assert len(list(pathlib.Path(f"{warehouse.root}/{table}").iterdir())) == 1
+    assert rows(warehouse.read(schemas.MART_PLAYER_CHAMPION.name).select("game_name", "total_games")) == [("Ann", 1)]
